@@ -416,7 +416,7 @@ def status_distribution(spark, sf_dir):
 
 @query
 def map_points(spark, sf_dir):
-    return rounded(kpis.map_points(ad.bins(spark, sf_dir)))
+    return kpis.map_points(ad.bins(spark, sf_dir))
 
 
 @query
@@ -465,17 +465,17 @@ def calendar_features(spark, sf_dir):
 
 @query
 def fill_rates(spark, sf_dir):
-    return rounded(features.fill_rates(_readings(spark, sf_dir), A))
+    return rounded(features.fill_rates(_readings(spark, sf_dir), A), 6)
 
 
 @query
 def avg_fill_week(spark, sf_dir):
-    return rounded(features.avg_fill(_readings(spark, sf_dir), A))
+    return rounded(features.avg_fill(_readings(spark, sf_dir), A), 6)
 
 
 @query
 def temperature_trend(spark, sf_dir):
-    return rounded(features.temperature_trend(_readings(spark, sf_dir)))
+    return rounded(features.temperature_trend(_readings(spark, sf_dir)), 6)
 
 
 @query
@@ -497,7 +497,7 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def feature_table(spark, sf_dir):
-    return rounded(_features(spark, sf_dir))
+    return rounded(_features(spark, sf_dir), 6)
 
 
 def _examples(spark: SparkSession, sf_dir: str, mode: str, unit: str = "rows") -> DataFrame:
@@ -513,12 +513,12 @@ def _examples(spark: SparkSession, sf_dir: str, mode: str, unit: str = "rows") -
 
 @query
 def training_examples(spark, sf_dir):
-    return rounded(_examples(spark, sf_dir, "literal"))
+    return rounded(_examples(spark, sf_dir, "literal"), 6)
 
 
 @query
 def training_examples_row_clock(spark, sf_dir):
-    return rounded(_examples(spark, sf_dir, "row"))
+    return rounded(_examples(spark, sf_dir, "row"), 6)
 
 
 @query
@@ -551,7 +551,7 @@ def _fitted(spark: SparkSession, sf_dir: str):
 
 @query
 def forecast_inputs(spark, sf_dir):
-    return rounded(forecast.horizon_features(_features(spark, sf_dir)))
+    return rounded(forecast.horizon_features(_features(spark, sf_dir)), 6)
 
 
 @query

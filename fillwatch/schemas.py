@@ -30,8 +30,22 @@ class Table:
     event_time: str | None = None
 
 
-def _table(name: str, key: str, wire: str, required: str, **kinds) -> Table:
-    wire_schema = T.StructType.fromDDL(wire)
+TEXT, DOUBLE, INT, LONG, FLAG, TIME = (
+    T.StringType(),
+    T.DoubleType(),
+    T.IntegerType(),
+    T.LongType(),
+    T.BooleanType(),
+    T.TimestampType(),
+)
+
+
+def struct(**fields: T.DataType) -> T.StructType:
+    """A schema of nullable fields, built without a running session."""
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+def _table(name: str, key: str, wire_schema: T.StructType, required: str, **kinds) -> Table:
     to_time = set(kinds.get("times", ())) | set(kinds.get("nullable_times", ()))
     to_date = set(kinds.get("dates", ()))
 
@@ -47,16 +61,32 @@ def _table(name: str, key: str, wire: str, required: str, **kinds) -> Table:
 BINS = _table(
     "bins",
     "bin_id",
-    "bin_id string, location_lat double, location_lng double, type string, capacity double,"
-    " current_fill_level double, status string, last_maintenance_date timestamp,"
-    " installation_date timestamp",
+    struct(
+        bin_id=TEXT,
+        location_lat=DOUBLE,
+        location_lng=DOUBLE,
+        type=TEXT,
+        capacity=DOUBLE,
+        current_fill_level=DOUBLE,
+        status=TEXT,
+        last_maintenance_date=TIME,
+        installation_date=TIME,
+    ),
     "bin_id",
 )
 SENSOR_DATA = _table(
     "sensor_data",
     "sensor_id",
-    "sensor_id string, bin_id string, timestamp string, fill_level double, temperature double,"
-    " weight double, humidity double, status string",
+    struct(
+        sensor_id=TEXT,
+        bin_id=TEXT,
+        timestamp=TEXT,
+        fill_level=DOUBLE,
+        temperature=DOUBLE,
+        weight=DOUBLE,
+        humidity=DOUBLE,
+        status=TEXT,
+    ),
     "sensor_id bin_id",
     times=("timestamp",),
     required_times=("timestamp",),
@@ -65,8 +95,15 @@ SENSOR_DATA = _table(
 CITIZEN_REPORTS = _table(
     "citizen_reports",
     "report_id",
-    "report_id string, bin_id string, report_timestamp string, report_type string,"
-    " description string, resolved boolean, resolved_timestamp string",
+    struct(
+        report_id=TEXT,
+        bin_id=TEXT,
+        report_timestamp=TEXT,
+        report_type=TEXT,
+        description=TEXT,
+        resolved=FLAG,
+        resolved_timestamp=TEXT,
+    ),
     "report_id bin_id",
     times=("report_timestamp",),
     nullable_times=("resolved_timestamp",),
@@ -75,8 +112,15 @@ CITIZEN_REPORTS = _table(
 MAINTENANCE_EVENTS = _table(
     "maintenance_events",
     "event_id",
-    "event_id string, bin_id string, maintenance_type string, event_timestamp string,"
-    " performed_by string, duration double, cost double",
+    struct(
+        event_id=TEXT,
+        bin_id=TEXT,
+        maintenance_type=TEXT,
+        event_timestamp=TEXT,
+        performed_by=TEXT,
+        duration=DOUBLE,
+        cost=DOUBLE,
+    ),
     "event_id bin_id",
     times=("event_timestamp",),
     event_time="event_timestamp",
@@ -84,8 +128,15 @@ MAINTENANCE_EVENTS = _table(
 ALARMS = _table(
     "alarms",
     "alarm_id",
-    "alarm_id string, bin_id string, alarm_type string, triggered_at string,"
-    " resolved_at string, severity string, status string",
+    struct(
+        alarm_id=TEXT,
+        bin_id=TEXT,
+        alarm_type=TEXT,
+        triggered_at=TEXT,
+        resolved_at=TEXT,
+        severity=TEXT,
+        status=TEXT,
+    ),
     "alarm_id bin_id",
     times=("triggered_at",),
     nullable_times=("resolved_at",),
@@ -94,7 +145,12 @@ ALARMS = _table(
 ROUTE_HISTORY = _table(
     "route_history",
     "route_id bin_id",
-    "route_id string, bin_id string, service_date string, collection_status string",
+    struct(
+        route_id=TEXT,
+        bin_id=TEXT,
+        service_date=TEXT,
+        collection_status=TEXT,
+    ),
     "route_id bin_id",
     times=("service_date",),
     event_time="service_date",
@@ -102,9 +158,18 @@ ROUTE_HISTORY = _table(
 PERFORMANCE_ANALYTICS = _table(
     "performance_analytics",
     "id",
-    "id string, date string, total_bins int, avg_fill_level double, total_reports int,"
-    " resolved_reports int, maintenance_events_count int, avg_response_time double,"
-    " alarms_count int, routes_completed int",
+    struct(
+        id=TEXT,
+        date=TEXT,
+        total_bins=INT,
+        avg_fill_level=DOUBLE,
+        total_reports=INT,
+        resolved_reports=INT,
+        maintenance_events_count=INT,
+        avg_response_time=DOUBLE,
+        alarms_count=INT,
+        routes_completed=INT,
+    ),
     "id",
     dates=("date",),
     event_time="date",
@@ -123,11 +188,21 @@ TABLES: dict[str, Table] = {
     )
 }
 
-RAW_BIN = T.StructType.fromDDL(
-    "bin_id string, type string, capacity double, capacity_kg double, latitude double,"
-    " longitude double, current_fill_level double, installation_date timestamp,"
-    " last_maintenance timestamp,"
-    " location struct<street string, district string, coordinates struct<lat double, lon double>>,"
-    " status string"
+RAW_BIN = struct(
+    bin_id=TEXT,
+    type=TEXT,
+    capacity=DOUBLE,
+    capacity_kg=DOUBLE,
+    latitude=DOUBLE,
+    longitude=DOUBLE,
+    current_fill_level=DOUBLE,
+    installation_date=TIME,
+    last_maintenance=TIME,
+    location=struct(
+        street=TEXT,
+        district=TEXT,
+        coordinates=struct(lat=DOUBLE, lon=DOUBLE),
+    ),
+    status=TEXT,
 )
 """The nested record a bin registers itself with."""

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 AS_OF = dt.datetime(2024, 1, 31)
-SHIFT = F.expr("INTERVAL '8400' DAY")
+SHIFT = dt.timedelta(days=8400)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,7 +92,7 @@ def sensor_data_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def citizen_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = F.col("o_orderdate") + SHIFT
+    made = F.col("o_orderdate") + F.lit(SHIFT)
     kind = F.col("o_orderkey") % 3
     wait = F.make_dt_interval(hours=(1 + F.col("o_orderkey") % 72).cast("int"))
     state = F.col("o_orderstatus")
@@ -112,10 +112,10 @@ def maintenance_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
         _text(F.col("l_partkey") % 150).alias("bin_id"),
         F.when(F.col("l_returnflag") == "R", "repaired").otherwise("emptied").alias("maintenance_type"),
-        (F.col("l_shipdate") + SHIFT).alias("event_timestamp"),
+        (F.col("l_shipdate") + F.lit(SHIFT)).alias("event_timestamp"),
         F.concat(F.lit("tech-"), _text(100 + F.col("l_linenumber"))).alias("performed_by"),
         F.col("l_quantity").alias("duration"),
-        F.round(F.col("l_extendedprice") / 1000, 2).alias("cost"),
+        (F.col("l_extendedprice") / 1000).alias("cost"),
     )
 
 
@@ -146,7 +146,7 @@ def route_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         _text("l_orderkey").alias("route_id"),
         _text("l_partkey").alias("bin_id"),
-        (F.col("l_shipdate") + SHIFT).alias("service_date"),
+        (F.col("l_shipdate") + F.lit(SHIFT)).alias("service_date"),
         F.when(stop == 0, "missed")
         .when(stop == 1, "collected")
         .when(stop == 2, "delayed")

@@ -17,13 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fillwatch.operators import tables
-from fillwatch.schemas import TABLES, Table
+from fillwatch.schemas import INT, LONG, TABLES, TEXT, TIME, Table, struct
 from fillwatch.sources.streams import ARRIVAL
 
-ARRIVAL_TYPES = T.StructType.fromDDL(
-    "arrived_at timestamp, arrived_partition int, arrived_offset bigint"
-)
-_PLACE = T.StructType.fromDDL("source string, batch_id bigint")
+ARRIVAL_TYPES = struct(arrived_at=TIME, arrived_partition=INT, arrived_offset=LONG)
+_PLACE = struct(source=TEXT, batch_id=LONG)
 
 
 def append(rows: DataFrame, root: str, table: Table, source: str, batch_id: int) -> None:
