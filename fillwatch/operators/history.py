@@ -27,20 +27,38 @@ from fillwatch.operators.features import (
 )
 
 SLOPE_HOURS = (*RATE_HOURS, WIDE_HOURS)
-SUMS = ("n", "x", "y", "xy", "xx")
 BLOCK_ROWS = 8192
 
 _SLOT = ("bin_id", "slot")
 _MEASURES = ("fill_level", "temperature", "humidity", "weight")
 
 
-def _moments(x: Column, y: Column) -> dict[str, Column]:
-    return {"n": F.lit(1.0), "x": x, "y": y, "xy": x * y, "xx": x * x}
+# Sums behind a least-squares slope of ``y`` on ``x``, as SQL over those two columns.
+MOMENTS = {"n": "1D", "x": "x", "y": "y", "xy": "x * y", "xx": "x * x"}
 
+_BY_SLOT = "PARTITION BY bin_id, slot"
+_EARLIER_SLOTS = "PARTITION BY bin_id ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+_PLACES = (
+    f"coalesce(sum(size) OVER ({_EARLIER_SLOTS}), 0) AS before",
+    "sum(size) OVER (PARTITION BY bin_id) AS total",
+)
+
+
+def _slope(sums: dict[str, str]) -> str:
+    """Slope from sums; null unless two different times, ``lo`` and ``hi``, are present."""
+    n, x, y, xy, xx, lo, hi = (sums[k] for k in (*MOMENTS, "lo", "hi"))
+    return (
+        f"CASE WHEN {n} >= 2 AND {lo} < {hi}"
+        f" THEN ({n} * {xy} - {x} * {y}) / ({n} * {xx} - {x} * {x}) END"
+    )
 
-def _slope(n: Column, x: Column, y: Column, xy: Column, xx: Column, lo: Column, hi: Column) -> Column:
-    """Least-squares slope from sums; null unless two different times are present."""
-    return F.when((n >= 2) & (lo < hi), (n * xy - x * y) / (n * xx - x * x))
+
+def _rates(sums: dict[int, dict[str, str]]) -> dict[str, Column]:
+    slopes = {h: F.expr(_slope(sums[h])) for h in SLOPE_HOURS}
+    return {
+        f"fill_rate_{h}h": features.rate_of(F.expr(sums[h]["n"]), slopes[h], slopes[WIDE_HOURS])
+        for h in RATE_HOURS
+    }
 
 
 def _slotted(readings: DataFrame) -> DataFrame:
@@ -52,102 +70,77 @@ def _slotted(readings: DataFrame) -> DataFrame:
     return rows.withColumns({"slot": F.floor(F.col("at") / width), "offset": F.col("at") % width})
 
 
-def _before() -> Window:
-    return Window.partitionBy("bin_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-
-
-def _join_slots(rows: DataFrame, slots: DataFrame) -> DataFrame:
+def _finish(
+    rows: DataFrame, slots: DataFrame, sums: dict[int, dict[str, str]], week_y: str, week_n: str
+) -> DataFrame:
+    """Joins what the slots before contribute, and derives place, rates and weekly mean."""
     slots = slots.withColumnsRenamed({"bin_id": "_bin_id", "slot": "_slot"})
     same = (rows["bin_id"] == slots["_bin_id"]) & (rows["slot"] == slots["_slot"])
-    return rows.join(slots, same).drop("_bin_id", "_slot")
-
-
-def _position_columns() -> dict[str, Column]:
-    """0-based place in the bin's history, from the rank in the slot and the slots before."""
-    return {"position": F.col("before") + F.col("rank") - 1}
-
-
-def _rates(sums: dict[int, dict[str, Column]]) -> dict[str, Column]:
-    slopes = {h: _slope(**sums[h]) for h in SLOPE_HOURS}
-    return {
-        f"fill_rate_{h}h": features.rate_of(sums[h]["n"], slopes[h], slopes[WIDE_HOURS])
-        for h in RATE_HOURS
-    }
-
-
-def _mean(total: Column, n: Column) -> Column:
-    return F.coalesce(total / F.nullif(n, F.lit(0.0)), F.lit(0.0))
+    return rows.join(slots, same).withColumns(
+        {
+            "position": F.expr("before + rank - 1"),
+            **_rates(sums),
+            "avg_fill_last_week": F.expr(f"coalesce(({week_y}) / nullif({week_n}, 0D), 0D)"),
+        }
+    )
 
 
 def _literal_windows(rows: DataFrame, as_of: dt.datetime) -> DataFrame:
     """Windows that end at each reading and begin at ``as_of`` minus the hours."""
     age = (F.col("at") - times.micros_of(as_of)) / times.MICROS_PER_HOUR
-    rows = rows.withColumn("age", age)
-    parts: dict[str, Column] = {}
+    rows = rows.withColumns({"x": age, "y": F.col("fill_level")})
+    parts: dict[str, str] = {}
     for h in SLOPE_HOURS:
-        inside = F.col("age") >= -float(h)
-        for name, value in _moments(F.col("age"), F.col("fill_level")).items():
-            parts[f"{name}_{h}"] = F.when(inside, value)
-        parts[f"lo_{h}"] = F.when(inside, F.col("age"))
-    week = F.col("age") >= -float(WEEK_HOURS)
-    parts[f"n_{WEEK_HOURS}"] = F.when(week, 1.0)
-    parts[f"y_{WEEK_HOURS}"] = F.when(week, F.col("fill_level"))
-    total = {k: (F.min if k.startswith("lo") else F.sum) for k in parts}
+        parts |= {f"{k}_{h}": f"sum(IF(x >= -{h}, {v}, 0D))" for k, v in MOMENTS.items()}
+        parts[f"lo_{h}"] = f"min(IF(x >= -{h}, x, NULL))"
+    parts[f"n_{WEEK_HOURS}"] = f"sum(IF(x >= -{WEEK_HOURS}, 1D, 0D))"
+    parts[f"y_{WEEK_HOURS}"] = f"sum(IF(x >= -{WEEK_HOURS}, y, 0D))"
 
     slots = rows.groupBy(*_SLOT).agg(
-        F.count("*").alias("size"), *[total[k](v).alias(k) for k, v in parts.items()]
+        F.count("*").alias("size"), *[F.expr(v).alias(k) for k, v in parts.items()]
     )
-    slots = slots.select(
+    slots = slots.selectExpr(
         *_SLOT,
-        F.coalesce(F.sum("size").over(_before()), F.lit(0)).alias("before"),
-        F.sum("size").over(Window.partitionBy("bin_id")).alias("total"),
-        *[total[k](k).over(_before()).alias(f"before_{k}") for k in parts],
+        *_PLACES,
+        *[
+            f"min({k}) OVER ({_EARLIER_SLOTS}) AS before_{k}"
+            if k.startswith("lo")
+            else f"coalesce(sum({k}) OVER ({_EARLIER_SLOTS}), 0D) AS before_{k}"
+            for k in parts
+        ],
     )
-    order = Window.partitionBy(*_SLOT).orderBy("at", "sensor_id")
-    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.select(
-        *rows.columns,
-        F.row_number().over(order).alias("rank"),
-        *[total[k](v).over(so_far).alias(k) for k, v in parts.items()],
+    order = f"{_BY_SLOT} ORDER BY at, sensor_id"
+    so_far = f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    rows = rows.selectExpr(
+        "*",
+        f"row_number() OVER ({order}) AS rank",
+        *[f"{v} OVER ({so_far}) AS {k}" for k, v in parts.items()],
     )
-    rows = _join_slots(rows, slots)
-    both = {
-        k: F.least(f"before_{k}", k)
-        if k.startswith("lo")
-        else F.coalesce(f"before_{k}", F.lit(0.0)) + F.coalesce(k, F.lit(0.0))
-        for k in parts
-    }
     sums = {
-        h: {**{s: both[f"{s}_{h}"] for s in SUMS}, "lo": both[f"lo_{h}"], "hi": F.col("age")}
+        h: {k: f"(before_{k}_{h} + {k}_{h})" for k in MOMENTS}
+        | {"lo": f"least(before_lo_{h}, lo_{h})", "hi": "x"}
         for h in SLOPE_HOURS
     }
-    mean = _mean(both[f"y_{WEEK_HOURS}"], both[f"n_{WEEK_HOURS}"])
-    return rows.withColumns({**_position_columns(), **_rates(sums), "avg_fill_last_week": mean})
+    y, n = (f"before_{k}_{WEEK_HOURS} + {k}_{WEEK_HOURS}" for k in "yn")
+    return _finish(rows, slots, sums, y, n)
 
 
-def _earlier(h: int) -> Column:
+def _between(h: int) -> str:
     """Sums over the whole slots inside an ``h``-hour window, seen from the current slot.
 
     ``recent`` lists the slots before; each one's times are moved to hours relative to
     the current slot, so no large numbers cancel.
     """
-
-    def add(acc: Column, s: Column) -> Column:
-        move = (s["slot"] - F.col("slot")).cast("double")
-        return F.struct(
-            (acc["n"] + s["n"]).alias("n"),
-            (acc["x"] + s["x"] + s["n"] * move).alias("x"),
-            (acc["y"] + s["y"]).alias("y"),
-            (acc["xy"] + s["xy"] + s["y"] * move).alias("xy"),
-            (acc["xx"] + s["xx"] + 2 * move * s["x"] + s["n"] * move * move).alias("xx"),
-            F.least(acc["lo"], s["lo"] + move).alias("lo"),
-        )
-
-    zero = F.struct(
-        *[F.lit(0.0).alias(s) for s in SUMS], F.lit(None).cast("double").alias("lo")
-    )
-    inside = F.filter("recent", lambda s: s["slot"] > F.col("slot") - h)
-    return F.aggregate(inside, zero, add)
+    moved = f"transform(filter(recent, s -> s.slot > slot - {h}), s -> named_struct('s', s, 'm', CAST(s.slot - slot AS DOUBLE)))"
+    return f"""aggregate({moved},
+        named_struct('n', 0D, 'x', 0D, 'y', 0D, 'xy', 0D, 'xx', 0D, 'lo', CAST(NULL AS DOUBLE)),
+        (a, r) -> named_struct(
+            'n', a.n + r.s.n,
+            'x', a.x + r.s.x + r.m * r.s.n,
+            'y', a.y + r.s.y,
+            'xy', a.xy + r.s.xy + r.m * r.s.y,
+            'xx', a.xx + r.s.xx + 2 * r.m * r.s.x + r.m * r.m * r.s.n,
+            'lo', least(a.lo, r.s.lo + r.m)))"""
 
 
 def _row_windows(rows: DataFrame) -> DataFrame:
@@ -158,89 +151,68 @@ def _row_windows(rows: DataFrame) -> DataFrame:
     on. Every reading therefore also goes, as an edge, to the slots it will be the tail
     of; that is five narrow copies instead of a frame rescanned for every reading.
     """
-    hour = float(times.MICROS_PER_HOUR)
-    rows = rows.withColumn("x0", F.col("offset") / hour)
+    rows = rows.withColumns(
+        {"x": F.col("offset") / float(times.MICROS_PER_HOUR), "y": F.col("fill_level")}
+    )
+    back = "PARTITION BY bin_id ORDER BY slot RANGE BETWEEN {} PRECEDING AND 1 PRECEDING"
+    wide, week = back.format(WIDE_HOURS - 1), back.format(WEEK_HOURS - 1)
     slots = (
         rows.groupBy(*_SLOT)
         .agg(
             F.count("*").alias("size"),
-            *[F.sum(v).alias(k) for k, v in _moments(F.col("x0"), F.col("fill_level")).items()],
-            F.min("x0").alias("lo"),
+            *[F.expr(f"sum({v})").alias(k) for k, v in MOMENTS.items()],
+            F.min("x").alias("lo"),
         )
-        .select(
+        .selectExpr(
             *_SLOT,
-            F.coalesce(F.sum("size").over(_before()), F.lit(0)).alias("before"),
-            F.sum("size").over(Window.partitionBy("bin_id")).alias("total"),
-            F.collect_list(F.struct("slot", *SUMS, "lo"))
-            .over(_hours_back(WIDE_HOURS))
-            .alias("recent"),
-            F.coalesce(F.sum("n").over(_hours_back(WEEK_HOURS)), F.lit(0.0)).alias("week_n"),
-            F.coalesce(F.sum("y").over(_hours_back(WEEK_HOURS)), F.lit(0.0)).alias("week_y"),
+            *_PLACES,
+            f"collect_list(struct(slot, n, x, y, xy, xx, lo)) OVER ({wide}) AS recent",
+            f"coalesce(sum(n) OVER ({week}), 0D) AS week_n",
+            f"coalesce(sum(y) OVER ({week}), 0D) AS week_y",
         )
-        .select(
+        .selectExpr(
             *_SLOT,
             "before",
             "total",
             "week_n",
             "week_y",
-            *[_earlier(h).alias(f"mid_{h}") for h in SLOPE_HOURS],
+            *[f"{_between(h)} AS mid_{h}" for h in SLOPE_HOURS],
         )
     )
 
-    lags = (0, *SLOPE_HOURS, WEEK_HOURS)
-    own = F.col("lag") == 0
-    only_own = [F.when(own, F.col(c)).alias(c) for c in ("sensor_id", "timestamp", "at", *_MEASURES[1:])]
-    spread = rows.select("*", F.explode(F.array(*[F.lit(h) for h in lags])).alias("lag")).select(
+    lags = ", ".join(str(h) for h in (0, *SLOPE_HOURS, WEEK_HOURS))
+    kept = ("sensor_id", "timestamp", "at", *_MEASURES[1:])
+    spread = rows.selectExpr("*", f"explode(array({lags})) AS lag").selectExpr(
         "bin_id",
-        (F.col("slot") + F.col("lag")).alias("slot"),
+        "slot + lag AS slot",
         "lag",
         "offset",
         "fill_level",
-        (F.col("x0") - F.col("lag")).alias("x"),
-        *only_own,
-    )
-    head = (
-        Window.partitionBy(*_SLOT)
-        .orderBy("offset")
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    tail = (
-        Window.partitionBy(*_SLOT)
-        .orderBy(F.desc("offset"))
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        "x - lag AS x",
+        "y",
+        *[f"IF(lag = 0, {c}, NULL) AS {c}" for c in kept],
     )
-    values = _moments(F.col("x"), F.col("fill_level"))
-    zero = F.lit(0.0)
-
-    def total(when: Column, value: Column, over: Window) -> Column:
-        return F.coalesce(F.sum(F.when(when, value)).over(over), zero)
-
-    columns = [total(own, v, head).alias(f"head_{k}") for k, v in values.items()]
-    columns.append(F.min(F.when(own, F.col("x"))).over(head).alias("head_lo"))
-    for h in SLOPE_HOURS:
-        edge = F.col("lag") == h
-        columns += [total(edge, v, tail).alias(f"tail_{k}_{h}") for k, v in values.items()]
-        columns.append(F.min(F.when(edge, F.col("x"))).over(tail).alias(f"tail_lo_{h}"))
-    edge = F.col("lag") == WEEK_HOURS
-    columns += [total(edge, values[k], tail).alias(f"tail_{k}_{WEEK_HOURS}") for k in ("n", "y")]
-    ranked = Window.partitionBy(*_SLOT, "lag").orderBy("at", "sensor_id")
-    # The rank only needs a slot's own rows; they keep the same partitioning.
-    windowed = spread.select("*", *columns).filter(own)
-    windowed = windowed.withColumn("rank", F.row_number().over(ranked))
-    joined = _join_slots(windowed, slots)
-    sums = {}
+    head, tail = f"{_BY_SLOT} ORDER BY offset", f"{_BY_SLOT} ORDER BY offset DESC"
+    columns = [f"sum(IF(lag = 0, {v}, 0D)) OVER ({head}) AS head_{k}" for k, v in MOMENTS.items()]
+    columns.append(f"min(IF(lag = 0, x, NULL)) OVER ({head}) AS head_lo")
     for h in SLOPE_HOURS:
-        mid = F.col(f"mid_{h}")
-        sums[h] = {
-            k: F.col(f"head_{k}") + mid[k] + F.col(f"tail_{k}_{h}") for k in SUMS
-        } | {"lo": F.least("head_lo", mid["lo"], f"tail_lo_{h}"), "hi": F.col("x")}
-    n = F.col("head_n") + F.col("week_n") + F.col(f"tail_n_{WEEK_HOURS}")
-    y = F.col("head_y") + F.col("week_y") + F.col(f"tail_y_{WEEK_HOURS}")
-    return joined.withColumns({**_position_columns(), **_rates(sums), "avg_fill_last_week": _mean(y, n)})
-
-
-def _hours_back(h: int) -> Window:
-    return Window.partitionBy("bin_id").orderBy("slot").rangeBetween(-(h - 1), -1)
+        columns += [
+            f"sum(IF(lag = {h}, {v}, 0D)) OVER ({tail}) AS tail_{k}_{h}" for k, v in MOMENTS.items()
+        ]
+        columns.append(f"min(IF(lag = {h}, x, NULL)) OVER ({tail}) AS tail_lo_{h}")
+    columns += [
+        f"sum(IF(lag = {WEEK_HOURS}, {MOMENTS[k]}, 0D)) OVER ({tail}) AS tail_{k}_{WEEK_HOURS}"
+        for k in "ny"
+    ]
+    own = spread.selectExpr("*", *columns).filter("lag = 0")
+    own = own.selectExpr("*", f"row_number() OVER ({_BY_SLOT} ORDER BY at, sensor_id) AS rank")
+    sums = {
+        h: {k: f"(head_{k} + mid_{h}.{k} + tail_{k}_{h})" for k in MOMENTS}
+        | {"lo": f"least(head_lo, mid_{h}.lo, tail_lo_{h})", "hi": "x"}
+        for h in SLOPE_HOURS
+    }
+    y, n = (f"head_{k} + week_{k} + tail_{k}_{WEEK_HOURS}" for k in "yn")
+    return _finish(own, slots, sums, y, n)
 
 
 def _neighbours(rows: DataFrame, ahead: tuple[int, ...], block_rows: int) -> DataFrame:

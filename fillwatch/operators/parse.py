@@ -16,6 +16,17 @@ BROKEN = "_broken"
 _CORRUPT = "_corrupt"
 
 
+def _once(df: DataFrame, keep: list[str], **values: Column) -> DataFrame:
+    """``keep`` and the values, each worked out once per row.
+
+    A filter on a projected value is pushed below the projection and takes the whole
+    expression with it, so a JSON text would be parsed again for every field the filter
+    names. Filters do not pass a generator, so the values come out of one.
+    """
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return df.select(*keep, F.inline(F.array(row)))
+
+
 def json_rows(df: DataFrame, schema: T.StructType, json_col: str = "json_str") -> DataFrame:
     """The schema's columns, the input's other columns, ``_raw`` and ``_broken``.
 
@@ -24,12 +35,13 @@ def json_rows(df: DataFrame, schema: T.StructType, json_col: str = "json_str") -
     """
     rest = [c for c in df.columns if c != json_col]
     with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    parsed = F.from_json(
-        json_col, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    )
     all_null = F.coalesce(*[F.col(f"data.{f.name}").cast("string") for f in schema]).isNull()
     broken = F.col("data").isNull() | (F.col(f"data.{_CORRUPT}").isNotNull() & all_null)
-    return df.select(*rest, F.col(json_col).alias(RAW), parsed.alias("data")).select(
+    raw = df.withColumnRenamed(json_col, RAW)
+    parsed = F.from_json(
+        RAW, with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
+    )
+    return _once(raw, [*rest, RAW], data=parsed).select(
         *[F.col(f"data.{f.name}").alias(f.name) for f in schema],
         *rest,
         RAW,
@@ -53,21 +65,29 @@ def typed(df: DataFrame, table: Table) -> DataFrame:
         conversions[name] = times.timestamp_or_null(F.col(name))
     for name in table.dates:
         conversions[name] = times.date_or_null(F.col(name))
-    return df.withColumns(conversions) if conversions else df
+    if not conversions:
+        return df
+    rest = [c for c in df.columns if c not in conversions]
+    return _once(df, rest, **conversions).select(*df.columns)
 
 
-def split_rejects(df: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
-    """``(good, rejects)`` of parsed and typed rows; reason is the first that applies."""
+def judge(df: DataFrame, table: Table) -> DataFrame:
+    """Adds ``reason`` to parsed and typed rows: why the row is rejected, null if it is good."""
     null_key = F.lit(False)
     for name in table.required:
         null_key = null_key | F.col(name).isNull()
     bad_time = F.lit(False)
     for name in table.required_times:
         bad_time = bad_time | F.col(name).isNull()
-    reason = (
-        F.when(F.col(BROKEN), "bad_json").when(null_key, "null_key").when(bad_time, "bad_time")
+    return df.withColumn(
+        "reason",
+        F.when(F.col(BROKEN), "bad_json").when(null_key, "null_key").when(bad_time, "bad_time"),
     )
-    judged = df.withColumn("reason", reason)
+
+
+def split_rejects(df: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
+    """``(good, rejects)`` of parsed and typed rows; the reason is the first that applies."""
+    judged = judge(df, table)
     good = judged.filter(F.col("reason").isNull()).drop("reason", RAW, BROKEN)
     rejects = judged.filter(F.col("reason").isNotNull()).select(
         F.lit(table.name).alias("topic"), F.col(RAW).alias("json_str"), "reason"

@@ -198,6 +198,15 @@ FROM events WHERE event_id % 16 NOT IN (8, 10, 11, 13)""",
 SELECT 'sensor_data' AS topic, reason, count(*) AS messages FROM (
   SELECT CASE WHEN event_id % 16 IN (10, 13) THEN 'bad_json' WHEN event_id % 16 = 11 THEN 'null_key'
     WHEN event_id % 16 = 8 THEN 'bad_time' ELSE 'good' END AS reason FROM events) GROUP BY reason""",
+    "rejected_messages": f"""
+SELECT 'sensor_data' AS topic,
+  CASE k WHEN 10 THEN '{{' || body WHEN 13 THEN '[{{' || body || '}}]' ELSE '{{' || body || '}}' END AS json_str,
+  CASE WHEN k IN (10, 13) THEN 'bad_json' WHEN k = 11 THEN 'null_key' ELSE 'bad_time' END AS reason
+FROM (SELECT event_id % 16 AS k, '"sensor_id":' || event_id || ',"bin_id":'
+    || CASE event_id % 16 WHEN 11 THEN 'null' ELSE CAST(user_id AS VARCHAR) END || ',"timestamp":"'
+    || CASE event_id % 16 WHEN 8 THEN 'junk' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') END
+    || '","fill_level":' || CAST(value AS VARCHAR) AS body
+  FROM events WHERE event_id % 16 IN (8, 10, 11, 13))""",
     "json_messages": using(
         "route_history",
         """SELECT route_id, bin_id, '{"service_date":"' || strftime(service_date, '%Y-%m-%dT%H:%M:%S.%fZ')

@@ -21,7 +21,7 @@ from fillwatch.operators import (
     tables,
     training,
 )
-from fillwatch.session import shared_dir
+from fillwatch.session import settled, shared_dir
 from fillwatch.sources import adapters as ad
 from fillwatch.sources import wire
 from fillwatch.streaming import jobs, store
@@ -172,11 +172,18 @@ def parse_edge_cases(spark, sf_dir):
 @query
 def reject_split(spark, sf_dir):
     rows = parse.parsed(awkward_messages(ad.table(spark, sf_dir, "events")), schemas.SENSOR_DATA)
-    good, rejects = parse.split_rejects(rows, schemas.SENSOR_DATA)
-    reasons = rejects.select("topic", "reason").unionByName(
-        good.select(F.lit("sensor_data").alias("topic"), F.lit("good").alias("reason"))
+    reason = F.coalesce("reason", F.lit("good")).alias("reason")
+    return (
+        parse.judge(rows, schemas.SENSOR_DATA)
+        .groupBy(F.lit("sensor_data").alias("topic"), reason)
+        .agg(F.count("*").alias("messages"))
     )
-    return reasons.groupBy("topic", "reason").agg(F.count("*").alias("messages"))
+
+
+@query
+def rejected_messages(spark, sf_dir):
+    rows = parse.parsed(awkward_messages(ad.table(spark, sf_dir, "events")), schemas.SENSOR_DATA)
+    return parse.split_rejects(rows, schemas.SENSOR_DATA)[1]
 
 
 @query
@@ -544,7 +551,7 @@ DRIVER_TREES, DRIVER_DEPTH = 20, 5
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
-    parts = training.split(_examples(spark, sf_dir, "row"))
+    parts = settled(training.split(_examples(spark, sf_dir, "row")))
     train = parts.filter("is_train")
     return training.fit(train, trees=DRIVER_TREES, depth=DRIVER_DEPTH), parts.filter(~F.col("is_train"))
 
@@ -602,6 +609,7 @@ ANOMALY_COLUMNS = tuple(c for c in features.FEATURES if c != "horizon")
 def anomaly_flags(spark, sf_dir):
     rows = history.prefix(
         ad.sensor_data(spark, sf_dir), A, "row", bins=ad.bins(spark, sf_dir)
-    ).select("bin_id", "sensor_id", "timestamp", *ANOMALY_COLUMNS)
+    ).select("bin_id", "sensor_id", *ANOMALY_COLUMNS)
+    rows = settled(rows)
     forest = anomaly.fit(rows, ANOMALY_COLUMNS, ("bin_id", "sensor_id"))
     return anomaly.flag(rows, forest).select("bin_id", "sensor_id", "score", "is_anomaly")

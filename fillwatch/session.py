@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
@@ -19,6 +19,7 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, **conf: str) ->
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -38,3 +39,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="fillwatch-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/fillwatch/{purpose}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame, purpose: str = "settled") -> DataFrame:
+    """``df`` written as a table in the shared folder and read back.
+
+    For a result that several passes use: it is worked out once, the copy outlives the
+    executors that made it, and later passes read only the columns they need.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
