@@ -76,14 +76,21 @@ def _samples(
 ) -> DataFrame:
     """``sample`` rows for each tree, drawn without replacement.
 
-    A pool of at most trees times sample rows is drawn first, by the order of a hash of
-    the row's key; each tree then draws from the pool. So the whole data is read once,
-    and the exploded pool never grows with it.
+    A pool of at most trees times sample rows is drawn first, those with the least hash
+    of their key; each tree then draws from the pool, so the exploded pool never grows
+    with the data. Rows whose hash is far from the least are dropped where they are read:
+    about twice the pool gets past that, out of however many rows, so the task that
+    orders the pool stays small.
     """
+    size = trees * sample
+    share = min(1.0, 2.0 * size / max(rows.count(), 1))
+    least = -(2**63)
+    cut = min(least + int(share * 2**64), 2**63 - 1)
     pool = (
         rows.select(F.xxhash64(F.lit(seed), *key).alias("_draw"), *columns)
+        .filter(F.col("_draw") <= F.lit(cut))
         .orderBy("_draw", *columns)
-        .limit(trees * sample)
+        .limit(size)
     )
     spread = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     drawn = Window.partitionBy("tree").orderBy(F.xxhash64("tree", "_draw"), "_draw")

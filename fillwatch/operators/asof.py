@@ -20,6 +20,7 @@ def attach(
     values: Sequence[str],
     direction: str = "backward",
     slot_hours: int = 24,
+    times_of: DataFrame | None = None,
 ) -> DataFrame:
     """``probes`` plus ``values`` of the nearest event of the same key; null without one.
 
@@ -29,23 +30,36 @@ def attach(
     one row per key and slot, so no task ever holds the whole history of a key. Among
     events at the same instant the greatest ``values`` win looking back, the least
     looking ahead.
+
+    That table needs to know the probes' slots. Where probes are costly to work out,
+    ``times_of`` names a cheaper table with at least their keys and times.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(f"direction is 'backward' or 'forward', not {direction!r}")
     back = direction == "backward"
     width = slot_hours * times.MICROS_PER_HOUR
-    event = F.struct(times.micros(events, event_time).alias("at"), *values)
-    payload = F.struct(*probes.columns)
-    stacked = events.select(
-        key, F.lit(None).cast(probes.schema).alias("probe"), event.alias("event"),
+    slot = F.floor(F.col("at") / width).alias("slot")
+    happened = events.select(
+        key,
         times.micros(events, event_time).alias("at"),
+        F.struct(times.micros(events, event_time).alias("at"), *values).alias("event"),
     ).filter(F.col("at").isNotNull())
-    stacked = stacked.unionByName(
-        probes.select(
-            key, payload.alias("probe"), F.lit(None).cast(stacked.schema["event"].dataType).alias("event"),
-            times.micros(probes, probe_time).alias("at"),
-        )
-    ).withColumn("slot", F.floor(F.col("at") / width))
+    no_event = F.lit(None).cast(happened.schema["event"].dataType).alias("event")
+    asked = probes.select(
+        key,
+        times.micros(probes, probe_time).alias("at"),
+        no_event,
+        F.struct(*probes.columns).alias("probe"),
+    )
+    stacked = (
+        happened.withColumn("probe", F.lit(None).cast(probes.schema))
+        .unionByName(asked)
+        .select("*", slot)
+    )
+    if times_of is None:
+        times_of = probes
+    visited = times_of.select(key, times.micros(times_of, probe_time).alias("at"), no_event)
+    slots = happened.unionByName(visited).select(key, slot, "event")
 
     nearest = F.max if back else F.min
     turn = (lambda c: F.col(c).asc()) if back else (lambda c: F.col(c).desc())
@@ -58,7 +72,7 @@ def attach(
         Window.partitionBy(key).orderBy(turn("slot")).rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = (
-        stacked.groupBy(key, "slot")
+        slots.groupBy(key, "slot")
         .agg(nearest("event").alias("event"))
         .select(
             F.col(key).alias("_key"),

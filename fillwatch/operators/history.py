@@ -44,21 +44,11 @@ _PLACES = (
 )
 
 
-def _slope(sums: dict[str, str]) -> str:
-    """Slope from sums; null unless two different times, ``lo`` and ``hi``, are present."""
-    n, x, y, xy, xx, lo, hi = (sums[k] for k in (*MOMENTS, "lo", "hi"))
-    return (
-        f"CASE WHEN {n} >= 2 AND {lo} < {hi}"
-        f" THEN ({n} * {xy} - {x} * {y}) / ({n} * {xx} - {x} * {x}) END"
-    )
-
-
-def _rates(sums: dict[int, dict[str, str]]) -> dict[str, Column]:
-    slopes = {h: F.expr(_slope(sums[h])) for h in SLOPE_HOURS}
-    return {
-        f"fill_rate_{h}h": features.rate_of(F.expr(sums[h]["n"]), slopes[h], slopes[WIDE_HOURS])
-        for h in RATE_HOURS
-    }
+_SLOPE = (
+    "CASE WHEN n_{h} >= 2 AND lo_{h} < x"
+    " THEN (n_{h} * xy_{h} - x_{h} * y_{h}) / (n_{h} * xx_{h} - x_{h} * x_{h}) END"
+)
+"""Slope from sums up to the time ``x``; null unless two different times are present."""
 
 
 def _slotted(readings: DataFrame) -> DataFrame:
@@ -70,18 +60,39 @@ def _slotted(readings: DataFrame) -> DataFrame:
     return rows.withColumns({"slot": F.floor(F.col("at") / width), "offset": F.col("at") % width})
 
 
-def _finish(
-    rows: DataFrame, slots: DataFrame, sums: dict[int, dict[str, str]], week_y: str, week_n: str
-) -> DataFrame:
-    """Joins what the slots before contribute, and derives place, rates and weekly mean."""
+_CARRIED = ("bin_id", "sensor_id", "timestamp", *_MEASURES, "position", "total")
+
+
+def _finish(rows: DataFrame, slots: DataFrame, sums: dict[str, str]) -> DataFrame:
+    """Joins what the slots before contribute, and derives place, rates and weekly mean.
+
+    Sums, slopes and rates are three projections: in one, each rate would repeat the
+    text of the sums below it, and the compiled method would outgrow what the JVM
+    optimises.
+    """
     slots = slots.withColumnsRenamed({"bin_id": "_bin_id", "slot": "_slot"})
     same = (rows["bin_id"] == slots["_bin_id"]) & (rows["slot"] == slots["_slot"])
-    return rows.join(slots, same).withColumns(
-        {
-            "position": F.expr("before + rank - 1"),
-            **_rates(sums),
-            "avg_fill_last_week": F.expr(f"coalesce(({week_y}) / nullif({week_n}, 0D), 0D)"),
-        }
+    summed = rows.join(slots, same).selectExpr(
+        *_CARRIED[:-2],
+        "before + rank - 1 AS position",
+        "total",
+        "x",
+        *[f"{v} AS {k}" for k, v in sums.items()],
+    )
+    sloped = summed.selectExpr(
+        *_CARRIED,
+        f"coalesce(y_{WEEK_HOURS} / nullif(n_{WEEK_HOURS}, 0D), 0D) AS avg_fill_last_week",
+        *[f"n_{h}" for h in RATE_HOURS],
+        *[f"{_SLOPE.format(h=h)} AS slope_{h}" for h in SLOPE_HOURS],
+    )
+    wide = F.col(f"slope_{WIDE_HOURS}")
+    return sloped.select(
+        *_CARRIED,
+        "avg_fill_last_week",
+        *[
+            features.rate_of(F.col(f"n_{h}"), F.col(f"slope_{h}"), wide).alias(f"fill_rate_{h}h")
+            for h in RATE_HOURS
+        ],
     )
 
 
@@ -116,13 +127,14 @@ def _literal_windows(rows: DataFrame, as_of: dt.datetime) -> DataFrame:
         f"row_number() OVER ({order}) AS rank",
         *[f"{v} OVER ({so_far}) AS {k}" for k, v in parts.items()],
     )
-    sums = {
-        h: {k: f"(before_{k}_{h} + {k}_{h})" for k in MOMENTS}
-        | {"lo": f"least(before_lo_{h}, lo_{h})", "hi": "x"}
-        for h in SLOPE_HOURS
-    }
-    y, n = (f"before_{k}_{WEEK_HOURS} + {k}_{WEEK_HOURS}" for k in "yn")
-    return _finish(rows, slots, sums, y, n)
+    return _finish(
+        rows,
+        slots,
+        {
+            k: f"least(before_{k}, {k})" if k.startswith("lo") else f"before_{k} + {k}"
+            for k in parts
+        },
+    )
 
 
 def _between(h: int) -> str:
@@ -192,6 +204,10 @@ def _row_windows(rows: DataFrame) -> DataFrame:
         "y",
         *[f"IF(lag = 0, {c}, NULL) AS {c}" for c in kept],
     )
+    # Edges that fall into a slot without readings are looked at by no one. The slots are
+    # far fewer than the rows, and both sides meet in the partitioning the windows need.
+    taken = rows.select(*_SLOT).distinct().hint("shuffle_hash")
+    spread = spread.join(taken, list(_SLOT), "left_semi")
     head, tail = f"{_BY_SLOT} ORDER BY offset", f"{_BY_SLOT} ORDER BY offset DESC"
     columns = [f"sum(IF(lag = 0, {v}, 0D)) OVER ({head}) AS head_{k}" for k, v in MOMENTS.items()]
     columns.append(f"min(IF(lag = 0, x, NULL)) OVER ({head}) AS head_lo")
@@ -206,13 +222,14 @@ def _row_windows(rows: DataFrame) -> DataFrame:
     ]
     own = spread.selectExpr("*", *columns).filter("lag = 0")
     own = own.selectExpr("*", f"row_number() OVER ({_BY_SLOT} ORDER BY at, sensor_id) AS rank")
-    sums = {
-        h: {k: f"(head_{k} + mid_{h}.{k} + tail_{k}_{h})" for k in MOMENTS}
-        | {"lo": f"least(head_lo, mid_{h}.lo, tail_lo_{h})", "hi": "x"}
-        for h in SLOPE_HOURS
-    }
-    y, n = (f"head_{k} + week_{k} + tail_{k}_{WEEK_HOURS}" for k in "yn")
-    return _finish(own, slots, sums, y, n)
+    sums: dict[str, str] = {}
+    for h in SLOPE_HOURS:
+        sums |= {f"{k}_{h}": f"head_{k} + mid_{h}.{k} + tail_{k}_{h}" for k in MOMENTS}
+        sums[f"lo_{h}"] = f"least(head_lo, mid_{h}.lo, tail_lo_{h})"
+    h = WEEK_HOURS
+    return _finish(
+        own, slots, sums | {f"{k}_{h}": f"head_{k} + week_{k} + tail_{k}_{h}" for k in "ny"}
+    )
 
 
 def _neighbours(rows: DataFrame, ahead: tuple[int, ...], block_rows: int) -> DataFrame:
@@ -283,7 +300,7 @@ def prefix(
         rows = features.days_since_maintenance(rows, as_of, maintenance, bins)
         moment = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     else:
-        rows = _days_since_at_row(rows, maintenance, bins)
+        rows = _days_since_at_row(rows, readings, maintenance, bins)
         moment = F.col("timestamp")
     rows = rows.withColumns(features.calendar_columns(moment))
     return rows.withColumnRenamed("fill_level", "current_fill_level").select(
@@ -298,14 +315,16 @@ def prefix(
 
 
 def _days_since_at_row(
-    rows: DataFrame, maintenance: DataFrame | None, bins: DataFrame | None
+    rows: DataFrame, readings: DataFrame, maintenance: DataFrame | None, bins: DataFrame | None
 ) -> DataFrame:
     known: list[Column] = []
     if maintenance is not None:
         events = maintenance.select(
             "bin_id", "event_timestamp", F.to_date("event_timestamp").alias("_event_day")
         )
-        rows = asof.attach(rows, events, "bin_id", "timestamp", "event_timestamp", ["_event_day"])
+        rows = asof.attach(
+            rows, events, "bin_id", "timestamp", "event_timestamp", ["_event_day"], times_of=readings
+        )
         known.append(F.col("_event_day"))
     if bins is not None:
         dates = bins.select("bin_id", F.to_date("last_maintenance_date").alias("_bin_day"))

@@ -65,15 +65,21 @@ def examples(
         )
         spread = known.select("*", F.inline(pairs))
     else:
-        spread = known.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in horizons])))
-        spread = spread.withColumn(
-            "_due", F.col("timestamp") + F.make_dt_interval(hours=F.col("horizon"))
-        )
+        due = F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon")
+        at = (F.col("timestamp") + F.make_dt_interval(hours=F.col("horizon"))).alias("_due")
         later = features.with_defaults(readings).select(
             "bin_id", F.col("timestamp").alias("_at"), F.col("fill_level").alias("label")
         )
         spread = asof.attach(
-            spread, later, "bin_id", "_due", "_at", ["label"], direction="forward", slot_hours=1
+            known.select("*", due).select("*", at),
+            later,
+            "bin_id",
+            "_due",
+            "_at",
+            ["label"],
+            direction="forward",
+            slot_hours=1,
+            times_of=readings.select("bin_id", "timestamp", due).select("bin_id", at),
         ).filter(F.col("label").isNotNull())
     return spread.select(*EXAMPLE_KEY, *FEATURES, "label")
 

@@ -251,7 +251,11 @@ FROM sensor_data s LEFT JOIN bins b USING (bin_id)""",
         """SELECT bin_id, "timestamp", max(fill_level) AS fill_level, max(temperature) AS temperature,
   max(humidity) AS humidity, max(weight) AS weight FROM sensor_data GROUP BY ALL""",
     ),
-    "route_stops": using("route_history", "SELECT * FROM route_history"),
+    "route_stops": """
+SELECT CAST(o_orderkey AS VARCHAR) AS route_id, CAST((o_orderkey * 7 + i * 13) % 1500 AS VARCHAR) AS bin_id,
+  o_orderdate + to_days(8400) AS service_date,
+  CASE (o_orderkey + i) % 4 WHEN 0 THEN 'collected' WHEN 1 THEN 'delayed' WHEN 2 THEN 'missed' ELSE 'skipped' END AS collection_status
+FROM (SELECT *, unnest(range(1, 4 + o_orderkey % 10)) AS i FROM orders)""",
     "null_defaults": using(
         "gaps",
         """SELECT sensor_id, coalesce(fill_level, 0.0) AS fill_level, coalesce(temperature, 20.0) AS temperature,

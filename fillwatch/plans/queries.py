@@ -236,9 +236,7 @@ def readings_to_wide(spark, sf_dir):
 
 @query
 def route_stops(spark, sf_dir):
-    stops = F.collect_list(F.struct("bin_id", "service_date", "collection_status"))
-    routes = ad.route_history(spark, sf_dir).groupBy("route_id").agg(stops.alias("stops"))
-    return records.explode_stops(routes)
+    return records.explode_stops(ad.planned_routes(spark, sf_dir))
 
 
 @query

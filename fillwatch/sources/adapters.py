@@ -155,6 +155,21 @@ def route_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planned_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One route per order, with its 3 to 12 stops as an array."""
+    n = F.col("o_orderkey")
+    states = F.array(*[F.lit(s) for s in ("collected", "delayed", "missed", "skipped")])
+    stop = lambda i: F.struct(
+        _text((n * 7 + i * 13) % 1500).alias("bin_id"),
+        (F.col("o_orderdate") + F.lit(SHIFT)).alias("service_date"),
+        F.get(states, ((n + i) % 4).cast("int")).alias("collection_status"),
+    )
+    return table(spark, sf_dir, "orders").select(
+        _text(n).alias("route_id"),
+        F.transform(F.sequence(F.lit(1).cast("long"), 3 + n % 10), stop).alias("stops"),
+    )
+
+
 def raw_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bins as they register themselves: nested, with some fields absent or zero."""
     n = F.col("bin_id").cast("long")
