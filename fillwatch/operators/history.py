@@ -44,11 +44,15 @@ _PLACES = (
 )
 
 
+# A reading's place in its slot, and how many of the slot are at its instant up to it.
+_RANK = f"row_number() OVER ({_BY_SLOT} ORDER BY at, sensor_id) AS rank"
+_EARLIER = f"(rank() OVER ({_BY_SLOT} ORDER BY at) - 1)"
+
 _SLOPE = (
-    "CASE WHEN n_{h} >= 2 AND lo_{h} < x"
+    "CASE WHEN n_{h} > same"
     " THEN (n_{h} * xy_{h} - x_{h} * y_{h}) / (n_{h} * xx_{h} - x_{h} * x_{h}) END"
 )
-"""Slope from sums up to the time ``x``; null unless two different times are present."""
+"""Slope from sums; null unless the window holds more than the ``same`` instant."""
 
 
 def _slotted(readings: DataFrame) -> DataFrame:
@@ -76,7 +80,7 @@ def _finish(rows: DataFrame, slots: DataFrame, sums: dict[str, str]) -> DataFram
         *_CARRIED[:-2],
         "before + rank - 1 AS position",
         "total",
-        "x",
+        "same",
         *[f"{v} AS {k}" for k, v in sums.items()],
     )
     sloped = summed.selectExpr(
@@ -103,7 +107,6 @@ def _literal_windows(rows: DataFrame, as_of: dt.datetime) -> DataFrame:
     parts: dict[str, str] = {}
     for h in SLOPE_HOURS:
         parts |= {f"{k}_{h}": f"sum(IF(x >= -{h}, {v}, 0D))" for k, v in MOMENTS.items()}
-        parts[f"lo_{h}"] = f"min(IF(x >= -{h}, x, NULL))"
     parts[f"n_{WEEK_HOURS}"] = f"sum(IF(x >= -{WEEK_HOURS}, 1D, 0D))"
     parts[f"y_{WEEK_HOURS}"] = f"sum(IF(x >= -{WEEK_HOURS}, y, 0D))"
 
@@ -113,28 +116,16 @@ def _literal_windows(rows: DataFrame, as_of: dt.datetime) -> DataFrame:
     slots = slots.selectExpr(
         *_SLOT,
         *_PLACES,
-        *[
-            f"min({k}) OVER ({_EARLIER_SLOTS}) AS before_{k}"
-            if k.startswith("lo")
-            else f"coalesce(sum({k}) OVER ({_EARLIER_SLOTS}), 0D) AS before_{k}"
-            for k in parts
-        ],
+        *[f"coalesce(sum({k}) OVER ({_EARLIER_SLOTS}), 0D) AS before_{k}" for k in parts],
     )
-    order = f"{_BY_SLOT} ORDER BY at, sensor_id"
-    so_far = f"{order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    so_far = f"{_BY_SLOT} ORDER BY at, sensor_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     rows = rows.selectExpr(
         "*",
-        f"row_number() OVER ({order}) AS rank",
+        _RANK,
+        f"{_EARLIER} AS earlier",
         *[f"{v} OVER ({so_far}) AS {k}" for k, v in parts.items()],
-    )
-    return _finish(
-        rows,
-        slots,
-        {
-            k: f"least(before_{k}, {k})" if k.startswith("lo") else f"before_{k} + {k}"
-            for k in parts
-        },
-    )
+    ).withColumn("same", F.expr("rank - earlier"))
+    return _finish(rows, slots, {k: f"before_{k} + {k}" for k in parts})
 
 
 def _between(h: int) -> str:
@@ -145,14 +136,13 @@ def _between(h: int) -> str:
     """
     moved = f"transform(filter(recent, s -> s.slot > slot - {h}), s -> named_struct('s', s, 'm', CAST(s.slot - slot AS DOUBLE)))"
     return f"""aggregate({moved},
-        named_struct('n', 0D, 'x', 0D, 'y', 0D, 'xy', 0D, 'xx', 0D, 'lo', CAST(NULL AS DOUBLE)),
+        named_struct('n', 0D, 'x', 0D, 'y', 0D, 'xy', 0D, 'xx', 0D),
         (a, r) -> named_struct(
             'n', a.n + r.s.n,
             'x', a.x + r.s.x + r.m * r.s.n,
             'y', a.y + r.s.y,
             'xy', a.xy + r.s.xy + r.m * r.s.y,
-            'xx', a.xx + r.s.xx + 2 * r.m * r.s.x + r.m * r.m * r.s.n,
-            'lo', least(a.lo, r.s.lo + r.m)))"""
+            'xx', a.xx + r.s.xx + 2 * r.m * r.s.x + r.m * r.m * r.s.n))"""
 
 
 def _row_windows(rows: DataFrame) -> DataFrame:
@@ -173,12 +163,11 @@ def _row_windows(rows: DataFrame) -> DataFrame:
         .agg(
             F.count("*").alias("size"),
             *[F.expr(f"sum({v})").alias(k) for k, v in MOMENTS.items()],
-            F.min("x").alias("lo"),
         )
         .selectExpr(
             *_SLOT,
             *_PLACES,
-            f"collect_list(struct(slot, n, x, y, xy, xx, lo)) OVER ({wide}) AS recent",
+            f"collect_list(struct(slot, n, x, y, xy, xx)) OVER ({wide}) AS recent",
             f"coalesce(sum(n) OVER ({week}), 0D) AS week_n",
             f"coalesce(sum(y) OVER ({week}), 0D) AS week_y",
         )
@@ -192,14 +181,22 @@ def _row_windows(rows: DataFrame) -> DataFrame:
         )
     )
 
+    head = f"{_BY_SLOT} ORDER BY at"
+    own = rows.selectExpr(
+        "*",
+        _RANK,
+        f"{_EARLIER} AS earlier",
+        *[f"sum({v}) OVER ({head}) AS head_{k}" for k, v in MOMENTS.items()],
+    ).withColumn("same", F.expr("head_n - earlier"))
+
     lags = ", ".join(str(h) for h in (0, *SLOPE_HOURS, WEEK_HOURS))
-    kept = ("sensor_id", "timestamp", "at", *_MEASURES[1:])
-    spread = rows.selectExpr("*", f"explode(array({lags})) AS lag").selectExpr(
+    heads = [f"head_{k}" for k in MOMENTS]
+    kept = ("sensor_id", "timestamp", *_MEASURES, "rank", "same", *heads)
+    spread = own.selectExpr("*", f"explode(array({lags})) AS lag").selectExpr(
         "bin_id",
         "slot + lag AS slot",
         "lag",
         "offset",
-        "fill_level",
         "x - lag AS x",
         "y",
         *[f"IF(lag = 0, {c}, NULL) AS {c}" for c in kept],
@@ -208,24 +205,19 @@ def _row_windows(rows: DataFrame) -> DataFrame:
     # far fewer than the rows, and both sides meet in the partitioning the windows need.
     taken = rows.select(*_SLOT).distinct().hint("shuffle_hash")
     spread = spread.join(taken, list(_SLOT), "left_semi")
-    head, tail = f"{_BY_SLOT} ORDER BY offset", f"{_BY_SLOT} ORDER BY offset DESC"
-    columns = [f"sum(IF(lag = 0, {v}, 0D)) OVER ({head}) AS head_{k}" for k, v in MOMENTS.items()]
-    columns.append(f"min(IF(lag = 0, x, NULL)) OVER ({head}) AS head_lo")
-    for h in SLOPE_HOURS:
-        columns += [
-            f"sum(IF(lag = {h}, {v}, 0D)) OVER ({tail}) AS tail_{k}_{h}" for k, v in MOMENTS.items()
-        ]
-        columns.append(f"min(IF(lag = {h}, x, NULL)) OVER ({tail}) AS tail_lo_{h}")
-    columns += [
+    tail = f"{_BY_SLOT} ORDER BY offset DESC"
+    columns = [
+        f"sum(IF(lag = {h}, {v}, 0D)) OVER ({tail}) AS tail_{k}_{h}"
+        for h in SLOPE_HOURS
+        for k, v in MOMENTS.items()
+    ] + [
         f"sum(IF(lag = {WEEK_HOURS}, {MOMENTS[k]}, 0D)) OVER ({tail}) AS tail_{k}_{WEEK_HOURS}"
         for k in "ny"
     ]
     own = spread.selectExpr("*", *columns).filter("lag = 0")
-    own = own.selectExpr("*", f"row_number() OVER ({_BY_SLOT} ORDER BY at, sensor_id) AS rank")
     sums: dict[str, str] = {}
     for h in SLOPE_HOURS:
         sums |= {f"{k}_{h}": f"head_{k} + mid_{h}.{k} + tail_{k}_{h}" for k in MOMENTS}
-        sums[f"lo_{h}"] = f"least(head_lo, mid_{h}.lo, tail_lo_{h})"
     h = WEEK_HOURS
     return _finish(
         own, slots, sums | {f"{k}_{h}": f"head_{k} + week_{k} + tail_{k}_{h}" for k in "ny"}

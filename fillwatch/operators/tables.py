@@ -192,11 +192,24 @@ def bins_with_readings(readings: DataFrame) -> DataFrame:
 
 
 def sensor_history(readings: DataFrame, limit: int | None = None) -> DataFrame:
-    """The columns features need; with a limit, the earliest rows, always the same ones."""
+    """The columns features need; with a limit, the earliest rows, always the same ones.
+
+    Every task would send ``limit`` rows of its own to the one that merges them, so the
+    hour in which the limit is reached is found first, from one row per hour, and later
+    readings are dropped where they are read.
+    """
     history = readings.select(
         "sensor_id", "bin_id", "timestamp", "fill_level", "temperature", "humidity", "weight"
     )
-    return history if limit is None else history.orderBy("timestamp", "sensor_id").limit(limit)
+    if limit is None:
+        return history
+    hour = F.date_trunc("hour", "timestamp")
+    hours = readings.groupBy(hour.alias("hour")).agg(F.count("*").alias("rows"))
+    so_far = F.sum("rows").over(Window.orderBy("hour"))
+    reached = hours.withColumn("so_far", so_far).filter(F.col("so_far") >= limit)
+    last = reached.agg(F.min("hour")).scalar()
+    early = F.col("timestamp").isNull() | last.isNull() | (hour <= last)
+    return history.filter(early).orderBy("timestamp", "sensor_id").limit(limit)
 
 
 def column_types(df: DataFrame) -> dict[str, T.DataType]:

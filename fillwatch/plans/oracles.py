@@ -154,8 +154,6 @@ def using(names: str, body: str, readings: str = "sensor_data") -> str:
     parts = []
     for name in order:
         text = TABLES[name].replace("{source}", readings)
-        if name in ("alarms",):
-            text = text.replace("FROM events", "FROM main.events")
         parts.append(f"{name} AS ({text}\n)")
     return "WITH " + ",\n".join(parts) + "\n" + body
 

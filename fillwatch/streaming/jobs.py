@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -143,3 +144,7 @@ def run(spark: SparkSession, root: str, checkpoints: str) -> None:
     for line in status(spark):
         logger.info("%s", line)
     await_any(spark)
+
+
+if __name__ == "__main__":
+    run(SparkSession.builder.appName("fillwatch").getOrCreate(), *sys.argv[1:3])

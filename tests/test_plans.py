@@ -31,6 +31,7 @@ SINGLE = {
     "daily_rollup",
     "performance_parse",
     "performance_recent",
+    "sensor_history_sample",
 }
 
 

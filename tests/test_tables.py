@@ -77,6 +77,9 @@ def test_query_errors_are_raised(spark, small):
 def test_limit_takes_the_same_rows(spark, small):
     readings = ad.sensor_data(spark, small)
     one = tables.sensor_history(readings, 50).collect()
+    first = readings.orderBy("timestamp", "sensor_id").limit(50).collect()
+    assert [r.sensor_id for r in one] == [r.sensor_id for r in first]
+    assert tables.sensor_history(readings, 10**6).count() == readings.count()
     assert one == tables.sensor_history(readings.repartition(5), 50).collect()
 
 
