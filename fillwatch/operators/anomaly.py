@@ -76,22 +76,27 @@ def _samples(
 ) -> DataFrame:
     """``sample`` rows for each tree, drawn without replacement.
 
-    A pool of at most trees times sample rows is drawn first, those with the least hash
-    of their key; each tree then draws from the pool, so the exploded pool never grows
-    with the data. Rows whose hash is far from the least are dropped where they are read:
-    about twice the pool gets past that, out of however many rows, so the task that
-    orders the pool stays small.
+    The rows with the least hash of their key are dealt out to the trees in turn. Rows
+    whose hash is far from the least are dropped where they are read: about twice what
+    the trees need gets past that, out of however many rows, so the task that orders the
+    pool stays small. Where there are too few rows to deal, every tree draws from all of
+    them by a hash of its own.
     """
     size = trees * sample
-    share = min(1.0, 2.0 * size / max(rows.count(), 1))
-    least = -(2**63)
-    cut = min(least + int(share * 2**64), 2**63 - 1)
+    n = rows.count()
+    least, span = -(2**63), 2**64
+    cut = min(least + int(min(1.0, 2.0 * size / max(n, 1)) * span), 2**63 - 1)
     pool = (
         rows.select(F.xxhash64(F.lit(seed), *key).alias("_draw"), *columns)
         .filter(F.col("_draw") <= F.lit(cut))
         .orderBy("_draw", *columns)
         .limit(size)
     )
+    if n >= size:
+        place = F.row_number().over(Window.orderBy("_draw", *columns)) - 1
+        dealt = pool.withColumn("_place", place)
+        tree, rank = F.col("_place") % trees, F.floor(F.col("_place") / trees).cast("int") + 1
+        return dealt.select("_draw", *columns, tree.alias("tree"), rank.alias("_rank"))
     spread = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
     drawn = Window.partitionBy("tree").orderBy(F.xxhash64("tree", "_draw"), "_draw")
     return spread.withColumn("_rank", F.row_number().over(drawn)).filter(F.col("_rank") <= sample)
@@ -108,6 +113,8 @@ def fit(
 ) -> IsolationForest:
     """Grow the trees and find the score above which the given share of rows lies.
 
+    ``key`` tells the rows apart; a hash of it decides which are sampled.
+
     The trees are at most trees x (2 x sample - 1) rows, whatever the data's size, so
     the driver may hold and broadcast them.
     """

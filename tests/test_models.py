@@ -118,6 +118,15 @@ def test_trees_are_bounded_and_repeatable(spark):
     assert forest.nodes.groupby("tree").size().max() <= 2 * 32 - 1
 
 
+def test_trees_get_full_and_separate_samples(spark):
+    df = settled(points(spark))
+    dealt = anomaly._samples(df, ("a", "b"), ("k",), 5, 64, 7).collect()
+    assert len({(r.a, r.b) for r in dealt}) == len(dealt) == 5 * 64
+    assert {sum(r.tree == t for r in dealt) for t in range(5)} == {64}
+    drawn = anomaly._samples(df, ("a", "b"), ("k",), 50, 64, 7).collect()
+    assert {len({r.a for r in drawn if r.tree == t}) for t in range(50)} == {64}
+
+
 def test_fewer_rows_than_the_sample(spark):
     df = points(spark, 20)
     forest = anomaly.fit(df, ("a", "b"), ("k",), trees=5, sample=256)
