@@ -3,6 +3,27 @@
 from __future__ import annotations
 
 ORACLES: dict[str, str] = {
+    "op2_near_dedup": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN words ELSE words[i:i + 3] END AS shingle
+  FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(1, len(words) - 3))) AS i
+        FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+e AS (
+  SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * common >= 80 * (p.n + q.n - common)),
+r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+k AS (SELECT x AS doc_id, min(y) AS component_id FROM r GROUP BY x)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, k.component_id, w.doc_id = k.component_id AS kept
+FROM w JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)
+""",
     "op8_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS chars,

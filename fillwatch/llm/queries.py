@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwatch.llm import exact, mixing, oracles
+from fillwatch.llm import bpe, exact, mixing, near, oracles
 from fillwatch.llm.texts import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,30 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.find(documents(spark, sf_dir), width=4)
+
+
+def _vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    ranks = bpe.read_ranks(path or _vocabulary("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(documents(spark, sf_dir), bpe.rank_coder(spark, ranks))
+    decoded = bpe.decode(encoded, bpe.token_table(spark, ranks))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.find(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")

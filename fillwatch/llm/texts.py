@@ -50,6 +50,17 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[at[0] : at[-1]], at - at[0]
 
 
+def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same for binary values."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[at[0] : at[-1]], at - at[0]
+
+
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all texts one after another, and where each begins (one entry more)."""
     at = np.zeros(len(texts) + 1, np.int64)
