@@ -69,5 +69,35 @@ SELECT d.doc_id, d.size, p.source_size, p.target,
        d.size * (p.passes + CASE WHEN b.below + b.n / 2 <= p.target - p.passes * p.source_size THEN 1 ELSE 0 END) AS taken
 FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
        JOIN b ON d.source IS NOT DISTINCT FROM b.source AND d.place = b.place
+""",
+    "op10_merkle_fingerprints": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n_chars,
+         coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC),
+                  first_value(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS next
+  FROM documents),
+e AS (SELECT *, substr(text, 1, n_chars - n_chars // 2) || substr(next, 1, n_chars // 2) AS edited FROM d),
+u AS (SELECT DISTINCT unnest([text, next, edited]) AS t FROM e),
+k AS (
+  SELECT t, list_transform(string_split(t, chr(10) || chr(10)), lambda s:
+              list_transform(string_split(s, chr(10)), lambda p:
+                list_transform(string_split(regexp_replace(p, '([.!?]) ', '\1' || chr(1), 'g'), chr(1)), lambda x: md5(x)))) AS tree
+  FROM u),
+h AS (
+  SELECT t, list_transform(tree, lambda s: list_transform(s, lambda p: md5(array_to_string(p, '')))) AS paragraphs,
+         list_distinct(flatten(flatten(tree))) AS leaves
+  FROM k),
+f AS (
+  SELECT t, paragraphs, leaves,
+         sha256(array_to_string(list_transform(paragraphs, lambda s: md5(array_to_string(s, ''))), '')) AS root
+  FROM h)
+SELECT e.doc_id, e.n_chars::BIGINT AS n_chars, sha256(e.edited) AS edited_sha256,
+       a.root AS fingerprint, b.root AS edited_fingerprint,
+       2.0::DOUBLE * len(list_intersect(a.leaves, b.leaves)) / (len(a.leaves) + len(b.leaves)) AS near_edited,
+       2.0::DOUBLE * len(list_intersect(a.leaves, n.leaves)) / (len(a.leaves) + len(n.leaves)) AS near_next,
+       coalesce(list_sum(list_transform(generate_series(1, len(a.paragraphs)), lambda i:
+         len(list_filter(generate_series(1, len(a.paragraphs[i])), lambda j:
+           a.paragraphs[i][j] IS DISTINCT FROM b.paragraphs[i][j])))), 0)::BIGINT AS n_changed
+FROM e JOIN f a ON a.t = e.text JOIN f b ON b.t = e.edited JOIN f n ON n.t = e.next
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwatch.llm import bpe, exact, mixing, near, oracles
+from fillwatch.llm import bpe, exact, merkle, mixing, near, oracles
 from fillwatch.llm.texts import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,10 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
+
+
+@query
+def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.edits(documents(spark, sf_dir)).withColumn(
+        "n_changed", F.size("changed").cast("long")
+    ).drop("changed")
