@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwatch.llm import bpe, exact, merkle, mixing, near, oracles
+from fillwatch.llm import bpe, exact, merkle, mixing, near, oracles, shards
 from fillwatch.llm.texts import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,24 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> D
     )
 
 
+@query
+def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = shards.shuffled(documents(spark, sf_dir))
+    text = F.coalesce("record.text", F.lit(""))
+    placed = rows.select(
+        "bucket",
+        "part",
+        "place",
+        "record.doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+    )
+    return shards.deal(placed, rows.select("bucket", "part")).withColumn(
+        "grown_shard", F.lit(None).cast("int")
+    )
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.find(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
