@@ -268,7 +268,9 @@ def _gather(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(done[-1] if len(done) else 0) + np.repeat(begin - (done - count), count)
 
 
-def encode(docs: DataFrame, coder: Callable[[], WordCoder], parts: int | None = None) -> DataFrame:
+def encode(
+    docs: DataFrame, coder: Callable[[], WordCoder], parts: int | None = None, width: int = 4
+) -> DataFrame:
     """Token ids of each row's whole text.
 
     ``coder()`` runs in a task and gives the function that encodes words, see ``rank_coder``.
@@ -277,8 +279,10 @@ def encode(docs: DataFrame, coder: Callable[[], WordCoder], parts: int | None =
     ids; rows alike or with a null ``doc_id`` are encoded each for itself; an empty table gives no
     rows. Only ``doc_id`` and ``text`` are read.
 
-    Columns: ``doc_id``, ``ids``, ``packed`` (the ids as little-endian unsigned 32-bit integers).
+    Columns: ``doc_id``, ``ids``, ``packed`` (the ids as little-endian unsigned integers of
+    ``width`` bytes, 2 or 4; an id that does not fit is an error).
     """
+    kind = {2: "<u2", 4: "<u4"}[width]
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     held = settled(blocks(docs, parts), "blocks")
@@ -332,7 +336,9 @@ def encode(docs: DataFrame, coder: Callable[[], WordCoder], parts: int | None =
                 if n:
                     slot, size = np.concatenate(slot), np.concatenate(size)
                     count[slot], begin[slot] = size, np.cumsum(size) - size
-                flat = flat.astype("<u4")
+                if len(flat) and int(flat.max()) >= 1 << (8 * width):
+                    raise ValueError(f"an id of {int(flat.max())} does not fit into {width} bytes")
+                flat = flat.astype(kind)
                 word = np.append(0, np.cumsum(_unplaned(row["counts"])))
                 use = _unplaned(row["slots"])
                 for low, high in texts.slices(word, SLICE):
@@ -347,7 +353,7 @@ def encode(docs: DataFrame, coder: Callable[[], WordCoder], parts: int | None =
                                 pa.array(at, pa.int32()), pa.array(ids.astype(np.int32))
                             ),
                             "packed": pa.Array.from_buffers(
-                                pa.binary(), high - low, [None, pa.py_buffer((at * 4).astype(np.int32)), pa.py_buffer(ids)]
+                                pa.binary(), high - low, [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(ids)]
                             ),
                         }
                     )

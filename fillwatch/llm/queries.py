@@ -7,8 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fillwatch.llm import bpe, exact, merkle, mixing, near, oracles, shards
+from fillwatch.llm import (
+    bpe,
+    exact,
+    language,
+    licences,
+    merkle,
+    mixing,
+    near,
+    oracles,
+    shards,
+    tokens,
+    toxicity,
+)
 from fillwatch.llm.texts import documents
+from fillwatch.session import settled, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,11 +33,34 @@ def query(f: Query) -> Query:
     return f
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model)
+
+
 @query
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.find(documents(spark, sf_dir), width=4)
 
 
+@query
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(3)) == 1
+    return language.predict(docs, language.fit(docs)).withColumn(
+        "held_out", F.coalesce(held_out, F.lit(False))
+    )
+
+
+@query
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(documents(spark, sf_dir))
+    lists = ("sentences", "licences", "unmatched")
+    return found.drop("places").withColumns({c: F.array_join(c, ",") for c in lists})
+
+
 def _vocabulary(name: str) -> str:
     import public_tokenizers
 
@@ -62,6 +98,28 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    coder = tokens.library_coder(spark, path or _vocabulary("byte_bpe_50k.json"))
+    folder = shared_dir(spark, "token-files")
+    runs = tokens.write(bpe.encode(docs, coder, width=2), folder, end=2, width=2)
+    buckets = tokens.buckets_of(runs)
+    index = settled(tokens.index(runs, buckets), "token-index")
+    files = settled(tokens.files_of(runs), "token-files")
+    found = tokens.find(docs.select("doc_id"), index, buckets)
+    read = tokens.read(found, files.select("shard", "file"), folder).select(
+        "doc_id",
+        "shard",
+        "start",
+        F.floor(F.octet_length("packed") / 4).cast("long").alias("n_tokens"),
+        F.crc32("packed").alias("ids_crc32"),
+    )
+    return read.join(files, "shard").select(
+        "doc_id", (F.col("base") + F.col("start")).alias("start"), "n_tokens", "ids_crc32"
+    )
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.find(documents(spark, sf_dir)).withColumnRenamed("digest", "text_sha256")
