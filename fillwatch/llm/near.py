@@ -116,8 +116,9 @@ def _rough_edges(classes: DataFrame, coordinates: int, least: int) -> DataFrame:
     tokens = classes.select("node", F.explode("tokens").alias("token"))
     shared = tokens.groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
     order = F.array_sort(F.collect_set(F.struct("n", "token")))
+    # merge: both sides grow with the documents, so neither is ever sent to all tasks
     posted = (
-        tokens.join(shared, "token")
+        tokens.join(shared.hint("merge"), "token")
         .groupBy("node")
         .agg(order.alias("shared"))
         .filter(F.size("shared") >= least)
@@ -165,7 +166,9 @@ def _confirmed_edges(docs: DataFrame, groups: DataFrame, width: int, part: int,
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
         .select("component", _cells(F.col("block"), F.col("blocks")).alias("cell"), "node")
     )
-    members = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(cells, "node")
+    members = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(
+        cells.hint("merge"), "node"
+    )
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, cut in complete_runs(batches, ["component", "cell"]):
