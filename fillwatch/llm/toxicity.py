@@ -24,8 +24,9 @@ from fillwatch.session import settled
 
 #: Labelled documents of each grade that are learned from, at most, and features kept, at most.
 SAMPLE, FEATURES = 6000, 4096
-#: A kept feature is in so many documents above grade 0, and so many times as frequent there.
-LEAST_DOCS, LIFT = 3, 8.0
+#: A kept feature is in such a share of the toxic documents and so many times as frequent there as
+#: elsewhere, and follows so many different words for each document that it is in.
+LEAST_SHARE, LIFT, CONTEXTS = 0.02, 8.0, 0.15
 BEGINNINGS = (4, 5, 6)
 SLICE = 1 << 19
 
@@ -34,19 +35,24 @@ _SPACE[[ord(c) for c in texts.SPACES]] = True
 
 
 def features(whole: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all features of the texts, occurrence by occurrence, their texts, and word counts."""
+    """All features of the texts, occurrence by occurrence: their hashes, their texts, and hashes of
+    the word before (0 for a text's first)."""
     code, at = texts.code_points([t.lower() for t in whole])
     start, end = texts.runs(~_SPACE[code], at)
     first = np.searchsorted(start, at)
     owner = np.repeat(np.arange(len(whole)), np.diff(first))
     hasher = texts.Hasher(code)
-    value, of = [hasher.spans(start, end)], [owner]
+    word = hasher.spans(start, end)
+    before = np.append(np.zeros(1, texts.U), word)[: len(word)]
+    before[first[:-1][np.diff(first) > 0]] = 0
+    value, of, after = [word], [owner], [before]
     for length in BEGINNINGS:
         longer = end - start > length
         # a beginning is another feature than a word of the same letters
         value.append(texts.mix(hasher.spans(start[longer], start[longer] + length)))
         of.append(owner[longer])
-    return np.concatenate(value), np.concatenate(of), np.diff(first)
+        after.append(before[longer])
+    return np.concatenate(value), np.concatenate(of), np.concatenate(after)
 
 
 @dataclass
@@ -62,29 +68,34 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
 
 
-def counted(whole: list[str], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Text, feature number and count of the kept features in the texts, and the texts' words."""
-    hashed, owner, words = features(whole)
-    if not len(kept) or not len(hashed):
-        none = np.zeros(0, np.int64)
-        return none, none, none, words
+def _among(kept: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers among the kept features, and which of them are right."""
+    if not len(kept):
+        return np.zeros(len(hashed), np.int64), np.zeros(len(hashed), bool)
     at = np.minimum(np.searchsorted(kept, hashed), len(kept) - 1)
-    hit = kept[at] == hashed
-    pair, n = np.unique(owner[hit] * len(kept) + at[hit], return_counts=True)
-    return pair // len(kept), pair % len(kept), n, words
+    return at, kept[at] == hashed
+
+
+def counted(whole: list[str], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, feature number and count of the kept features in the texts."""
+    hashed, owner, _ = features(whole)
+    at, hit = _among(kept, hashed)
+    width = max(1, len(kept))
+    pair, n = np.unique(owner[hit] * width + at[hit], return_counts=True)
+    return pair // width, pair % width, n
 
 
 def fit_ordinal(
     row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int,
-    decay: float = 1e-3, steps: int = 600, rate: float = 0.05,
+    decay: float = 2e-6, steps: int = 1500, rate: float = 0.1,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by gradient steps (Adam) on the penalised likelihood.
 
-    The thresholds are a first one and the logarithms of the gaps, so they stay in order. Grades
-    weigh alike, however many rows each has.
+    The thresholds are a first one and the logarithms of the gaps, so they stay in order. Grade 0
+    and all grades above it weigh alike, however many rows there are of either.
     """
     top = int(grade.max())
-    share = 1 / np.bincount(grade, minlength=top + 1).clip(1)[grade] / (top + 1)
+    share = np.where(grade > 0, 0.5 / max(1, (grade > 0).sum()), 0.5 / max(1, (grade == 0).sum()))
     p = np.zeros(width + top)
     p[width:] = 1.0
     m, v = np.zeros_like(p), np.zeros_like(p)
@@ -111,8 +122,8 @@ def fit_ordinal(
 
 
 def grades(toxic: np.ndarray, marked: np.ndarray) -> np.ndarray:
-    """Grades from labels that only say toxic or not: 0 is not toxic, 1 and 2 are the toxic texts
-    of fewer and of more marked words (kept features by words) than the median one."""
+    """Grades from labels that only say toxic or not: 0 is not toxic, 2 are the toxic texts with
+    more occurrences of kept features than the median one, 1 the other toxic ones."""
     grade = (toxic > 0).astype(np.int64)
     if grade.any():
         grade[(grade == 1) & (marked > np.median(marked[grade == 1]))] = 2
@@ -167,37 +178,64 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FE
         rows.mapInArrow(present, "feature long, clean long, toxic long")
         .groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .filter((F.col("toxic") >= LEAST_DOCS) & (lift >= LIFT))
+        .filter((F.col("toxic") >= LEAST_SHARE * size[1]) & (lift >= LIFT))
         .orderBy(F.col("toxic").desc(), "feature")
+        .limit(4 * keep)
+        .select("feature", "toxic")
+    )
+    best = settled(best, "features")
+    rough = np.sort(best.toArrow().column(0).to_numpy().astype(np.int64).view(np.uint64))
+
+    def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            whole = batch.column("text").to_pylist()
+            at = np.append(0, np.cumsum([len(t) for t in whole]))
+            for low, high in texts.slices(at, SLICE):
+                hashed, _, before = features(whole[low:high])
+                hit = _among(rough, hashed)[1]
+                pair = np.unique(np.stack([hashed[hit], before[hit]]), axis=1).view(np.int64)
+                yield pa.record_batch({"feature": pa.array(pair[0]), "before": pa.array(pair[1])})
+
+    # words of a text that was copied and edited keep their company; what marks toxic texts doesn't
+    company = (
+        rows.filter("toxic = 1")
+        .select("text")
+        .mapInArrow(contexts, "feature long, before long")
+        .groupBy("feature")
+        .agg(F.countDistinct("before").alias("contexts"))
+    )
+    final = (
+        best.join(company, "feature")
+        .filter((F.col("contexts") > 1) & (F.col("contexts") >= CONTEXTS * F.col("toxic")))
+        .orderBy(F.col("contexts").desc(), "feature")
         .limit(keep)
         .select("feature")
         .toArrow()
     )
-    kept = np.sort(best.column(0).to_numpy().astype(np.int64).view(np.uint64))
+    kept = np.sort(final.column(0).to_numpy().astype(np.int64).view(np.uint64))
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = batch.column("text").to_pylist()
             at = np.append(0, np.cumsum([len(t) for t in whole]))
             for low, high in texts.slices(at, SLICE):
-                row, column, n, words = counted(whole[low:high], kept)
+                row, column, n = counted(whole[low:high], kept)
                 cut = np.searchsorted(row, np.arange(high - low + 1))
                 yield pa.record_batch(
                     {
                         "toxic": batch.column("toxic").slice(low, high - low),
-                        "words": pa.array(words.astype(np.int64)),
                         "columns": pa.array(np.split(column, cut[1:-1]), pa.list_(pa.int64())),
                         "counts": pa.array(np.split(n, cut[1:-1]), pa.list_(pa.int64())),
                     }
                 )
 
-    known = rows.mapInArrow(sparse, "toxic int, words long, columns array<long>, counts array<long>").toArrow()
+    known = rows.mapInArrow(sparse, "toxic int, columns array<long>, counts array<long>").toArrow()
     if not len(kept) or not known.num_rows:
         return none
     columns, counts = known.column("columns").combine_chunks(), known.column("counts").combine_chunks()
     row = np.repeat(np.arange(len(columns)), columns.value_lengths().to_numpy(zero_copy_only=False))
     column, n = columns.flatten().to_numpy(), counts.flatten().to_numpy()
-    marked = np.bincount(row, n, minlength=len(columns)) / np.maximum(known.column("words").to_numpy(), 1)
+    marked = np.bincount(row, n, minlength=len(columns))
     grade = grades(known.column("toxic").to_numpy(), marked)
     weights, thresholds = fit_ordinal(row, column, np.log1p(n), grade, len(kept))
     return Model(kept, weights, thresholds)
@@ -220,7 +258,7 @@ def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
             whole = [t or "" for t in batch.column("text").to_pylist()]
             at = np.append(0, np.cumsum([len(t) for t in whole]))
             for low, high in texts.slices(at, SLICE):
-                row, column, n, _ = counted(whole[low:high], model.features)
+                row, column, n = counted(whole[low:high], model.features)
                 total = np.bincount(row, model.weights[column] * np.log1p(n), minlength=high - low)
                 above = model.above(total)
                 chance = np.column_stack([np.ones(len(total)), above]) - np.column_stack(
