@@ -16,18 +16,20 @@ from __future__ import annotations
 import base64
 import heapq
 import unicodedata
+import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillwatch.llm import texts
 from fillwatch.llm.near import complete_runs
-from fillwatch.session import settled
+from fillwatch.session import shared_dir
 
 #: The pattern that ``pre_tokens`` follows. Fixed value.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -36,7 +38,7 @@ _SPACE = (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 823
 _LETTER, _NUMBER, _WHITE = 1, 2, 3
 
 #: Code points worked on at once, and in a block; a longer text is a block of its own.
-SLICE, BLOCK = 1 << 20, 1 << 24
+SLICE, BLOCK = 1 << 20, 1 << 23
 #: A token table is sent to all executors; larger ones are refused.
 MOST_TOKENS = 1 << 22
 
@@ -116,13 +118,38 @@ def distinct_words(
     return np.array(found, np.int64)[of]
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """32-bit values byte by byte of equal weight, which compresses better."""
-    return values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+def _pressed(values: np.ndarray) -> bytes:
+    """32-bit values, compressed byte by byte of equal weight."""
+    planes = values.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.ZstdCompressor(level=6).compress(planes.tobytes())
 
 
-def _unplaned(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
+def _unpressed(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return planes.reshape(4, -1).T.copy().view("<u4")[:, 0].astype(np.int64)
+
+
+def _pressed_rising(values: np.ndarray) -> bytes:
+    return _pressed(np.diff(values, prepend=0))
+
+
+def _unpressed_rising(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpressed(data))
+
+
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """``df`` written to the shared folder in buckets of ``key``: a join on it moves the other side only."""
+    spark = df.sparkSession
+    path, name = shared_dir(spark, "buckets"), f"fillwatch_{uuid.uuid4().hex}"
+    (
+        df.write.bucketBy(buckets, key)
+        .option("path", path)
+        .option("compression", "uncompressed")
+        .saveAsTable(name, format="parquet")
+    )
+    table = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay, as the path was given
+    return table
 
 
 _BLOCKS = (
@@ -147,20 +174,22 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
         flat = np.frombuffer(b"".join(words), np.uint8)
         part = texts.Hasher(flat).spans(begin, begin + size) % texts.U(parts)
         out = []
+        press = zstandard.ZstdCompressor(level=6).compress
         for p, own in _grouped(part.astype(np.int64)):
+            own = own[np.argsort(rank[own])]
             out.append(
                 {
                     "p": p,
-                    "words": b"".join([words[i] for i in own]),
-                    "lengths": _planes(size[own]),
-                    "slots": _planes(rank[own]),
+                    "words": press(b"".join([words[i] for i in own])),
+                    "lengths": _pressed(size[own]),
+                    "slots": _pressed_rising(rank[own]),
                 }
             )
         return {
             "block": block,
             "doc_ids": ids,
-            "counts": _planes(np.array(counts, np.int64)),
-            "slots": _planes(rank[use]),
+            "counts": _pressed(np.array(counts, np.int64)),
+            "slots": _pressed(rank[use]),
             "parts": out,
         }
 
@@ -285,20 +314,21 @@ def encode(
     kind = {2: "<u2", 4: "<u4"}[width]
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    held = settled(blocks(docs, parts), "blocks")
+    held = _bucketed(blocks(docs, parts), "block", parts)
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids = coder()
         known: dict[bytes, list[int]] = {}
         part = None
+        unpress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 if row["p"] != part:
                     known, part = {}, row["p"]
-                words, at = [], 0
-                for n in _unplaned(row["lengths"]).tolist():
-                    words.append(row["words"][at : at + n])
+                flat, words, at = unpress(row["words"]), [], 0
+                for n in _unpressed(row["lengths"]).tolist():
+                    words.append(flat[at : at + n])
                     at += n
                 new = [w for w in words if w not in known]
                 known.update(zip(new, to_ids(new)))
@@ -307,8 +337,8 @@ def encode(
                     {
                         "block": row["block"],
                         "slots": row["slots"],
-                        "counts": _planes(np.array([len(x) for x in ids], np.int64)),
-                        "ids": _planes(np.array([i for x in ids for i in x], np.int64)),
+                        "counts": _pressed(np.array([len(x) for x in ids], np.int64)),
+                        "ids": _pressed(np.array([i for x in ids for i in x], np.int64)),
                     }
                 )
             names = pa.schema([("block", pa.int64()), *((n, pa.binary()) for n in ("slots", "counts", "ids"))])
@@ -328,9 +358,9 @@ def encode(
         for batch in batches:
             for row in batch.to_pylist():
                 coded = row["coded"] or []
-                slot = [_unplaned(c["slots"]) for c in coded]
-                size = [_unplaned(c["counts"]) for c in coded]
-                flat = np.concatenate([_unplaned(c["ids"]) for c in coded] or [np.zeros(0, np.int64)])
+                slot = [_unpressed_rising(c["slots"]) for c in coded]
+                size = [_unpressed(c["counts"]) for c in coded]
+                flat = np.concatenate([_unpressed(c["ids"]) for c in coded] or [np.zeros(0, np.int64)])
                 n = sum(map(len, slot))
                 count, begin = np.zeros(n, np.int64), np.zeros(n, np.int64)
                 if n:
@@ -339,8 +369,8 @@ def encode(
                 if len(flat) and int(flat.max()) >= 1 << (8 * width):
                     raise ValueError(f"an id of {int(flat.max())} does not fit into {width} bytes")
                 flat = flat.astype(kind)
-                word = np.append(0, np.cumsum(_unplaned(row["counts"])))
-                use = _unplaned(row["slots"])
+                word = np.append(0, np.cumsum(_unpressed(row["counts"])))
+                use = _unpressed(row["slots"])
                 for low, high in texts.slices(word, SLICE):
                     own = use[word[low] : word[high]]
                     each = count[own]
