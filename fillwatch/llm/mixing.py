@@ -82,8 +82,21 @@ def _passed(sums: DataFrame) -> DataFrame:
     )
 
 
+def _place(seed: int) -> Column:
+    """A row's place in its source: the first digits of a hash of seed, ``doc_id`` and text."""
+    place = F.md5(
+        F.concat_ws(
+            ":",
+            F.lit(str(seed)),
+            F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+            F.md5(texts.text_or_empty()),
+        )
+    )
+    return F.substring(place, 1, LENGTH)
+
+
 def mix(docs: DataFrame, seed: int = 0, most: int = MOST) -> DataFrame:
-    """How many words of each row of ``docs`` the mix takes.
+    """How often the mix takes each row of ``docs``, and how many words that makes.
 
     Size is the number of words (``texts.WORD_PATTERN``), 0 for null and empty texts. A source's
     target decides: whole passes over the source first, then a part of it, the rows whose hash of
@@ -94,22 +107,15 @@ def mix(docs: DataFrame, seed: int = 0, most: int = MOST) -> DataFrame:
     columns of any name do no harm. The same rows and seed give the same result, however the table
     is dealt out.
 
-    Columns: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``.
+    Columns: ``doc_id``, ``source``, ``place``, ``size``, ``source_size``, ``target``, ``times``,
+    ``taken``.
     """
-    place = F.md5(
-        F.concat_ws(
-            ":",
-            F.lit(str(seed)),
-            F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-            F.md5(texts.text_or_empty()),
-        )
-    )
     rows = settled(
         docs.select(
             "doc_id",
             "source",
             F.coalesce(words(F.col("text")), F.lit(0)).alias("size"),
-            F.substring(place, 1, LENGTH).alias("place"),
+            _place(seed).alias("place"),
         ),
         "mix",
     )
@@ -153,12 +159,24 @@ def mix(docs: DataFrame, seed: int = 0, most: int = MOST) -> DataFrame:
     below = (F.col("place") < F.col("threshold")) | (
         (F.col("place") == F.col("threshold")) & F.col("edge_too")
     )
-    return _on_source(
-        rows.withColumn("bucket", prefix(STEP)), known, F.col("bucket") == F.col("prefix")
-    ).select(
-        "doc_id",
-        "size",
-        "source_size",
-        "target",
-        (F.col("size") * (F.col("passes") + F.coalesce(below, F.lit(False)).cast("long"))).alias("taken"),
+    times = F.col("passes") + F.coalesce(below, F.lit(False)).cast("long")
+    return (
+        _on_source(rows.withColumn("bucket", prefix(STEP)), known, F.col("bucket") == F.col("prefix"))
+        .select("doc_id", "a.source", "place", "size", "source_size", "target", times.alias("times"))
+        .withColumn("taken", F.col("size") * F.col("times"))
+    )
+
+
+def apply(docs: DataFrame, seed: int = 0, most: int = MOST) -> DataFrame:
+    """The mix itself: each row of ``docs``, with all its columns, as often as ``mix`` takes it."""
+    often = mix(docs.select("doc_id", "text", "source"), seed, most)
+    often = often.filter("times > 0").select("source", "place", "times").distinct()
+    placed = docs.withColumns({"_source": F.col("source"), "_place": _place(seed)})
+    on = F.col("_source").eqNullSafe(F.col("o.source")) & (F.col("_place") == F.col("o.place"))
+    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("o.times"))).alias("_time")
+    return (
+        placed.alias("d")
+        .join(often.hint("merge").alias("o"), on)
+        .select(*[F.col(f"d.`{c}`") for c in docs.columns], repeated)
+        .drop("_time")
     )

@@ -243,3 +243,10 @@ def find(
         .select("doc_id", "n_shingles", component.alias("component_id"))
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
+
+
+def drop_near_copies(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that name their component by ``find``."""
+    kept = find(docs.select("doc_id", "text"), width, part, whole).filter("kept")
+    kept = kept.select(F.col("doc_id").alias("_kept")).distinct().hint("merge")
+    return docs.alias("d").join(kept, F.col("d.doc_id").eqNullSafe(F.col("_kept")), "left_semi")

@@ -61,7 +61,7 @@ def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("places").withColumns({c: F.array_join(c, ",") for c in lists})
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
@@ -69,7 +69,7 @@ def _vocabulary(name: str) -> str:
 
 @query
 def op5_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
-    ranks = bpe.read_ranks(path or _vocabulary("byte_bpe_50k.tiktoken"))
+    ranks = bpe.read_ranks(path or vocabulary("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode(documents(spark, sf_dir), bpe.rank_coder(spark, ranks))
     decoded = bpe.decode(encoded, bpe.token_table(spark, ranks))
     return decoded.select(
@@ -101,7 +101,7 @@ def op6_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     docs = documents(spark, sf_dir)
-    coder = tokens.library_coder(spark, path or _vocabulary("byte_bpe_50k.json"))
+    coder = tokens.library_coder(spark, path or vocabulary("byte_bpe_50k.json"))
     folder = shared_dir(spark, "token-files")
     runs = tokens.write(bpe.encode(docs, coder, width=2), folder, end=2, width=2)
     buckets = tokens.buckets_of(runs)
@@ -127,7 +127,7 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(documents(spark, sf_dir))
+    return mixing.mix(documents(spark, sf_dir)).drop("source", "place", "times")
 
 
 @query

@@ -28,6 +28,8 @@ SAMPLE, FEATURES = 6000, 4096
 #: elsewhere, and follows so many different words for each document that it is in.
 LEAST_SHARE, LIFT, CONTEXTS = 0.02, 8.0, 0.15
 BEGINNINGS = (4, 5, 6)
+#: The chance of a grade above 0 from which a text counts as toxic.
+LEAST = 0.5
 SLICE = 1 << 19
 
 _SPACE = np.zeros(0x110000, bool)
@@ -241,7 +243,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FE
     return Model(kept, weights, thresholds)
 
 
-def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
+def _chances(whole: list[str], model: Model) -> np.ndarray:
+    """P(grade > k) for each text and k."""
+    row, column, n = counted(whole, model.features)
+    total = np.bincount(row, model.weights[column] * np.log1p(n), minlength=len(whole))
+    return model.above(total)
+
+
+def _scored(batch: pa.RecordBatch, model: Model) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Slices of a batch with their texts' chances."""
+    whole = [t or "" for t in batch.column("text").to_pylist()]
+    at = np.append(0, np.cumsum([len(t) for t in whole]))
+    for low, high in texts.slices(at, SLICE):
+        yield batch.slice(low, high - low), _chances(whole[low:high], model)
+
+
+def score(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
     """The severity of each row's whole text.
 
     ``severity`` is the expected grade, ``grade`` the likeliest, and ``toxic`` says whether a grade
@@ -253,22 +270,14 @@ def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            whole = [t or "" for t in batch.column("text").to_pylist()]
-            at = np.append(0, np.cumsum([len(t) for t in whole]))
-            for low, high in texts.slices(at, SLICE):
-                row, column, n = counted(whole[low:high], model.features)
-                total = np.bincount(row, model.weights[column] * np.log1p(n), minlength=high - low)
-                above = model.above(total)
-                chance = np.column_stack([np.ones(len(total)), above]) - np.column_stack(
-                    [above, np.zeros(len(total))]
-                )
+            for part, above in _scored(batch, shared.value):
+                edge = np.column_stack([np.ones(len(above)), above, np.zeros(len(above))])
                 yield pa.record_batch(
                     {
-                        "doc_id": batch.column("doc_id").slice(low, high - low),
+                        "doc_id": part.column("doc_id"),
                         "severity": pa.array(above.sum(axis=1)),
-                        "grade": pa.array(chance.argmax(axis=1).astype(np.int32)),
+                        "grade": pa.array((edge[:, :-1] - edge[:, 1:]).argmax(axis=1).astype(np.int32)),
                         "toxic": pa.array(above[:, 0] >= least),
                     }
                 )
@@ -276,3 +285,15 @@ def score(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         work, "doc_id long, severity double, grade int, toxic boolean"
     )
+
+
+def reject(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
+    """The rows of ``docs`` that ``score`` does not call toxic, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, above in _scored(batch, shared.value):
+                yield part.filter(pa.array(above[:, 0] < least))
+
+    return docs.mapInArrow(work, docs.schema)
