@@ -38,7 +38,7 @@ _SPACE = (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 823
 _LETTER, _NUMBER, _WHITE = 1, 2, 3
 
 #: Code points worked on at once, and in a block; a longer text is a block of its own.
-SLICE, BLOCK = 1 << 20, 1 << 23
+SLICE, BLOCK = 1 << 19, 1 << 23
 #: A token table is sent to all executors; larger ones are refused.
 MOST_TOKENS = 1 << 22
 
@@ -403,8 +403,8 @@ def token_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
     )
 
 
-def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
-    """``encoded`` (with ``ids``) and the bytes that its ids stand for, as ``decoded``.
+def decode(encoded: DataFrame, tokens: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """``encoded`` (with ``ids``), or its columns in ``keep``, and the bytes of its ids as ``decoded``.
 
     ``tokens`` (``id``, ``bytes``) has a row for each token of a vocabulary; as many as
     ``MOST_TOKENS`` are sent to all tasks and joined there, more are refused. Null ids decode to
@@ -413,7 +413,7 @@ def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
     rows = tokens.select("id", "bytes").limit(MOST_TOKENS + 1).toArrow()
     table = _bounded(dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())))
     shared = encoded.sparkSession.sparkContext.broadcast(table)
-    names = [c for c in encoded.columns if c != "decoded"]
+    names = [c for c in (encoded.columns if keep is None else keep) if c != "decoded"]
     schema = encoded.select(*names).schema.add("decoded", "binary")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,7 +427,6 @@ def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
             ids = batch.column("ids")
             at = np.append(0, np.cumsum(np.nan_to_num(ids.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
             every = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            out: list[bytes | None] = []
             for low, high in texts.slices(at, SLICE):
                 own = every[at[low] : at[high]]
                 own = np.where((own < 0) | (own >= top), top, own)
@@ -435,11 +434,12 @@ def decode(encoded: DataFrame, tokens: DataFrame) -> DataFrame:
                 data = flat[_gather(begin[own], each)].tobytes()
                 cut = np.append(0, np.cumsum(each))[at[low : high + 1] - at[low]].tolist()
                 lacks = np.append(0, np.cumsum(size[own] < 0))[at[low : high + 1] - at[low]]
-                good = (np.diff(lacks) == 0).tolist()
-                out += [data[a:b] if ok else None for a, b, ok in zip(cut[:-1], cut[1:], good)]
-            decoded = [b if i else None for b, i in zip(out, ids.is_valid().to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in names), pa.array(decoded, pa.binary())], names=[*names, "decoded"]
-            )
+                good = (np.diff(lacks) == 0) & ids.is_valid().to_numpy(zero_copy_only=False)[low:high]
+                decoded = [data[a:b] if ok else None for a, b, ok in zip(cut[:-1], cut[1:], good.tolist())]
+                part = batch.slice(low, high - low)
+                yield pa.RecordBatch.from_arrays(
+                    [*(part.column(c) for c in names), pa.array(decoded, pa.binary())],
+                    names=[*names, "decoded"],
+                )
 
-    return encoded.select(*names).mapInArrow(work, schema)
+    return encoded.select(*dict.fromkeys([*names, "ids"])).mapInArrow(work, schema)

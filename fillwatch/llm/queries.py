@@ -71,12 +71,15 @@ def vocabulary(name: str) -> str:
 def op5_byte_bpe(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     ranks = bpe.read_ranks(path or vocabulary("byte_bpe_50k.tiktoken"))
     encoded = bpe.encode(documents(spark, sf_dir), bpe.rank_coder(spark, ranks))
-    decoded = bpe.decode(encoded, bpe.token_table(spark, ranks))
-    return decoded.select(
+    digests = encoded.select(
         "doc_id",
+        "ids",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2("packed", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+    keep = ["doc_id", "n_tokens", "ids_sha256"]
+    return bpe.decode(digests, bpe.token_table(spark, ranks), keep).select(
+        *keep, F.sha2("decoded", 256).alias("decoded_sha256")
     )
 
 
