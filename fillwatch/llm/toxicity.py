@@ -25,8 +25,8 @@ from fillwatch.session import settled
 #: Labelled documents of each grade that are learned from, at most, and features kept, at most.
 SAMPLE, FEATURES = 6000, 4096
 #: A kept feature is in such a share of the toxic documents and so many times as frequent there as
-#: elsewhere, and follows so many different words for each document that it is in.
-LEAST_SHARE, LIFT, CONTEXTS = 0.02, 8.0, 0.15
+#: elsewhere, and follows so many different words in all and for each document that it is in.
+LEAST_SHARE, LIFT, LEAST_CONTEXTS, CONTEXTS = 0.02, 8.0, 3, 0.15
 BEGINNINGS = (4, 5, 6)
 #: The chance of a grade above 0 from which a text counts as toxic.
 LEAST = 0.5
@@ -208,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FE
     )
     final = (
         best.join(company, "feature")
-        .filter((F.col("contexts") > 1) & (F.col("contexts") >= CONTEXTS * F.col("toxic")))
+        .filter((F.col("contexts") >= LEAST_CONTEXTS) & (F.col("contexts") >= CONTEXTS * F.col("toxic")))
         .orderBy(F.col("contexts").desc(), "feature")
         .limit(keep)
         .select("feature")
