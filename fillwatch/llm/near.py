@@ -152,9 +152,9 @@ def _rough_edges(classes: DataFrame, coordinates: int, least: int) -> DataFrame:
             edge = np.unique(np.stack([a, b], 1)[a != b], axis=0)
             yield pa.record_batch({"a": pa.array(edge[:, 0]), "b": pa.array(edge[:, 1])})
 
-    return (
-        lists.repartition("token", "cell").sortWithinPartitions("token", "cell").mapInArrow(work, _EDGES)
-    )
+    # in order of node, lists of the same members give the same edges: to their smallest node
+    keys = ["token", "cell"]
+    return lists.repartition(*keys).sortWithinPartitions(*keys, "node").mapInArrow(work, _EDGES)
 
 
 def _confirmed_edges(docs: DataFrame, groups: DataFrame, width: int, part: int, whole: int) -> DataFrame:
@@ -185,7 +185,7 @@ def _confirmed_edges(docs: DataFrame, groups: DataFrame, width: int, part: int,
 
     return (
         members.repartition("component", "cell")
-        .sortWithinPartitions("component", "cell")
+        .sortWithinPartitions("component", "cell", "node")
         .select("component", "cell", "node", "text")
         .mapInArrow(work, _EDGES)
     )
