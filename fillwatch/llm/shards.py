@@ -51,8 +51,10 @@ def shuffled(docs: DataFrame, seed: int = 0, bucket_bytes: int = BUCKET_BYTES) -
         .select("bucket", F.ceil(F.col("n") / bucket_bytes).cast("int").alias("parts"))
     )
     large = settled(large, "buckets")
+    keys = ["bucket", "part"]
     if large.isEmpty():
-        own = own.withColumn("part", F.lit(0))
+        # a constant is no key to Spark: dealing out by it too would cost another shuffle
+        own, keys = own.withColumn("part", F.lit(0)), ["bucket"]
     else:
         by_row = F.xxhash64(F.lit(seed), F.monotonically_increasing_id())
         own = (
@@ -61,7 +63,7 @@ def shuffled(docs: DataFrame, seed: int = 0, bucket_bytes: int = BUCKET_BYTES) -
             .withColumn("part", F.pmod("row", F.coalesce("parts", F.lit(1))).cast("int"))
         )
     memory = (
-        own.repartition(buckets, "bucket", "part")
+        own.repartition(buckets, *keys)
         .groupBy("bucket", "part")
         .agg(F.collect_list(F.struct("hash", "record")).alias("records"))
         # the order of arrival is Spark's own affair: start from one that is settled by the rows
