@@ -5,10 +5,12 @@ from __future__ import annotations
 import logging
 import sys
 from collections.abc import Callable
+from concurrent.futures import Future
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fillwatch import schemas
@@ -44,7 +46,13 @@ JOBS = (
 )
 
 
-def process_batch(batch: DataFrame, batch_id: int, job: Job, root: str, sample: int = 0) -> None:
+#: A table's own job compacts it after so many batches.
+COMPACT_EVERY = 500
+
+
+def process_batch(
+    batch: DataFrame, batch_id: int, job: Job, root: str, sample: int = 0, run: str = "0"
+) -> None:
     """Parse one micro-batch and write its rows, rejects and alert messages.
 
     The parsed batch is kept for its several writes. Any error is raised: the batch is
@@ -57,19 +65,24 @@ def process_batch(batch: DataFrame, batch_id: int, job: Job, root: str, sample:
             rows = job.derive(rows)
         elif not rejects.isEmpty():
             rejects.write.mode("overwrite").parquet(
-                f"{root}/rejects/source={job.name}/batch_id={batch_id}"
+                f"{root}/rejects/source={job.name}/run={run}/batch_id={batch_id}"
             )
         if rows.isEmpty():
             logger.info("%s: batch %d is empty", job.name, batch_id)
             return
         if sample:
             rows.show(sample, truncate=False)
-        store.append(rows, root, job.table, job.name, batch_id)
+        written = Observation()
+        counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+        store.append(counted, root, job.table, job.name, batch_id, run)
+        logger.info("%s: batch %d wrote %d rows to %s", job.name, batch_id, written.get["rows"], job.table.name)
         if job.table is schemas.ALARMS:
             bins = store.current(batch.sparkSession, root, schemas.BINS)
             alarms.outbox(rows, bins).write.mode("overwrite").parquet(
-                f"{root}/alert_outbox/source={job.name}/batch_id={batch_id}"
+                f"{root}/alert_outbox/source={job.name}/run={run}/batch_id={batch_id}"
             )
+        if job.name == job.table.name and batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
+            store.compact(batch.sparkSession, root, job.table)
     finally:
         parsed.unpersist()
 
@@ -82,13 +95,17 @@ def start(
     available_now: bool = False,
     sample: int = 0,
 ) -> StreamingQuery:
-    """Start one job; with ``available_now`` it works off what is there and ends."""
+    """Start one job; with ``available_now`` it works off what is there and ends.
+
+    The id that a checkpoint keeps for its query names the run that the batches belong to.
+    """
+    run: Future[str] = Future()
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, job, root, sample)
+        process_batch(batch, batch_id, job, root, sample, run.result())
 
     pace = {"availableNow": True} if available_now else {"processingTime": f"{job.seconds} seconds"}
-    return (
+    query = (
         messages.writeStream.queryName(job.name)
         .foreachBatch(each)
         .outputMode("append")
@@ -96,6 +113,8 @@ def start(
         .trigger(**pace)
         .start()
     )
+    run.set_result(query.id)
+    return query
 
 
 def start_all(
@@ -106,7 +125,8 @@ def start_all(
     jobs: tuple[Job, ...] = JOBS,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
-    """Start every job on the messages of its topic."""
+    """Start every job on the messages of its topic; a later wait is for these, not for earlier ones."""
+    spark.streams.resetTerminated()
     return [
         start(messages(spark, job.topic.name), job, root, checkpoints, available_now) for job in jobs
     ]
@@ -126,10 +146,15 @@ def status(spark: SparkSession) -> list[dict]:
 
 
 def await_any(spark: SparkSession) -> None:
-    """Wait until a job ends, or stop them all on an interrupt."""
+    """Wait until a job ends or fails or an interrupt comes, then stop all of them.
+
+    A job's error is raised after the others have been stopped.
+    """
     try:
         spark.streams.awaitAnyTermination()
     except KeyboardInterrupt:
+        logger.info("interrupted")
+    finally:
         stop_all(spark)
 
 
@@ -138,13 +163,29 @@ def stop_all(spark: SparkSession) -> None:
         q.stop()
 
 
-def run(spark: SparkSession, root: str, checkpoints: str) -> None:
-    """All jobs on Kafka until one ends or an interrupt."""
-    start_all(spark, root, checkpoints)
+def session() -> SparkSession:
+    """The session of the jobs; times without a zone are UTC."""
+    return (
+        SparkSession.builder.appName("fillwatch").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    )
+
+
+def run(spark: SparkSession, root: str, checkpoints: str, **options: str) -> None:
+    """All jobs on Kafka until one ends or an interrupt; ``options`` are options of the source."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    start_all(spark, root, checkpoints, lambda s, topic: sources.kafka_json(s, topic, **options))
     for line in status(spark):
         logger.info("%s", line)
     await_any(spark)
 
 
+def arguments(words: list[str]) -> tuple[str, str, dict[str, str]]:
+    """Tables' folder, checkpoints' folder, and source options as ``name=value``."""
+    root, checkpoints, *rest = words
+    return root, checkpoints, dict(word.split("=", 1) for word in rest)
+
+
 if __name__ == "__main__":
-    run(SparkSession.builder.appName("fillwatch").getOrCreate(), *sys.argv[1:3])
+    logging.basicConfig(level=logging.INFO)
+    tables_at, checkpoints_at, given = arguments(sys.argv[1:])
+    run(session(), tables_at, checkpoints_at, **given)

@@ -1,121 +1,132 @@
 """Keyed tables on plain Parquet: a log of writes, folded to current rows on read.
 
-Layout below one folder per table:
+A table's log has a folder for each micro-batch, ``source=<stream>/run=<run>/batch_id=<n>``. A run
+is one checkpoint of a stream, so a stream that starts again under a new checkpoint writes beside
+its earlier batches and not over them; writing a batch of the same run again replaces its folder,
+so a replay changes nothing. A folder counts once Spark has finished it (``_SUCCESS``).
 
-* ``log/source=<stream>/batch_id=<n>``: the rows of one micro-batch. Writing a batch
-  again overwrites its own folder, so a replay changes nothing, and several streams can
-  feed one table.
-* ``snapshot/version=<n>/rows`` and ``.../folded``: the log up to some batch per source,
-  folded to one row per key. ``folded`` is written last and makes the snapshot count.
+``compact`` folds finished batches into one more batch of the log, which names the batches it
+stands for; these are then no longer read, and the next compaction removes them.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import datetime as dt
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fillwatch.operators import tables
 from fillwatch.schemas import INT, LONG, TABLES, TEXT, TIME, Table, struct
+from fillwatch.session import remove
 from fillwatch.sources.streams import ARRIVAL
 
-ARRIVAL_TYPES = struct(arrived_at=TIME, arrived_partition=INT, arrived_offset=LONG)
-_PLACE = struct(source=TEXT, batch_id=LONG)
+ARRIVAL_TYPES = struct(written_at=TIME, arrived_at=TIME, arrived_partition=INT, arrived_offset=LONG)
+_PLACE = struct(source=TEXT, run=TEXT, batch_id=LONG)
+FOLDED, COVERS = "folded", "_covers"
+
+
+def batch_path(root: str, table: str, source: str, run: str, batch_id: int) -> str:
+    return f"{root}/{table}/log/source={source}/run={run}/batch_id={batch_id}"
 
 
-def append(rows: DataFrame, root: str, table: Table, source: str, batch_id: int) -> None:
-    """Write one batch to the table's log, replacing an earlier try of the same batch."""
+def append(
+    rows: DataFrame, root: str, table: Table, source: str, batch_id: int, run: str = "0"
+) -> None:
+    """Write one batch to the table's log, replacing an earlier try of the same batch and run."""
+    now = F.lit(dt.datetime.now(dt.timezone.utc))
+    places = {f.name: F.col(f.name) if f.name in rows.columns else F.lit(None) for f in ARRIVAL_TYPES}
     arrival = [
-        (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+        (now if f.name == "written_at" else places[f.name]).cast(f.dataType).alias(f.name)
         for f in ARRIVAL_TYPES
     ]
-    path = f"{root}/{table.name}/log/source={source}/batch_id={batch_id}"
-    rows.select(*table.stored.fieldNames(), *arrival).write.mode("overwrite").parquet(path)
+    rows.select(*table.stored.fieldNames(), *arrival).write.mode("overwrite").parquet(
+        batch_path(root, table.name, source, run, batch_id)
+    )
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def finished(spark: SparkSession, root: str, table: Table) -> list[str]:
+    """The folders of all finished batches: one listing, as long as the log since two compactions."""
+    files, marks = _hadoop(spark, batch_path(root, table.name, "*", "*", "*") + "/_SUCCESS")
+    return sorted(str(s.getPath().getParent()) for s in files.globStatus(marks) or [])
+
+
+def _name(path: str) -> str:
+    """A batch by its last three folders, whatever the root is called by."""
+    return "/".join(path.split("/")[-3:])
 
 
-def _read(spark: SparkSession, path: str, schema: T.StructType, base: str) -> DataFrame | None:
-    """The files at ``path``, or ``None`` where nothing was written yet."""
+def _covered(spark: SparkSession, path: str) -> set[str]:
+    """The batches that a folded batch stands for."""
+    files, where = _hadoop(spark, f"{path}/{COVERS}")
+    if not files.exists(where):
+        return set()
+    stream = files.open(where)
     try:
-        return spark.read.schema(schema).option("basePath", base).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+        return set(json.loads(bytes(stream.readAllBytes()).decode()))
+    finally:
+        stream.close()
 
 
-def log(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """All writes to a table, with ``source`` and ``batch_id``."""
+def _split(spark: SparkSession, batches: list[str]) -> tuple[list[str], list[str]]:
+    """Batches that count, and those that a folded batch stands for."""
+    gone: set[str] = set()
+    for path in batches:
+        if f"/source={FOLDED}/" in path:
+            gone |= _covered(spark, path)
+    return [b for b in batches if _name(b) not in gone], [b for b in batches if _name(b) in gone]
+
+
+def _read(spark: SparkSession, root: str, table: Table, batches: list[str]) -> DataFrame:
     schema = T.StructType([*table.stored, *ARRIVAL_TYPES, *_PLACE])
-    base = f"{root}/{table.name}/log"
-    found = _read(spark, base, schema, base)
-    return spark.createDataFrame([], schema) if found is None else found
-
-
-def _last_snapshot(spark: SparkSession, root: str, table: Table) -> tuple[int, dict[str, int]]:
-    """Newest complete snapshot and, per source, the last batch folded into it."""
-    base = f"{root}/{table.name}/snapshot"
-    schema = T.StructType([*_PLACE, T.StructField("version", T.IntegerType())])
-    folded = _read(spark, f"{base}/version=*/folded", schema, base)
-    if folded is None:
-        return 0, {}
-    newest = folded.agg(F.max("version")).scalar()
-    # One row per stream that feeds the table: a handful.
-    rows = folded.filter(F.col("version") == newest).collect()
-    if not rows:
-        return 0, {}
-    return rows[0]["version"], {r["source"]: r["batch_id"] for r in rows}
-
-
-def _writes(spark: SparkSession, root: str, table: Table) -> tuple[DataFrame, int]:
-    version, folded = _last_snapshot(spark, root, table)
-    writes = log(spark, root, table)
-    for source, batch_id in folded.items():
-        writes = writes.filter((F.col("source") != source) | (F.col("batch_id") > batch_id))
-    if version:
-        rows = f"{root}/{table.name}/snapshot/version={version}/rows"
-        old = spark.read.schema(table.stored).parquet(rows)
-        writes = old.withColumn("batch_id", F.lit(-1).cast("bigint")).unionByName(
-            writes, allowMissingColumns=True
-        )
-    return writes, version
-
-
-def _order(table: Table) -> list[str]:
+    if not batches:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{root}/{table.name}/log").parquet(*batches)
+
+
+def log(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """All writes to a table that count, with ``source``, ``run`` and ``batch_id``."""
+    return _read(spark, root, table, _split(spark, finished(spark, root, table))[0])
+
+
+def _fold(writes: DataFrame, table: Table, ignore_nulls: bool = True, also: tuple[str, ...] = ()) -> DataFrame:
     times = [table.event_time] if table.event_time else []
-    return ["batch_id", *times, *ARRIVAL]
+    order = ["written_at", *times, *ARRIVAL]
+    return tables.fold(writes, table.key, order, [*table.stored.fieldNames(), *also], ignore_nulls)
 
 
 def current(spark: SparkSession, root: str, table: Table | str, ignore_nulls: bool = True) -> DataFrame:
     """One row per key: later batches win, inside a batch later events."""
     table = TABLES[table] if isinstance(table, str) else table
-    writes, _ = _writes(spark, root, table)
-    return tables.fold(writes, table.key, _order(table), table.stored.fieldNames(), ignore_nulls)
+    return _fold(log(spark, root, table), table, ignore_nulls)
 
 
 def compact(spark: SparkSession, root: str, table: Table | str) -> int:
-    """Fold the log so far into the next snapshot; returns its version.
+    """Fold the finished batches into one; returns how many it now stands for.
 
-    Batches written meanwhile stay in the log: only batches listed in ``folded`` before
-    the fold are part of it.
+    The log is listed once and just those folders are read, so a batch that lands meanwhile, or is
+    half written, stays a batch of its own. The names are added after the rows are complete; until
+    then, and if it ends in between, both are read, which gives the same rows. Batches that an
+    earlier compaction stands for are removed, so readers that began before it must have ended.
     """
     table = TABLES[table] if isinstance(table, str) else table
-    writes, version = _writes(spark, root, table)
-    _, before = _last_snapshot(spark, root, table)
-    seen = {
-        r["source"]: r["last"]
-        for r in log(spark, root, table).groupBy("source").agg(F.max("batch_id").alias("last")).collect()
-    }
-    upto = {**before, **seen}
-    if not upto:
-        return version
-    for source, last in upto.items():
-        newer = (F.col("source") == source) & (F.col("batch_id") > last)
-        writes = writes.filter(F.coalesce(~newer, F.lit(True)))
-    target = f"{root}/{table.name}/snapshot/version={version + 1}"
-    rows = tables.fold(writes, table.key, _order(table), table.stored.fieldNames())
-    rows.write.mode("overwrite").parquet(f"{target}/rows")
-    spark.createDataFrame(list(upto.items()), _PLACE).coalesce(1).write.mode("overwrite").parquet(
-        f"{target}/folded"
-    )
-    return version + 1
+    batches, covered = _split(spark, finished(spark, root, table))
+    if len(batches) > 1:
+        target = batch_path(root, table.name, FOLDED, uuid.uuid4().hex, 0)
+        rows = _fold(_read(spark, root, table, batches), table, also=tuple(ARRIVAL_TYPES.fieldNames()))
+        rows.write.parquet(target)
+        files, where = _hadoop(spark, f"{target}/{COVERS}")
+        stream = files.create(where)
+        stream.write(bytearray(json.dumps([_name(b) for b in batches]).encode()))
+        stream.close()
+    for path in covered:
+        remove(spark, path)
+    return len(batches) if len(batches) > 1 else 0

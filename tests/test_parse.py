@@ -132,8 +132,9 @@ def test_kafka_options(monkeypatch):
     assert options["kafka.bootstrap.servers"] == "broker:1"
     assert options["subscribe"] == "bins"
     assert options["startingOffsets"] == "latest"
-    assert options["failOnDataLoss"] == "false"
+    assert options["failOnDataLoss"] == "true"
     assert options["maxOffsetsPerTrigger"] == "50000"
+    assert "maxOffsetsPerTrigger" not in streams.kafka_options("bins")
 
 
 def test_payload_keeps_the_place_in_the_topic(spark):

@@ -55,9 +55,9 @@ def test_stream_equals_batch_restart_and_replay_add_nothing(spark, places, tmp_p
 
     work_off(spark, topics, root, checkpoints, "sensor_data", "sensor_alarms")
     assert store.log(spark, str(root), schemas.ALARMS).count() == 2
-    # The same messages under a new checkpoint: the same batch, the same alarm ids.
+    # The same messages under a new checkpoint: another run of the log, the same alarm ids.
     work_off(spark, topics, root, tmp_path / "again", "sensor_data", "sensor_alarms", source=batch)
-    assert store.log(spark, str(root), schemas.ALARMS).count() == 2
+    assert store.log(spark, str(root), schemas.ALARMS).count() == 4
     assert rows(spark, root, "alarms") == raised
 
 
@@ -99,7 +99,7 @@ def test_later_writes_win_and_nulls_keep_old_values(spark, places):
     (row,) = rows(spark, root, "bins")
     assert (row.capacity, row.status) == (60.0, "offline")
 
-    assert store.compact(spark, str(root), "bins") == 1
+    assert store.compact(spark, str(root), "bins") == 2
     (folded,) = rows(spark, root, "bins")
     assert folded == row
     send(topics / "bins", "3.json", {"bin_id": "b", "type": "street"}, {"bin_id": "c", "type": "street"})
@@ -107,8 +107,113 @@ def test_later_writes_win_and_nulls_keep_old_values(spark, places):
     assert [(r.bin_id, r.capacity, r.type) for r in rows(spark, root, "bins")] == [
         ("b", 60.0, "street"), ("c", None, "street"),
     ]
+    assert len(store.finished(spark, str(root), schemas.BINS)) == 4
     assert store.compact(spark, str(root), "bins") == 2
     assert len(rows(spark, root, "bins")) == 2
+    # what the first compaction stood for is gone; what the second stands for goes with the third
+    assert len(store.finished(spark, str(root), schemas.BINS)) == 3
+
+
+def bin_of(spark, bin_id, **more):
+    row = dict.fromkeys(schemas.BINS.stored.fieldNames()) | {"bin_id": bin_id} | more
+    return spark.createDataFrame([tuple(row.values())], schemas.BINS.stored)
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_new_checkpoint_with_other_messages_keeps_both(spark, places, tmp_path, compacted):
+    topics, root, checkpoints = places
+    send(topics / "bins", "1.json", {"bin_id": "a"})
+    work_off(spark, topics, root, checkpoints, "bins")
+    send(topics / "bins", "2.json", {"bin_id": "b"})
+    work_off(spark, topics, root, checkpoints, "bins")
+    if compacted:
+        assert store.compact(spark, str(root), "bins") == 2
+    send(tmp_path / "other" / "bins", "1.json", {"bin_id": "z"})
+    work_off(spark, tmp_path / "other", root, tmp_path / "again", "bins")
+    assert [r.bin_id for r in rows(spark, root, "bins")] == ["a", "b", "z"]
+
+
+def test_a_batch_that_lands_during_a_compaction_survives(spark, places, monkeypatch):
+    _, root, _ = places
+    for n, name in enumerate("ab"):
+        store.append(bin_of(spark, name, capacity=1.0), str(root), schemas.BINS, "bins", n)
+    real = store._read
+
+    def read(*args):
+        found = real(*args)
+        store.append(bin_of(spark, "late", capacity=2.0), str(root), schemas.BINS, "bins", 2)
+        store.append(bin_of(spark, "a", status="moved"), str(root), schemas.BINS, "bins", 3)
+        return found
+
+    monkeypatch.setattr(store, "_read", read)
+    assert store.compact(spark, str(root), "bins") == 2
+    monkeypatch.setattr(store, "_read", real)
+    for _ in range(3):
+        got = {r.bin_id: (r.capacity, r.status) for r in rows(spark, root, "bins")}
+        assert got == {"a": (1.0, "moved"), "b": (1.0, None), "late": (2.0, None)}
+        store.compact(spark, str(root), "bins")
+
+
+def test_a_half_written_batch_is_not_folded(spark, places):
+    _, root, _ = places
+    for n, name in enumerate("abc"):
+        store.append(bin_of(spark, name), str(root), schemas.BINS, "bins", n)
+    (root / "bins/log/source=bins/run=0/batch_id=2/_SUCCESS").unlink()
+    assert store.compact(spark, str(root), "bins") == 2
+    assert [r.bin_id for r in rows(spark, root, "bins")] == ["a", "b"]
+    store.append(bin_of(spark, "c"), str(root), schemas.BINS, "bins", 2)
+    assert [r.bin_id for r in rows(spark, root, "bins")] == ["a", "b", "c"]
+
+
+def test_a_compaction_without_its_names_changes_nothing(spark, places):
+    _, root, _ = places
+    store.append(bin_of(spark, "a", capacity=1.0), str(root), schemas.BINS, "bins", 0)
+    store.append(bin_of(spark, "a", status="s"), str(root), schemas.BINS, "bins", 1)
+    before = rows(spark, root, "bins")
+    store.compact(spark, str(root), "bins")
+    for path in root.glob("bins/log/source=folded/run=*/batch_id=0/*covers"):
+        path.unlink()
+    assert rows(spark, root, "bins") == before
+
+
+def test_messages_of_one_key_in_one_file_are_never_mixed(spark, places):
+    topics, root, checkpoints = places
+    send(topics / "bins", "1.json", *[{"bin_id": "b", "capacity": float(n), "status": f"s{n}"} for n in range(9)])
+    work_off(spark, topics, root, checkpoints, "bins")
+    (row,) = rows(spark, root, "bins")
+    assert row.status == f"s{int(row.capacity)}"
+
+
+def test_a_failing_job_stops_the_others(spark, places, monkeypatch):
+    topics, root, checkpoints = places
+    send(topics / "sensor_data", "1.json", reading(1))
+    monkeypatch.setattr(store, "append", lambda *args: 1 / 0)
+    chosen = tuple(JOBS[n] for n in ("bins", "sensor_data"))
+    (topics / "bins").mkdir(parents=True)
+    jobs.start_all(spark, str(root), str(checkpoints), lambda s, t: streams.file_json(s, str(topics / t)), chosen)
+    with pytest.raises(Exception, match="ZeroDivision"):
+        jobs.await_any(spark)
+    assert spark.streams.active == []
+
+
+def test_options_and_zone_reach_the_jobs(spark, monkeypatch, caplog):
+    seen = []
+    monkeypatch.setattr(jobs, "start", lambda messages, job, *rest: seen.append((messages, job.name)))
+    monkeypatch.setattr(jobs, "await_any", lambda s: None)
+    monkeypatch.setattr(jobs.sources, "kafka_json", lambda s, topic, **o: (topic, streams.kafka_options(topic, **o)))
+    root, checkpoints, options = jobs.arguments(["t", "c", "maxOffsetsPerTrigger=7", "kafka.security.protocol=SSL"])
+    jobs.run(spark, root, checkpoints, **options)
+    assert len(seen) == 8
+    assert all(m[1]["maxOffsetsPerTrigger"] == "7" and m[1]["kafka.security.protocol"] == "SSL" for m, _ in seen)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+
+
+def test_rows_of_each_batch_are_logged(spark, places, caplog):
+    topics, root, checkpoints = places
+    send(topics / "sensor_data", "1.json", *[reading(n) for n in range(4)])
+    with caplog.at_level("INFO"):
+        work_off(spark, topics, root, checkpoints, "sensor_data")
+    assert "sensor_data: batch 0 wrote 4 rows to sensor_data" in caplog.text
 
 
 def test_a_failing_write_is_not_committed(spark, places, monkeypatch):
