@@ -103,19 +103,23 @@ def distinct_words(
 
     Pre-tokens are gathered by hash, and every one is compared with the first of its hash.
     """
+    words, of = _distinct(code, text, start)
+    return np.array([slots.setdefault(w, len(slots)) for w in words], np.int64)[of]
+
+
+def _distinct(code: np.ndarray, text: str, start: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """The pre-tokens of a slice, each once (but for hashes in common), and which one each is."""
     end = np.append(start[1:], len(code))
     length = end - start
-    _, one, of = np.unique(texts.Hasher(code).spans(start, end), return_index=True, return_inverse=True)
+    hashed = texts.Hasher(code, spread=False).spans(start, end)
+    _, one, of = np.unique(hashed, return_index=True, return_inverse=True)
     shift = np.repeat(start[one][of] - start, length)
     same = np.array_equal(length[one][of], length) and np.array_equal(
         code, code[np.arange(len(code)) + shift]
     )
     if not same:  # two words share a hash: go through all of them
         one, of = np.arange(len(start)), np.arange(len(start))
-    found = [
-        slots.setdefault(text[a:b], len(slots)) for a, b in zip(start[one].tolist(), end[one].tolist())
-    ]
-    return np.array(found, np.int64)[of]
+    return [text[a:b] for a, b in zip(start[one].tolist(), end[one].tolist())], of
 
 
 def _pressed(values: np.ndarray) -> bytes:
@@ -396,6 +400,54 @@ def encode(
     )
 
 
+#: Words that a task remembers with their ids before it forgets them all.
+REMEMBERED = 300_000
+
+
+def encode_in_place(docs: DataFrame, coder: Callable[[], WordCoder], width: int = 4) -> DataFrame:
+    """``doc_id`` and ``packed`` as ``encode`` gives them, row by row in the order of ``docs``.
+
+    Nothing is shuffled: each task encodes the words that it has not met before. For texts that
+    must stay where they are, such as sorted ones; ``encode`` encodes a word once in all.
+    """
+    kind = {2: "<u2", 4: "<u4"}[width]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        to_ids = coder()
+        known: dict[str, np.ndarray] = {}
+        for batch in batches:
+            whole = [t or "" for t in batch.column("text").to_pylist()]
+            at = np.append(0, np.cumsum([len(t) for t in whole]))
+            for low, high in texts.slices(at, SLICE):
+                own = whole[low:high]
+                code, begin = texts.code_points(own)
+                start = pre_tokens(code, begin)
+                words, of = _distinct(code, "".join(own), start) if len(start) else ([], start)
+                if len(known) > REMEMBERED:
+                    known.clear()
+                new = list(dict.fromkeys(w for w in words if w not in known))
+                for word, ids in zip(new, to_ids([w.encode() for w in new])):
+                    if ids and max(ids) >= 1 << (8 * width):
+                        raise ValueError(f"an id of {max(ids)} does not fit into {width} bytes")
+                    known[word] = np.array(ids, kind)
+                coded = [known[w] for w in words]
+                count = np.array([len(x) for x in coded], np.int64)
+                flat = np.concatenate([np.zeros(0, kind), *coded])
+                each = count[of]
+                ids = flat[_gather((np.cumsum(count) - count)[of], each)]
+                done = np.append(0, np.cumsum(each))[np.searchsorted(start, begin)]
+                yield pa.record_batch(
+                    {
+                        "doc_id": batch.column("doc_id").slice(low, high - low),
+                        "packed": pa.Array.from_buffers(
+                            pa.binary(), high - low, [None, pa.py_buffer((done * width).astype(np.int32)), pa.py_buffer(ids)]
+                        ),
+                    }
+                )
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "doc_id long, packed binary")
+
+
 def token_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
     """The bytes of each id."""
     return spark.createDataFrame(

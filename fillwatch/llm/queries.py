@@ -106,7 +106,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -
     docs = documents(spark, sf_dir)
     coder = tokens.library_coder(spark, path or vocabulary("byte_bpe_50k.json"))
     folder = shared_dir(spark, "token-files")
-    runs = tokens.write(bpe.encode(docs, coder, width=2), folder, end=2, width=2)
+    runs = tokens.write(docs, folder, lambda d: bpe.encode_in_place(d, coder, 2), end=2, width=2)
     buckets = tokens.buckets_of(runs)
     index = settled(tokens.index(runs, buckets), "token-index")
     files = settled(tokens.files_of(runs), "token-files")

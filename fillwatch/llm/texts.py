@@ -100,13 +100,15 @@ class Hasher:
     """Hashes of spans of a sequence, each in constant time after one pass.
 
     The hash of a span is a polynomial in an odd base modulo 2**64 with its length, mixed; it
-    depends on the span's content only.
+    depends on the span's content only. ``spread`` mixes the values too; without it, hashes are
+    cheaper and for use where equal ones are compared.
     """
 
-    def __init__(self, values: np.ndarray):
+    def __init__(self, values: np.ndarray, spread: bool = True):
         self.power, self.inverse = _powers(max(20, int(len(values)).bit_length()))
         self.sums = np.zeros(len(values) + 1, U)
-        np.cumsum(mix(values.astype(U) + U(1)) * self.power[: len(values)], out=self.sums[1:])
+        own = mix(values.astype(U) + U(1)) if spread else values.astype(U) + U(1)
+        np.cumsum(own * self.power[: len(values)], out=self.sums[1:])
 
     def spans(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         value = (self.sums[end] - self.sums[start]) * self.inverse[start]

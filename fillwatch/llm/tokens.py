@@ -67,20 +67,25 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(path)
 
 
-def write(encoded: DataFrame, path: str, end: int | None = None, width: int = 4) -> DataFrame:
-    """Writes ``encoded`` to files under ``path`` and returns what is where.
-
-    ``encoded`` has ``doc_id`` and ``packed``, ids of ``width`` bytes each, as the files have them.
-
-    Records are in ascending ``doc_id``, null last; rows of one ``doc_id`` are records of their own.
-    ``end`` is appended to each. A file is named after its task's attempt, so a repeated task leaves an unused file and
-    never a broken one.
+def write(
+    docs: DataFrame,
+    path: str,
+    encode: Callable[[DataFrame], DataFrame],
+    end: int | None = None,
+    width: int = 4,
+) -> DataFrame:
+    """Writes the ids of each row's text to files under ``path`` and returns what is where.
+
+    ``docs`` has ``doc_id`` and ``text``; ``encode`` gives ``doc_id`` and ``packed``, ids of
+    ``width`` bytes each, for rows in their order (``bpe.encode_in_place``). Records are in
+    ascending ``doc_id``, null last; rows of one ``doc_id`` are records of their own. ``end`` is
+    appended to each. A file is named after its task's attempt, so a repeated task leaves an unused
+    file and never a broken one.
 
     Columns: a row for each run of records of one key in a file: ``doc_id``, ``file``, ``shard``,
     ``record`` (its first, from 0), ``records``, ``tokens``.
     """
     kind = {2: "<u2", 4: "<u4"}[width]
-    narrow = encoded.select(F.col("doc_id").cast("long"), "packed")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -117,10 +122,14 @@ def write(encoded: DataFrame, path: str, end: int | None = None, width: int = 4)
             out.write(struct.pack(FOOTER, MAGIC, 1, width, first_record, done))
             out.close()
 
-    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("packed")]
-    return settled(
-        narrow.repartitionByRange(*order)
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text")]
+    ordered = (
+        docs.select(F.col("doc_id").cast("long"), "text")
+        .repartitionByRange(*order)
         .sortWithinPartitions(*order)
+    )
+    return settled(
+        encode(ordered)
         .select(
             "doc_id",
             "packed",

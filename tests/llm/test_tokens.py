@@ -24,10 +24,11 @@ def test_perfect_hash_is_minimal_and_refuses_none_of_its_keys():
 def test_write_find_and_read(spark):
     rows = [(5, [1, 2]), (3, []), (None, [7]), (5, [9]), (-4, [70000 % 65536]), (None, [8, 8])]
     table = spark.createDataFrame(
-        [(k, bytearray(struct.pack(f"<{len(v)}H", *v))) for k, v in rows], "doc_id long, packed binary"
+        [(k, " ".join(f"{i}" for i in v)) for k, v in rows], "doc_id long, text string"
     )
     folder = shared_dir(spark, "test")
-    runs = tokens.write(table, folder, end=2, width=2)
+    numbers = lambda: lambda words: [[int(w)] for w in words]
+    runs = tokens.write(table, folder, lambda d: bpe.encode_in_place(d, numbers, 2), end=2, width=2)
     index = tokens.index(runs, 3)
     asked = spark.createDataFrame([(5,), (5,), (3,), (None,), (-4,), (77,)], "doc_id long")
     found = tokens.find(asked, index, 3)
@@ -47,12 +48,14 @@ def test_an_id_too_wide_is_refused(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     with pytest.raises(Exception, match="does not fit"):
         bpe.encode(docs, lambda: lambda words: [[70000] for _ in words], width=2).collect()
+    with pytest.raises(Exception, match="does not fit"):
+        bpe.encode_in_place(docs, lambda: lambda words: [[70000] for _ in words], width=2).collect()
 
 
 def test_empty_table(spark):
-    runs = tokens.write(
-        spark.createDataFrame([], "doc_id long, packed binary"), shared_dir(spark, "test"), end=2
-    )
+    none = spark.createDataFrame([], "doc_id long, text string")
+    same = lambda: lambda words: [[1] for _ in words]
+    runs = tokens.write(none, shared_dir(spark, "test"), lambda d: bpe.encode_in_place(d, same), end=2)
     asked = spark.createDataFrame([(1,)], "doc_id long")
     assert runs.count() == 0 and tokens.find(asked, tokens.index(runs, 1), 1).count() == 0
 
