@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Accepted timestamp patterns, tried in this order.
+# Accepted timestamp patterns.
 TIMESTAMP_PATTERNS = (
     "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "yyyy-MM-dd'T'HH:mm:ss.SSSXXX",
@@ -23,13 +23,15 @@ MICROS_PER_HOUR = 3_600_000_000
 
 
 def timestamp_any(text: Column) -> Column:
-    """First pattern that fits, then Spark's own parser; null where none does.
+    """Spark's own tolerant parser, then the patterns; null where none fits.
 
-    ``try_`` matters: under ANSI a plain ``to_timestamp`` throws at the first
-    pattern that misses, and the later ones never get a turn.
+    The tolerant parser reads all that the patterns read but for a rare few, and it does not throw
+    on its way. A pattern that misses does, inside of ``try_``, so only texts that begin with a
+    date and were not understood meet the patterns.
     """
     tries = [F.try_to_timestamp(text, F.lit(p)) for p in TIMESTAMP_PATTERNS]
-    return F.coalesce(*tries, F.try_to_timestamp(text))
+    dated = text.rlike(r"^[+-]?\d{4,}-\d\d-\d\d")
+    return F.coalesce(F.try_to_timestamp(text), F.when(dated, F.coalesce(*tries)))
 
 
 def timestamp_or_null(text: Column) -> Column:

@@ -74,32 +74,29 @@ def _grow(values: np.ndarray, rng: np.random.Generator, limit: int) -> list[tupl
 def _samples(
     rows: DataFrame, columns: Sequence[str], key: Sequence[str], trees: int, sample: int, seed: int
 ) -> DataFrame:
-    """``sample`` rows for each tree, drawn without replacement.
+    """``sample`` rows for each tree, drawn without replacement; every row where there are fewer.
 
-    The rows with the least hash of their key are dealt out to the trees in turn. Rows
-    whose hash is far from the least are dropped where they are read: about twice what
-    the trees need gets past that, out of however many rows, so the task that orders the
-    pool stays small. Where there are too few rows to deal, every tree draws from all of
-    them by a hash of its own.
+    Each tree draws on its own, whatever the number of rows: the rows with the least hash of tree
+    and key. A row is dropped where it is read for all trees whose hash is far from the least;
+    about twice what a tree needs gets past that (a tree that gets less than ``sample`` of it
+    would be over ten standard deviations off), so the task that orders a tree's rows stays small.
     """
-    size = trees * sample
     n = rows.count()
     least, span = -(2**63), 2**64
-    cut = min(least + int(min(1.0, 2.0 * size / max(n, 1)) * span), 2**63 - 1)
-    pool = (
-        rows.select(F.xxhash64(F.lit(seed), *key).alias("_draw"), *columns)
-        .filter(F.col("_draw") <= F.lit(cut))
-        .orderBy("_draw", *columns)
-        .limit(size)
+    cut = min(least + int(min(1.0, 2.0 * sample / max(n, 1)) * span), 2**63 - 1)
+    draws = F.transform(
+        F.sequence(F.lit(0), F.lit(trees - 1)),
+        lambda tree: F.named_struct(
+            F.lit("tree"), tree, F.lit("draw"), F.xxhash64(F.lit(seed), tree, *[F.col(k) for k in key])
+        ),
+    )
+    drawn = rows.select(*columns, F.explode(F.filter(draws, lambda d: d["draw"] <= F.lit(cut))).alias("_d"))
+    order = Window.partitionBy("tree").orderBy("_draw", *columns)
+    return (
+        drawn.select(*columns, F.col("_d.tree").alias("tree"), F.col("_d.draw").alias("_draw"))
+        .withColumn("_rank", F.row_number().over(order))
+        .filter(F.col("_rank") <= sample)
     )
-    if n >= size:
-        place = F.row_number().over(Window.orderBy("_draw", *columns)) - 1
-        dealt = pool.withColumn("_place", place)
-        tree, rank = F.col("_place") % trees, F.floor(F.col("_place") / trees).cast("int") + 1
-        return dealt.select("_draw", *columns, tree.alias("tree"), rank.alias("_rank"))
-    spread = pool.select("*", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    drawn = Window.partitionBy("tree").orderBy(F.xxhash64("tree", "_draw"), "_draw")
-    return spread.withColumn("_rank", F.row_number().over(drawn)).filter(F.col("_rank") <= sample)
 
 
 def fit(

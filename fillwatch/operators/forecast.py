@@ -89,13 +89,10 @@ def tree_spread(scored: DataFrame, leaves: DataFrame) -> DataFrame:
     The leaf table is one bounded value, so it enters as a scalar subquery: every row
     looks its leaves up in place, with no join and no row per tree.
     """
-    per_tree = F.transform(
-        F.zip_with(
-            F.col("_values"),
-            vector_to_array("leaves"),
-            lambda values, leaf: F.get(values, leaf.cast("int")),
-        ),
-        lambda v: v,
+    per_tree = F.zip_with(
+        F.col("_values"),
+        vector_to_array("leaves"),
+        lambda values, leaf: F.get(values, leaf.cast("int")),
     )
     rows = scored.withColumn("_values", leaves.scalar())
     rows = rows.withColumn("_trees", F.array_sort(per_tree))
@@ -130,7 +127,7 @@ def with_level(rows: DataFrame, column: str = "predicted_fill") -> DataFrame:
 
 
 def predict(
-    model: PipelineModel,
+    model: PipelineModel | None,
     features: DataFrame,
     horizons: Sequence[int] = HORIZONS,
     noise: float = 0.0,
@@ -140,9 +137,15 @@ def predict(
 ) -> DataFrame:
     """All bins and horizons at once.
 
-    With ``bins``, a bin without readings gets a row of nulls per horizon.
+    With ``bins``, a bin without readings gets a row of nulls per horizon. Without a model, for
+    want of examples, every bin does.
     """
     horizons = tuple(horizons) or HORIZONS
+    if model is None:
+        none = F.lit(None).cast("double")
+        rows = (bins if bins is not None else features).select("bin_id").distinct()
+        rows = rows.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in horizons])))
+        return with_level(with_band(rows.withColumns({"predicted_fill": none, "confidence": none})))
     if leaves is None:
         leaves = leaf_values(features.sparkSession, model)
     scored = model.transform(horizon_features(features, horizons, noise, seed))

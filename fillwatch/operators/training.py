@@ -124,12 +124,18 @@ def pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Pipeli
     )
 
 
-def fit(train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> PipelineModel:
-    return pipeline(trees, depth, seed).fit(train)
+def fit(
+    train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
+) -> PipelineModel | None:
+    """The fitted pipeline; none where there is nothing to learn from."""
+    return None if train.isEmpty() else pipeline(trees, depth, seed).fit(train)
 
 
-def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
+def evaluate(model: PipelineModel | None, test: DataFrame) -> DataFrame:
     """Mean absolute and root mean squared error on held-out examples."""
+    if model is None:
+        none = F.lit(None).cast("double")
+        return test.agg(F.count("*").alias("examples")).select("examples", none.alias("mae"), none.alias("rmse"))
     error = F.col("prediction") - F.col("label")
     return model.transform(test).agg(
         F.count("*").alias("examples"),
@@ -138,9 +144,10 @@ def evaluate(model: PipelineModel, test: DataFrame) -> DataFrame:
     )
 
 
-def importances(model: PipelineModel, test: DataFrame) -> DataFrame:
-    """One row per feature and its importance."""
-    weights = [float(w) for w in model.stages[-1].featureImportances.toArray()]
+def importances(model: PipelineModel | None, test: DataFrame) -> DataFrame:
+    """One row per feature and its importance, null without a model."""
+    known = [None] * len(FEATURES) if model is None else model.stages[-1].featureImportances.toArray()
+    weights = [None if w is None else float(w) for w in known]
     return test.sparkSession.createDataFrame(
         list(zip(FEATURES, weights)), "feature string, importance double"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fillwatch import schemas
+from fillwatch.functions import times
 from fillwatch.operators import (
     alarms,
     anomaly,
@@ -351,19 +353,23 @@ def sensor_for_chosen_bins(spark, sf_dir):
 
 @query
 def reports_recent(spark, sf_dir):
-    return tables.citizen_reports(ad.citizen_reports(spark, sf_dir), A)
+    return tables.citizen_reports(ad.citizen_reports(spark, sf_dir, A - dt.timedelta(days=7)), A)
 
 
 @query
 def reports_resolved(spark, sf_dir):
-    reports = ad.citizen_reports(spark, sf_dir)
-    done = tables.citizen_reports(reports, A, resolved=True)
-    return done.unionByName(tables.citizen_reports(reports, A, days_back=3, resolved=False))
+    """Resolved reports of a week and open ones of three days."""
+    reports = ad.citizen_reports(spark, sf_dir, A - dt.timedelta(days=7))
+    recent = F.col("report_timestamp") >= times.time_literal(
+        reports, "report_timestamp", A - dt.timedelta(days=3)
+    )
+    return tables.citizen_reports(reports, A).filter(F.col("resolved") | (~F.col("resolved") & recent))
 
 
 @query
 def maintenance_recent(spark, sf_dir):
-    return tables.maintenance_events(ad.maintenance_events(spark, sf_dir), A)
+    events = ad.maintenance_events(spark, sf_dir, A - dt.timedelta(days=30))
+    return tables.maintenance_events(events, A)
 
 
 @query
@@ -373,7 +379,7 @@ def alarms_recent(spark, sf_dir):
 
 @query
 def routes_recent(spark, sf_dir):
-    return tables.route_history(ad.route_history(spark, sf_dir), A)
+    return tables.route_history(ad.route_history(spark, sf_dir, A - dt.timedelta(days=7)), A)
 
 
 @query
@@ -545,13 +551,16 @@ def training_split(spark, sf_dir):
 
 # ---------------------------------------------------------------- forecasts
 
-DRIVER_TREES, DRIVER_DEPTH = 20, 5
+_FITS: dict[tuple[str, str], tuple] = {}
 
 
 def _fitted(spark: SparkSession, sf_dir: str):
-    parts = settled(training.split(_examples(spark, sf_dir, "row")))
-    train = parts.filter("is_train")
-    return training.fit(train, trees=DRIVER_TREES, depth=DRIVER_DEPTH), parts.filter(~F.col("is_train"))
+    """The forest and its test examples: one fit for all queries of a session over a folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITS:
+        parts = settled(training.split(_examples(spark, sf_dir, "row")))
+        _FITS[key] = training.fit(parts.filter("is_train")), parts.filter(~F.col("is_train"))
+    return _FITS[key]
 
 
 @query
@@ -606,7 +615,11 @@ ANOMALY_COLUMNS = tuple(c for c in features.FEATURES if c != "horizon")
 @query
 def anomaly_flags(spark, sf_dir):
     rows = history.prefix(
-        ad.sensor_data(spark, sf_dir), A, "row", bins=ad.bins(spark, sf_dir)
+        ad.sensor_data(spark, sf_dir),
+        A,
+        "row",
+        maintenance=ad.maintenance_events(spark, sf_dir),
+        bins=ad.bins(spark, sf_dir),
     ).select("bin_id", "sensor_id", *ANOMALY_COLUMNS)
     rows = settled(rows)
     forest = anomaly.fit(rows, ANOMALY_COLUMNS, ("bin_id", "sensor_id"))

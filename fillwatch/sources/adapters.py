@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fillwatch.functions import times
+
 AS_OF = dt.datetime(2024, 1, 31)
 SHIFT = dt.timedelta(days=8400)
 
@@ -91,12 +93,19 @@ def sensor_data_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def citizen_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _since(df: DataFrame, column: str, since: dt.datetime | None) -> DataFrame:
+    """Rows whose shifted time is ``since`` or later, by the column as stored: scans prune by it."""
+    if since is None:
+        return df
+    return df.filter(F.col(column) >= times.time_literal(df, column, since - SHIFT))
+
+
+def citizen_reports(spark: SparkSession, sf_dir: str, since: dt.datetime | None = None) -> DataFrame:
     made = F.col("o_orderdate") + F.lit(SHIFT)
     kind = F.col("o_orderkey") % 3
     wait = F.make_dt_interval(hours=(1 + F.col("o_orderkey") % 72).cast("int"))
     state = F.col("o_orderstatus")
-    return table(spark, sf_dir, "orders").select(
+    return _since(table(spark, sf_dir, "orders"), "o_orderdate", since).select(
         _text("o_orderkey").alias("report_id"),
         _text("o_custkey").alias("bin_id"),
         made.alias("report_timestamp"),
@@ -107,8 +116,8 @@ def citizen_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def maintenance_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
+def maintenance_events(spark: SparkSession, sf_dir: str, since: dt.datetime | None = None) -> DataFrame:
+    return _since(table(spark, sf_dir, "lineitem"), "l_shipdate", since).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("event_id"),
         _text(F.col("l_partkey") % 150).alias("bin_id"),
         F.when(F.col("l_returnflag") == "R", "repaired").otherwise("emptied").alias("maintenance_type"),
@@ -141,9 +150,9 @@ def alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def route_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def route_history(spark: SparkSession, sf_dir: str, since: dt.datetime | None = None) -> DataFrame:
     stop = F.col("l_linenumber") % 4
-    return table(spark, sf_dir, "lineitem").select(
+    return _since(table(spark, sf_dir, "lineitem"), "l_shipdate", since).select(
         _text("l_orderkey").alias("route_id"),
         _text("l_partkey").alias("bin_id"),
         (F.col("l_shipdate") + F.lit(SHIFT)).alias("service_date"),

@@ -118,13 +118,16 @@ def test_trees_are_bounded_and_repeatable(spark):
     assert forest.nodes.groupby("tree").size().max() <= 2 * 32 - 1
 
 
-def test_trees_get_full_and_separate_samples(spark):
+def test_trees_draw_alike_at_every_size(spark):
     df = settled(points(spark))
-    dealt = anomaly._samples(df, ("a", "b"), ("k",), 5, 64, 7).collect()
-    assert len({(r.a, r.b) for r in dealt}) == len(dealt) == 5 * 64
-    assert {sum(r.tree == t for r in dealt) for t in range(5)} == {64}
-    drawn = anomaly._samples(df, ("a", "b"), ("k",), 50, 64, 7).collect()
-    assert {len({r.a for r in drawn if r.tree == t}) for t in range(50)} == {64}
+    n = df.count()
+    few = anomaly._samples(df, ("a", "b"), ("k",), 5, 64, 7).collect()
+    many = anomaly._samples(df, ("a", "b"), ("k",), 50, 64, 7).collect()
+    assert 5 * 64 < n < 50 * 64
+    for trees, drawn in ((5, few), (50, many)):
+        assert {len({(r.a, r.b) for r in drawn if r.tree == t}) for t in range(trees)} == {64}
+    # a tree draws the same rows however many others there are
+    assert {(r.a, r.b) for r in few if r.tree == 3} == {(r.a, r.b) for r in many if r.tree == 3}
 
 
 def test_fewer_rows_than_the_sample(spark):
@@ -137,3 +140,18 @@ def test_fewer_rows_than_the_sample(spark):
 def test_expected_path():
     assert [anomaly.expected_path(n) for n in (0, 1, 2)] == [0.0, 0.0, 1.0]
     assert anomaly.expected_path(256) == pytest.approx(10.2448, abs=1e-3)
+
+
+def test_nothing_to_learn_from(spark, small):
+    from fillwatch.operators import forecast
+    from fillwatch.sources import adapters as ad
+
+    none = spark.createDataFrame([], ", ".join(f"{c} double" for c in training.FEATURES) + ", label double")
+    model = training.fit(none)
+    assert model is None
+    bins = ad.bins(spark, small)
+    rows = forecast.predict(model, bins.select("bin_id"), bins=bins).collect()
+    assert len(rows) == bins.count() * len(forecast.HORIZONS)
+    assert all(r.predicted_fill is None and r.lower is None for r in rows)
+    assert training.evaluate(model, none).first().examples == 0
+    assert {r.importance for r in training.importances(model, none).collect()} == {None}

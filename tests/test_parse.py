@@ -144,3 +144,25 @@ def test_payload_keeps_the_place_in_the_topic(spark):
     )
     row = streams.payload(df).first()
     assert (row.json_str, row.arrived_partition, row.arrived_offset) == ('{"a":1}', 2, 7)
+
+
+def test_tolerant_parse_first_reads_what_the_patterns_read(spark):
+    from pyspark.sql import functions as F
+
+    from fillwatch.functions import times
+
+    texts = [
+        "2025-01-02T03:04:05.123456+02:00", "2025-01-02T03:04:05.123-05:30", "2025-01-02T03:04:05Z",
+        "2025-01-02T03:04:05.123456", "2025-01-02T03:04:05.123", "2025-01-02T03:04:05", "2025-01-02",
+        "2025-1-2", "2025-01-2T3:04:05", "12025-01-02", "0001-01-01", "-0044-03-15", "  2025-01-02 ",
+        "2025-13-02", "2025-02-30", "2025-01-02T24:00:00", "2025-01-02 03:04", "2025-01", "2025",
+        "junk", "", " ", "2025-01-02Tjunk", "2025-01-02T03:04:05+0200", "03:04:05", "1735787045", None,
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    tries = [F.try_to_timestamp("t", F.lit(p)) for p in times.TIMESTAMP_PATTERNS]
+    # a bare time of day is today's: compared as such
+    before = F.coalesce(*tries, F.try_to_timestamp("t"))
+    rows = df.select(
+        "t", times.timestamp_any(F.col("t")).cast("string").alias("now"), before.cast("string").alias("before")
+    ).collect()
+    assert [(r.t, r.now) for r in rows] == [(r.t, r.before) for r in rows]

@@ -4,9 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from fillwatch.operators import tables
+from fillwatch.plans.oracles import ORACLES
 from fillwatch.sources import adapters as ad
 
-LAZY = sorted(set(entry.oracle_sql()) - {"sensor_alarms_stream"})
+LAZY = sorted(set(ORACLES) - {"sensor_alarms_stream"})
 
 
 def plan(df) -> str:
@@ -49,3 +50,18 @@ def test_only_needed_columns_are_read(spark, small):
 def test_ranks_are_limited_before_the_shuffle(spark, small, name):
     text = plan(entry.queries()[name](spark, small))
     assert "WindowGroupLimit" in text and "Partial" in text
+
+
+@pytest.mark.parametrize(
+    "name,column",
+    [
+        ("reports_recent", "o_orderdate"),
+        ("reports_resolved", "o_orderdate"),
+        ("maintenance_recent", "l_shipdate"),
+        ("routes_recent", "l_shipdate"),
+    ],
+)
+def test_time_filters_of_shifted_tables_reach_the_scan(spark, small, name, column):
+    text = plan(entry.queries()[name](spark, small))
+    assert f"GreaterThanOrEqual({column}," in text
+    assert text.count("FileScan parquet") == 1

@@ -87,3 +87,38 @@ def test_wide_and_long(spark, small):
     readings = ad.sensor_data(spark, small).select("bin_id", "timestamp", *records.MEASURES)
     back = records.to_wide(records.to_long(readings)).select(readings.columns)
     assert sorted(back.collect()) == sorted(readings.collect())
+
+
+class _Session:
+    """As much of a session as the shared folder asks for."""
+
+    def __init__(self, master, root=None):
+        self.sparkContext = type("Context", (), {"master": master})()
+        self.conf = {"spark.checkpoint.dir": root} if root else {}
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    import pytest
+
+    from fillwatch.session import shared_dir
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(_Session(master), "x")
+        assert shared_dir(_Session(master, "s3://b/c/"), "x").startswith("s3://b/c/fillwatch/x-")
+    for master in ("local", "local[8]", "local[*]"):
+        session = _Session(master)
+        shared_dir(session, "x")
+        assert session.conf == {}
+
+
+def test_copies_are_removed_on_release(spark, tmp_path, monkeypatch):
+    from fillwatch import session
+
+    monkeypatch.setattr(session, "shared_root", lambda s: str(tmp_path))
+    monkeypatch.setattr(session, "_COPIES", set())
+    assert session.settled(spark.range(5)).count() == 5
+    assert session.settled(spark.range(7), "other").count() == 7
+    assert len(list((tmp_path / "fillwatch").iterdir())) == 2
+    session.release(spark)
+    assert list((tmp_path / "fillwatch").iterdir()) == []
