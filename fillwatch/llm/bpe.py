@@ -37,7 +37,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 _SPACE = (*range(9, 14), 32, 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288)
 _LETTER, _NUMBER, _WHITE = 1, 2, 3
 
-#: Code points worked on at once, and in a block; a longer text is a block of its own.
+#: Bytes of text worked on at once, and code points in a block, about; a longer text is worked on
+#: as a whole.
 SLICE, BLOCK = 1 << 19, 1 << 23
 #: A token table is sent to all executors; larger ones are refused.
 MOST_TOKENS = 1 << 22
@@ -104,7 +105,7 @@ def distinct_words(
     Pre-tokens are gathered by hash, and every one is compared with the first of its hash.
     """
     words, of = _distinct(code, text, start)
-    return np.array([slots.setdefault(w, len(slots)) for w in words], np.int64)[of]
+    return np.array([slots.setdefault(w, len(slots)) for w in words], np.int32)[of]
 
 
 def _distinct(code: np.ndarray, text: str, start: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -168,7 +169,7 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
     """Texts in blocks: pre-tokens as slots, and the distinct words in ``parts`` by hash."""
 
     def row(block: int, ids: list, counts: list, found: list, slots: dict[str, int]) -> dict:
-        use = np.concatenate(found) if found else np.zeros(0, np.int64)
+        use = np.concatenate(found) if found else np.zeros(0, np.int32)
         order = np.argsort(-np.bincount(use, minlength=len(slots)), kind="stable")
         rank = np.empty(len(slots), np.int64)
         rank[order] = np.arange(len(slots))  # frequent words get small numbers
@@ -216,22 +217,22 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
+        ids, counts, found, slots, size = [], [], [], {}, 0
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            whole = [t or "" for t in batch.column("text").to_pylist()]
-            at = np.append(0, np.cumsum([len(t) for t in whole]))
-            for low, high in texts.slices(at, BLOCK):
-                slots: dict[str, int] = {}
-                counts, found = [], []
-                for a, b in texts.slices(at[low : high + 1], SLICE):
-                    own = whole[low + a : low + b]
-                    code, begin = texts.code_points(own)
-                    start = pre_tokens(code, begin)
-                    counts += np.diff(np.searchsorted(start, begin)).tolist()
-                    if len(start):
-                        found.append(distinct_words(code, "".join(own), start, slots))
-                yield pa.RecordBatch.from_pylist([row(block, ids[low:high], counts, found, slots)], schema)
-                block += 1
+            for low, high, own in texts.pieces(batch.column("text"), SLICE):
+                code, begin = texts.code_points(own)
+                start = pre_tokens(code, begin)
+                ids += batch.column("doc_id").slice(low, high - low).to_pylist()
+                counts += np.diff(np.searchsorted(start, begin)).tolist()
+                if len(start):
+                    found.append(distinct_words(code, "".join(own), start, slots))
+                size += len(code)
+                if size >= BLOCK:
+                    yield pa.RecordBatch.from_pylist([row(block, ids, counts, found, slots)], schema)
+                    ids, counts, found, slots, size = [], [], [], {}, 0
+                    block += 1
+        if ids:
+            yield pa.RecordBatch.from_pylist([row(block, ids, counts, found, slots)], schema)
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, _BLOCKS)
 
@@ -416,10 +417,7 @@ def encode_in_place(docs: DataFrame, coder: Callable[[], WordCoder], width: int
         to_ids = coder()
         known: dict[str, np.ndarray] = {}
         for batch in batches:
-            whole = [t or "" for t in batch.column("text").to_pylist()]
-            at = np.append(0, np.cumsum([len(t) for t in whole]))
-            for low, high in texts.slices(at, SLICE):
-                own = whole[low:high]
+            for low, high, own in texts.pieces(batch.column("text"), SLICE):
                 code, begin = texts.code_points(own)
                 start = pre_tokens(code, begin)
                 words, of = _distinct(code, "".join(own), start) if len(start) else ([], start)

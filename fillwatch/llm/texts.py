@@ -77,6 +77,12 @@ def slices(at: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         low = high
 
 
+def pieces(column: pa.Array, limit: int) -> Iterator[tuple[int, int, list[str]]]:
+    """Runs of rows of about ``limit`` bytes of text, and their texts; null is empty."""
+    for low, high in slices(utf8(column)[1], limit):
+        yield low, high, [t or "" for t in column.slice(low, high - low).to_pylist()]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit over the whole."""
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
