@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fillwatch.operators import features
+
 TABLES = {
     "bins": """
 SELECT CAST(c_custkey AS VARCHAR) AS bin_id,
@@ -522,3 +524,24 @@ FROM (SELECT prefix.*, h.horizon, "timestamp" + to_hours(h.horizon) AS due
 ASOF JOIN (SELECT bin_id, "timestamp" AS seen, min(fill_level) AS fill_level FROM known GROUP BY ALL) r
   ON p.bin_id = r.bin_id AND p.due <= r.seen"""
 )
+ORACLES["forecast_facts"] = using(
+    "bins sensor_data",
+    """SELECT b.bin_id, h.horizon, r.bin_id IS NOT NULL AS forecast,
+  CASE WHEN r.bin_id IS NOT NULL THEN true END AS in_range, CASE WHEN r.bin_id IS NOT NULL THEN true END AS never_falls
+FROM bins b CROSS JOIN (VALUES (1), (6), (12), (24)) h(horizon)
+LEFT JOIN (SELECT DISTINCT bin_id FROM sensor_data) r ON b.bin_id = r.bin_id""",
+)
+ORACLES["forecast_evaluate_facts"] = (
+    _examples("row")
+    + """
+SELECT count(*) AS examples, true AS errors_fit FROM examples
+WHERE CAST('0x' || substr(md5('42|' || bin_id || '|' || sensor_id || '|' || horizon), 1, 7) AS BIGINT) % 10 >= 8"""
+)
+ORACLES["feature_importances_facts"] = (
+    "SELECT feature, true AS counts, 1.0::DOUBLE AS total FROM (VALUES "
+    + ", ".join(f"('{name}')" for name in features.FEATURES)
+    + ") f(feature)"
+)
+ORACLES["anomaly_facts"] = using(
+    "sensor_data", "SELECT count(*) AS readings, true AS scores_fit, true AS share_fits FROM sensor_data"
+)

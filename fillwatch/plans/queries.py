@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from fillwatch import schemas
 from fillwatch.functions import times
@@ -624,3 +625,49 @@ def anomaly_flags(spark, sf_dir):
     rows = settled(rows)
     forest = anomaly.fit(rows, ANOMALY_COLUMNS, ("bin_id", "sensor_id"))
     return anomaly.flag(rows, forest).select("bin_id", "sensor_id", "score", "is_anomaly")
+
+
+# ------------------------------------------- what holds for any forest, beside SQL
+
+
+@query
+def forecast_facts(spark, sf_dir):
+    """Every bin and horizon: a forecast exactly where there are readings, in range, never falling."""
+    now = _features(spark, sf_dir).select("bin_id", F.col("current_fill_level").alias("now"))
+    rows = forecast_bins(spark, sf_dir).join(now, "bin_id", "left")
+    before = F.lag("predicted_fill").over(Window.partitionBy("bin_id").orderBy("horizon"))
+    fill = F.col("predicted_fill")
+    return rows.select(
+        "bin_id",
+        "horizon",
+        fill.isNotNull().alias("forecast"),
+        (fill.between(0, 100) & (F.col("lower") <= fill) & (fill <= F.col("upper"))).alias("in_range"),
+        (fill >= F.coalesce(before, F.least(F.col("now"), F.lit(100.0)))).alias("never_falls"),
+    )
+
+
+@query
+def forecast_evaluate_facts(spark, sf_dir):
+    errors = forecast_evaluate(spark, sf_dir)
+    return errors.select("examples", ((F.col("rmse") >= F.col("mae")) & (F.col("mae") > 0)).alias("errors_fit"))
+
+
+@query
+def feature_importances_facts(spark, sf_dir):
+    """The features' names; together their importances are 1."""
+    weights = feature_importances(spark, sf_dir)
+    total = weights.agg(F.round(F.sum("importance"), 6).alias("total"))
+    return weights.select(
+        "feature", (F.col("importance") >= 0).alias("counts"), F.lit(total.first()["total"]).alias("total")
+    )
+
+
+@query
+def anomaly_facts(spark, sf_dir):
+    """All readings are scored, and about the expected share of them is flagged."""
+    share = F.avg(F.col("is_anomaly").cast("double"))
+    return anomaly_flags(spark, sf_dir).agg(
+        F.count("*").alias("readings"),
+        F.min(F.col("score").between(0, 1)).alias("scores_fit"),
+        share.between(0.05, 0.11).alias("share_fits"),
+    )
