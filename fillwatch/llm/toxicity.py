@@ -151,7 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FE
     )
     # at most twice ``sample`` ids
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
-    rows = settled(rows.filter("text IS NOT NULL").dropDuplicates(["text"]), "labelled")
+    rows = rows.filter("text IS NOT NULL").groupBy("text").agg(F.max("toxic").alias("toxic"))
+    rows = settled(rows, "labelled")
     size = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     none = Model(np.zeros(0, np.uint64), np.zeros(0), np.array([40.0, 41.0]))
     if len(size) < 2:
