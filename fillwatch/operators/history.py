@@ -315,7 +315,14 @@ def _days_since_at_row(
             "bin_id", "event_timestamp", F.to_date("event_timestamp").alias("_event_day")
         )
         rows = asof.attach(
-            rows, events, "bin_id", "timestamp", "event_timestamp", ["_event_day"], times_of=readings
+            rows,
+            events,
+            "bin_id",
+            "timestamp",
+            "event_timestamp",
+            ["_event_day"],
+            slot_hours=1,
+            times_of=readings,
         )
         known.append(F.col("_event_day"))
     if bins is not None:
