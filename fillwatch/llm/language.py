@@ -105,13 +105,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, keep: int = NGRAMS) -> Model:
     most ``keep`` n-grams for each. Without labelled rows the model knows no language.
     """
     known = docs.filter(in_training(F.col("doc_id")) & F.col("lang").isNotNull())
-    lowest = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
-        known.select("doc_id", "lang")
-        .withColumn("number", F.row_number().over(lowest))
-        .filter(F.col("number") <= sample)
-        .select("doc_id", "lang")
-    )
+    chosen = texts.lowest(known.select("doc_id", "lang"), "lang", "doc_id", sample)
     size = {r.lang: r.n for r in chosen.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(size, key=lambda x: (-size[x], x))
     if not languages:

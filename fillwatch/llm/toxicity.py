@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from fillwatch.llm import texts
 from fillwatch.session import settled
@@ -140,15 +139,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FE
     features and the few that each sampled text has of them. With no toxic or no other label the
     model knows no feature and finds nothing toxic.
     """
-    lowest = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = (
+    marked = (
         labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
-        .withColumn("number", F.row_number().over(lowest))
-        .filter(F.col("number") <= sample)
-        .select("doc_id", "toxic")
     )
+    chosen = texts.lowest(marked, "toxic", "doc_id", sample)
     # at most twice ``sample`` ids
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
     rows = rows.filter("text IS NOT NULL").groupBy("text").agg(F.max("toxic").alias("toxic"))
