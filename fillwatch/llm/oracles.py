@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from fillwatch.llm import licences
+
 ORACLES: dict[str, str] = {
     "op2_near_dedup": r"""
 WITH RECURSIVE w AS (
@@ -101,3 +103,40 @@ SELECT e.doc_id, e.n_chars::BIGINT AS n_chars, sha256(e.edited) AS edited_sha256
 FROM e JOIN f a ON a.t = e.text JOIN f b ON b.t = e.edited JOIN f n ON n.t = e.next
 """,
 }
+
+
+def _licences() -> str:
+    """The sentence table and the rules of ``licences`` as one statement, rule after rule."""
+    known = licences.known_sentences(licences.SENTENCES)
+    listed = ", ".join(f"'{s}'" for s in known)
+    named = " ".join(f"WHEN '{s}' THEN '{name}'" for s, name in known.items())
+    steps, left = [], "rest_0"
+    for i, (licence, sequence) in enumerate(licences.RULES, 1):
+        text = "".join(f",{name}," for name in sequence)
+        steps.append(
+            f"r{i} AS (SELECT *, replace({left}, '{text}', '|') AS rest_{i},"
+            f" CASE WHEN contains({left}, '{text}') THEN '{licence}' END AS l{i} FROM r{i - 1})"
+        )
+        left = f"rest_{i}"
+    found = ", ".join(f"l{i}" for i in range(1, len(licences.RULES) + 1))
+    return rf"""
+WITH d AS (
+  SELECT doc_id, list_transform(
+    string_split(regexp_replace(coalesce(text, ''), '([.!?:;])\s+', '\1' || chr(10), 'g'), chr(10)),
+    lambda s: replace(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')), 'licence', 'license')) AS parts
+  FROM documents),
+h AS (
+  SELECT doc_id, list_transform(list_filter(parts, lambda s: s IN ({listed})), lambda s: CASE s {named} END) AS sentences,
+    len(list_filter(parts, lambda s: s NOT IN ({listed}) AND contains(' ' || s, ' license')))::BIGINT AS unknown
+  FROM d),
+r0 AS (SELECT *, array_to_string(list_transform(sentences, lambda x: ',' || x || ','), '') AS rest_0 FROM h),
+{", ".join(steps)},
+a AS (SELECT *, list_filter([{found}], lambda x: x IS NOT NULL) AS names FROM r{len(licences.RULES)})
+SELECT doc_id, unknown, array_to_string(sentences, ',') AS sentences,
+  array_to_string(list_filter(names, lambda x, i: list_position(names, x) = i), ',') AS licences,
+  array_to_string(list_filter(regexp_split_to_array({left}, '[,|]+'), lambda x: x <> ''), ',') AS unmatched
+FROM a
+"""
+
+
+ORACLES["op4_licences"] = _licences()
