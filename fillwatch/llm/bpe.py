@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 import unicodedata
 import uuid
 from collections.abc import Callable, Iterator
@@ -402,7 +403,7 @@ def encode(
 
 
 #: Words that a task remembers with their ids before it forgets them all.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 
 
 def encode_in_place(docs: DataFrame, coder: Callable[[], WordCoder], width: int = 4) -> DataFrame:
@@ -411,13 +412,13 @@ def encode_in_place(docs: DataFrame, coder: Callable[[], WordCoder], width: int
     Nothing is shuffled: each task encodes the words that it has not met before. For texts that
     must stay where they are, such as sorted ones; ``encode`` encodes a word once in all.
     """
-    kind = {2: "<u2", 4: "<u4"}[width]
+    kind, letter = {2: ("<u2", "H"), 4: ("<u4", "I")}[width]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids = coder()
-        known: dict[str, np.ndarray] = {}
+        known: dict[str, bytes] = {}
         for batch in batches:
-            for low, high, own in texts.pieces(batch.column("text"), SLICE):
+            for low, high, own in texts.pieces(batch.column("text"), 2 * SLICE):
                 code, begin = texts.code_points(own)
                 start = pre_tokens(code, begin)
                 words, of = _distinct(code, "".join(own), start) if len(start) else ([], start)
@@ -427,10 +428,10 @@ def encode_in_place(docs: DataFrame, coder: Callable[[], WordCoder], width: int
                 for word, ids in zip(new, to_ids([w.encode() for w in new])):
                     if ids and max(ids) >= 1 << (8 * width):
                         raise ValueError(f"an id of {max(ids)} does not fit into {width} bytes")
-                    known[word] = np.array(ids, kind)
+                    known[word] = struct.pack(f"<{len(ids)}{letter}", *ids)
                 coded = [known[w] for w in words]
-                count = np.array([len(x) for x in coded], np.int64)
-                flat = np.concatenate([np.zeros(0, kind), *coded])
+                count = np.fromiter(map(len, coded), np.int64, len(coded)) // width
+                flat = np.frombuffer(b"".join(coded), kind)
                 each = count[of]
                 ids = flat[_gather((np.cumsum(count) - count)[of], each)]
                 done = np.append(0, np.cumsum(each))[np.searchsorted(start, begin)]
