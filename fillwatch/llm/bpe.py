@@ -15,10 +15,11 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 import struct
 import unicodedata
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -406,9 +407,27 @@ def encode(
 REMEMBERED = 500_000
 
 
-def encode_in_place(docs: DataFrame, coder: Callable[[], WordCoder], width: int = 4) -> DataFrame:
+def added_spans(own: list[str], begin: np.ndarray, added: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the strings ``added`` in texts laid end to end, the longest at a place."""
+    pattern = re.compile("|".join(re.escape(a) for a in sorted(added, key=len, reverse=True)))
+    found = [
+        (at + m.start(), at + m.end())
+        for at, text in zip(begin.tolist(), own)
+        if any(a in text for a in added)
+        for m in pattern.finditer(text)
+    ]
+    both = np.array(found, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def encode_in_place(
+    docs: DataFrame, coder: Callable[[], WordCoder], width: int = 4, added: Sequence[str] = ()
+) -> DataFrame:
     """``doc_id`` and ``packed`` as ``encode`` gives them, row by row in the order of ``docs``.
 
+    Each place where a string of ``added`` stands is one word for the coder, and the text before
+    and after it is cut into words as a text of its own.
+
     Nothing is shuffled: each task encodes the words that it has not met before. For texts that
     must stay where they are, such as sorted ones; ``encode`` encodes a word once in all.
     """
@@ -420,7 +439,11 @@ def encode_in_place(docs: DataFrame, coder: Callable[[], WordCoder], width: int
         for batch in batches:
             for low, high, own in texts.pieces(batch.column("text"), 2 * SLICE):
                 code, begin = texts.code_points(own)
-                start = pre_tokens(code, begin)
+                opens, closes = added_spans(own, begin, added) if added else (begin[:0], begin[:0])
+                start = pre_tokens(code, np.sort(np.concatenate([begin, opens, closes])))
+                if len(opens):
+                    span = np.searchsorted(opens, start, "right") - 1
+                    start = start[(span < 0) | (start == opens[span]) | (start >= closes[span])]
                 words, of = _distinct(code, "".join(own), start) if len(start) else ([], start)
                 if len(known) > REMEMBERED:
                     known.clear()

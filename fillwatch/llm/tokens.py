@@ -14,6 +14,7 @@ records. A look-up takes the same few steps whatever the number of keys.
 
 from __future__ import annotations
 
+import json
 import struct
 from collections.abc import Callable, Iterator
 from urllib.parse import urlparse
@@ -52,7 +53,6 @@ def library_coder(spark: SparkSession, path: str) -> Callable[[], bpe.WordCoder]
         from tokenizers import Tokenizer
 
         known = Tokenizer.from_str(shared.value)
-        known.encode_special_tokens = True  # their strings are ordinary text
         return lambda words: [
             e.ids
             for e in known.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
@@ -61,6 +61,16 @@ def library_coder(spark: SparkSession, path: str) -> Callable[[], bpe.WordCoder]
     return coder
 
 
+def added_tokens(path: str) -> list[str]:
+    """The strings of a tokenizer file that have an id of their own wherever they stand in a text."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file).get("added_tokens") or []
+    for token in added:
+        if token["single_word"] or token["lstrip"] or token["rstrip"]:
+            raise ValueError(f"{token['content']!r} takes in what is around it, which is not supported")
+    return [token["content"] for token in added]
+
+
 def _place(path: str) -> tuple[fs.FileSystem, str]:
     if urlparse(path).scheme in ("", "file"):
         return fs.LocalFileSystem(), urlparse(path).path

@@ -73,3 +73,24 @@ def test_query_on_the_whole_table(spark, small):
         assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
         start += len(ids)
     assert not got
+
+
+def test_added_tokens_have_their_one_id(spark, tmp_path):
+    end = "<|endoftext|>"
+    made = [f"a{end}b", end, f"{end}{end}", f"word  {end}  word's{end}'s", f"{end[:-1]} <|endoftext |>", "plain", "",
+            f"é\U0001f600 {end}\n\n x", f"a<{end}>b"]
+    docs = spark.createDataFrame(list(enumerate(made)), "doc_id long, text string")
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = [library.encode(t, add_special_tokens=False).ids for t in made]
+    assert want[0] == [64, 50256, 65]
+    path = P.path("byte_bpe_50k.json")
+    coder = tokens.library_coder(spark, path)
+    got = bpe.encode_in_place(docs, coder, 2, tokens.added_tokens(path)).collect()
+    assert [list(struct.unpack(f"<{len(r.packed) // 2}H", r.packed)) for r in sorted(got, key=lambda r: r.doc_id)] == want
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    start = 0
+    for r in sorted(QUERIES["op7_token_files"](spark, str(tmp_path)).collect(), key=lambda r: r.doc_id):
+        ids = want[r.doc_id] + [2]
+        assert (r.start, r.n_tokens) == (start, len(ids))
+        assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+        start += len(ids)
