@@ -1,6 +1,9 @@
 """Licences found by sentence rules.
 
 A text is cut into sentences, each is normalised, and known licence sentences become identifiers.
+A sentence may be wrapped: line breaks, and colons and semicolons, may lie inside a known sentence
+or end it; full stops and blank lines always end it. What stands before a line's first letter or
+digit (comment marks, bullets) does not count.
 The identifiers of a text, in order, are matched against rules; a rule is a sequence of
 identifiers, the rules have an order, and what a rule has matched is not matched again. Known
 sentences that no rule takes, and unknown ones that speak of a licence, are reported as such.
@@ -105,14 +108,40 @@ RULES = [
 #: What a sentence's normal form must hold to count as one about a licence though it is not known.
 ABOUT = " license"
 
+#: Where a text on one line, or a line by itself, is cut.
 SENTENCE_END = r"(?<=[.!?:;])\s+|\n"
 NOT_WORD = r"[^a-z0-9]+"
+# Marks in a normalised text: an end of a sentence, a colon or semicolon, an end of a line, and a
+# known sentence. Fixed values.
+_END, _PART, _LINE, _KNOWN = "\x01", "\x02", "\x03", "\x04"
+#: What makes marks of a text in lower case that begins with a line end, step by step. A comment
+#: mark is dropped before a line's first letter or digit; a list marker is a part of its own.
+_MARKS = [
+    (r"\n[^a-z0-9\n]+", "\n"),
+    (r"\n(?:dnl|rem)(?=[ \t\n])[^a-z0-9\n]*", "\n"),
+    (r"\n([0-9]{1,2}|[a-z]|[ivx]{1,4})\)\s+", f"\n$1{_PART}"),
+    (r"\n\n+", _END),
+    (r"(?<=[.!?])\s+", _END),
+    (r"(?<=[:;])\s+", _PART),
+    (r"\n", _LINE),
+    (f"[^a-z0-9{_END}{_PART}{_LINE}]+", " "),
+]
+
+
+def marked(text: Column) -> Column:
+    """Lower case, one spelling of licence, and single blanks for all that is not a letter, a digit
+    or a mark. A mark stands at both ends."""
+    plain = F.concat(F.lit("\n"), F.translate(F.lower(text), _END + _PART + _LINE + _KNOWN, "    "))
+    for pattern, by in _MARKS:
+        plain = F.regexp_replace(plain, pattern, by)
+    plain = F.replace(plain, F.lit("licence"), F.lit("license"))
+    return F.concat(F.lit(_END), plain, F.lit(_END))
 
 
-def normalised(sentence: Column) -> Column:
-    """Lower case, one spelling of licence, and single blanks for all that is not a letter or digit."""
-    plain = F.trim(F.regexp_replace(F.lower(sentence), NOT_WORD, " "))
-    return F.replace(plain, F.lit("licence"), F.lit("license"))
+def pattern_of(known: list[str]) -> str:
+    """Known sentences in a marked text, the longest at a place: from one mark to another one."""
+    words = ["[ \x02\x03]++".join(s.split(" ")) for s in sorted(known, key=len, reverse=True)]
+    return f"[\x01-\x03] ?({'|'.join(words)})(?= ?[\x01-\x03])"
 
 
 def known_sentences(table: dict[str, list[str]]) -> dict[str, str]:
@@ -132,30 +161,36 @@ def scan(
     at one by one, so repeated ones and null ids do no harm, and nothing is shuffled. An empty
     table gives no rows; only ``doc_id`` and ``text`` are read.
 
-    Columns: ``doc_id``, ``sentences`` (identifiers in order), ``places`` (their sentence numbers),
+    Columns: ``doc_id``, ``sentences`` (identifiers in order), ``places`` (their sentence numbers,
+    without empty ones),
     ``licences`` (in the rules' order, each once), ``unmatched`` (identifiers no rule took),
     ``unknown`` (sentences that speak of a licence and are not known).
     """
     known = known_sentences(sentences or SENTENCES)
     rules = rules or RULES
     names = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    parts = F.transform(F.split(texts.text_or_empty(), SENTENCE_END), normalised)
+    pattern = pattern_of(list(known))
+    rows = docs.select("doc_id", marked(texts.text_or_empty()).alias("marked"))
+    # a known sentence is set apart, what is left of the lines around it is joined
+    parts = F.split(
+        F.regexp_replace("marked", pattern, _END + _KNOWN + _END), f"[{_END}{_PART}][ {_END}{_PART}{_LINE}]*"
+    )
+    parts = F.filter(parts, lambda s: F.trim(F.translate(s, _LINE, " ")) != "")
     numbered = F.transform(parts, lambda s, i: F.struct(s.alias("s"), i.alias("i")))
-    # only sentences that may matter are looked at twice
     of_note = F.filter(
         numbered,
-        lambda x: x["s"].isin(list(known)) | F.concat(F.lit(" "), x["s"]).contains(ABOUT),
+        lambda x: (x["s"] == _KNOWN)
+        | F.concat(F.lit(" "), F.translate(x["s"], _LINE, " ")).contains(ABOUT),
     )
-    rows = docs.select("doc_id", of_note.alias("note"))
+    hits = F.regexp_extract_all("marked", F.lit(pattern), F.lit(1))
+    rows = rows.select("doc_id", of_note.alias("note"), hits.alias("hits"))
     found = rows.select(
         "doc_id",
-        F.filter("note", lambda x: x["s"].isin(list(known))).alias("hits"),
-        F.size(F.filter("note", lambda x: ~x["s"].isin(list(known)))).cast("long").alias("unknown"),
-    ).select(
-        "doc_id",
-        "unknown",
-        F.transform("hits", lambda x: F.element_at(names, x["s"])).alias("sentences"),
-        F.transform("hits", lambda x: x["i"]).alias("places"),
+        F.size(F.filter("note", lambda x: x["s"] != _KNOWN)).cast("long").alias("unknown"),
+        F.transform(
+            "hits", lambda s: F.element_at(names, F.regexp_replace(s, f"[ {_PART}{_LINE}]+", " "))
+        ).alias("sentences"),
+        F.transform(F.filter("note", lambda x: x["s"] == _KNOWN), lambda x: x["i"]).alias("places"),
     )
     # identifiers as a text in which each stands between commas, so that a rule is a text too
     left = F.array_join(F.transform("sentences", lambda x: F.concat(F.lit(","), x, F.lit(","))), "")
