@@ -101,6 +101,39 @@ SELECT e.doc_id, e.n_chars::BIGINT AS n_chars, sha256(e.edited) AS edited_sha256
          len(list_filter(generate_series(1, len(a.paragraphs[i])), lambda j:
            a.paragraphs[i][j] IS DISTINCT FROM b.paragraphs[i][j])))), 0)::BIGINT AS n_changed
 FROM e JOIN f a ON a.t = e.text JOIN f b ON b.t = e.edited JOIN f n ON n.t = e.next
+""",
+    "op11_collocations": r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                                'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS words FROM p),
+g AS (
+  SELECT lang, k, unnest(list_transform(generate_series(1, len(words) - k + 1),
+                                        lambda i: array_to_string(words[i:i + k - 1], ' '))) AS phrase
+  FROM w, (VALUES (1), (2), (3)) AS v(k) WHERE len(words) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k AS size, phrase, f AS a, string_split(phrase, ' ') AS words FROM f WHERE k >= 2 AND f >= 10),
+x AS (
+  SELECT lang, size, phrase, a, k, array_to_string(words[1:k], ' ') AS first, array_to_string(words[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(generate_series(1, size - 1)) AS k FROM c)),
+s AS (
+  SELECT x.lang, size, x.phrase, a, x.k, l.f AS l, r.f AS r,
+         ((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM x JOIN f l ON l.lang = x.lang AND l.phrase = x.first JOIN f r ON r.lang = x.lang AND r.phrase = x.rest),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (
+  SELECT lang, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase, a
+  FROM c WHERE size = 3),
+d AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY ALL),
+k AS (
+  SELECT b.* FROM b LEFT JOIN d USING (lang, phrase) WHERE d.longer IS NULL OR 100 * d.longer < 50 * b.a)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM k)
+     JOIN n USING (lang)
+WHERE rank <= 2000
 """,
 }
 

@@ -16,6 +16,7 @@ from fillwatch.llm import (
     mixing,
     near,
     oracles,
+    phrases,
     shards,
     tokens,
     toxicity,
@@ -139,3 +140,8 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.edits(documents(spark, sf_dir)).withColumn(
         "n_changed", F.size("changed").cast("long")
     ).drop("changed")
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(documents(spark, sf_dir))
