@@ -134,6 +134,19 @@ SELECT lang, rank, phrase, a, l, r, n, score
 FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM k)
      JOIN n USING (lang)
 WHERE rank <= 2000
+""",
+    "op12_warc_captures": r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS h,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS top
+  FROM pages)
+SELECT page_id, payload_bytes,
+       translate(array_to_string(list_transform(generate_series(0, 7), lambda i:
+                   to_base(('0x' || substr(h, 5 * i + 1, 5))::BIGINT, 32, 4)), ''),
+                 '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> top THEN top END AS refers_to
+FROM p
 """,
 }
 

@@ -20,6 +20,7 @@ from fillwatch.llm import (
     shards,
     tokens,
     toxicity,
+    warc,
 )
 from fillwatch.llm.texts import documents
 from fillwatch.session import settled, shared_dir
@@ -145,3 +146,34 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.mine(documents(spark, sf_dir))
+
+
+@query
+def op12_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "archives")
+    files = warc.write(warc.transactions(spark.read.parquet(f"{sf_dir}/pages.parquet")), folder)
+    noted = F.regexp_extract(F.element_at("metadata.payload", 1).cast("string"), "page-id: (-?[0-9]+)", 1)
+    kept = ["type", "record_id", "concurrent_to", "refers_to", "payload_digest", "payload_bytes", "payload_sha1", "payload"]
+    records = warc.read(files, folder, kept)
+    # pages' own payloads are counted and digested where they are read, and left there
+    light = records.withColumn("payload", F.when(F.col("type") == "metadata", F.col("payload")))
+    found = settled(
+        warc.captures(settled(light, "records")).select(
+            "capture_id", "record.*", F.nullif(noted, F.lit("")).cast("long").alias("page_id")
+        ),
+        "captures",
+    )
+    first = found.filter("type = 'response'").select(
+        F.col("capture_id").alias("of"),
+        F.col("page_id").alias("of_page"),
+        F.col("payload_bytes").alias("of_bytes"),
+    )
+    revisit = F.col("type") == "revisit"
+    # both sides grow with the pages; a response with many revisits is split at run time
+    return found.join(first.hint("merge"), F.col("refers_to") == F.col("of"), "left").select(
+        "page_id",
+        F.when(revisit, F.col("of_bytes")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
+        F.when(revisit, F.substring("payload_digest", 6, 32)).otherwise(F.col("payload_sha1")).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.when(revisit, F.col("of_page")).alias("refers_to"),
+    )
