@@ -53,8 +53,13 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """The name of a fresh folder below ``spark.checkpoint.dir``, readable by every executor."""
-    return f"{shared_root(spark)}/fillwatch/{purpose}-{uuid.uuid4().hex}"
+    """The name of a fresh folder below ``spark.checkpoint.dir``, readable by every executor.
+
+    ``release`` deletes it.
+    """
+    path = f"{shared_root(spark)}/fillwatch/{purpose}-{uuid.uuid4().hex}"
+    _COPIES.add(path)
+    return path
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -66,7 +71,7 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Delete the copies that ``settled`` made; results that read them are of no use afterwards."""
+    """Delete the folders of ``shared_dir`` and ``settled``; results that read them are of no use afterwards."""
     for path in list(_COPIES):
         remove(spark, path)
 
@@ -79,6 +84,5 @@ def settled(df: DataFrame, purpose: str = "settled") -> DataFrame:
     deletes the copies once their results have been used.
     """
     path = shared_dir(df.sparkSession, purpose)
-    _COPIES.add(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
