@@ -21,6 +21,7 @@ from fillwatch.llm import (
     tokens,
     toxicity,
     warc,
+    whitening,
 )
 from fillwatch.llm.texts import documents
 from fillwatch.session import settled, shared_dir
@@ -177,3 +178,8 @@ def op12_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("type").alias("record_type"),
         F.when(revisit, F.col("of_page")).alias("refers_to"),
     )
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))

@@ -258,9 +258,9 @@ def parsed(stream: BinaryIO) -> Iterator[dict]:
             values = _values(fields)
             first = lambda name: values.get(name, [None])[0]
             size = int(first("content-length") or 0)
-            block = stream.read(size)
-            if len(block) < size:
-                raise EOFError("the file ends in the block of a record")
+            block = stream.read(max(size, 0))
+            if len(block) != size:
+                raise EOFError(f"a record's block has {len(block)} bytes in place of {size}")
             status, http, body = None, [], block
             if (first("content-type") or "").lower().startswith("application/http"):
                 status, http, body = _message(block)
