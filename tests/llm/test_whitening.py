@@ -47,7 +47,7 @@ def check(got, rows, most=32):
     assert np.abs(w.T @ w / n - np.eye(k)).max() < 1e-9
     assert got[0].identity_error < 1e-9 and len({r.identity_error for r in got}) == 1
     # the components, from the whitened rows: unit vectors that belong to their eigenvalue
-    unit = centred.T @ w / n / np.sqrt(value[:k])
+    unit = np.linalg.lstsq(centred, w * np.sqrt(value[:k]), rcond=1e-12)[0]
     assert np.allclose(np.linalg.norm(unit, axis=0), 1, atol=1e-9)
     assert np.abs(centred.T @ (centred @ unit) / n - unit * value[:k]).max() < 1e-10 * value[0]
     alone = [j for j in range(k) if min(abs(value[j] - o) for i, o in enumerate([*value, -math.inf]) if i != j) > 1e-3 * value[0]]
