@@ -37,7 +37,7 @@ BLANKS = " \t"
 UNKNOWN = "und"
 
 #: Bytes of text in a block, about; a longer text is a block of its own. Rows given out at once.
-BLOCK, ROWS = 1 << 23, 1 << 16
+BLOCK, ROWS = 1 << 22, 1 << 16
 
 _END = 10
 _PLAIN = np.arange(256, dtype=np.uint8)
@@ -64,12 +64,12 @@ def _binary(data: np.ndarray | bytes, length: np.ndarray) -> pa.Array:
 def _numbered(values: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The distinct values in order of appearance, and the number of each value among them."""
     coded = values.dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int32, copy=False)
 
 
 def _code(columns: np.ndarray) -> np.ndarray:
     """A number for each row of numbers, equal where all are."""
-    code, span = columns[0], int(columns[0].max(initial=0)) + 1
+    code, span = columns[0].astype(np.int64), int(columns[0].max(initial=0)) + 1
     for column in columns[1:]:
         width = int(column.max(initial=0)) + 1
         if span > (1 << 62) // width:
@@ -77,7 +77,9 @@ def _code(columns: np.ndarray) -> np.ndarray:
             code = np.empty_like(code)
             code[order] = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
             span = len(begin)
-        code, span = code * width + column, span * width
+        code *= width
+        code += column
+        span *= width
     return code
 
 
@@ -140,7 +142,7 @@ def _dealt(words: pa.Array, found: Windows, level: int, parts: int) -> pa.Record
     out = {name: [] for name in ("p", "words", "lengths", "ids", "counts")}
     for p, own in _grouped(place):
         # the number for no word comes first, whether it is there or not
-        ids, used = pd.factorize(np.append(0, columns[:, own].reshape(-1)))
+        ids, used = pd.factorize(np.append(np.int32(0), columns[:, own].reshape(-1)))
         held = used[1:] - 1
         out["p"].append(p)
         out["words"].append(press(texts.bytes_of(words.take(pa.array(held)))[0].tobytes()))
@@ -159,7 +161,8 @@ def _read(rows: list[dict], width: int) -> tuple[pa.Array, Windows]:
     begin = np.cumsum([0, *map(len, lengths)])
     columns = []
     for row, low, high in zip(rows, begin[:-1], begin[1:]):
-        columns.append(np.append(0, of[low:high] + 1)[_unpressed(row["ids"]).reshape(width, -1)])
+        own = np.append(np.int32(0), of[low:high] + 1)
+        columns.append(own[_unpressed(row["ids"]).reshape(width, -1)])
     count = np.concatenate([_unpressed(r["counts"]) for r in rows])
     return words, _combined(np.concatenate(columns, axis=1), count)
 
@@ -175,7 +178,7 @@ def _windows(data: np.ndarray, at: np.ndarray, lang: np.ndarray, langs: list[str
     words, of = _numbered(_binary(flat, np.append([len(x) for x in first], end - start)))
     text = np.searchsorted(at, start, "right") - 1
     piece = np.searchsorted(np.flatnonzero(data == _END), start) + text
-    columns = np.zeros((longest + 1, len(start)), np.int64)
+    columns = np.zeros((longest + 1, len(start)), np.int32)
     columns[0] = of[: len(first)][lang[text]] + 1
     columns[1] = of[len(first) :] + 1
     for k in range(1, longest):
