@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from fillwatch.llm import texts
@@ -104,22 +105,36 @@ def find(
     )
 
 
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def drop_copies(docs: DataFrame, salts: int = SALTS) -> DataFrame:
-    """The rows of ``docs`` that stay by ``find``, with all their columns; one of each group."""
-    names = docs.columns
-    stay = find(docs.select("doc_id", "text"), salts).filter("kept")
-    keys = [F.col("doc_id").alias("_of"), F.col("digest").alias("_digest")]
-    digest = sha256(texts.without_spaces(texts.text_or_empty()))
-    alike = Window.partitionBy("_of", "_digest").orderBy(
-        F.length(texts.text_or_empty()).desc(), *[F.col(n) for n in names]
+    """The rows of ``docs`` that stay by ``find``, with all their columns; one of each group.
+
+    Nulls, empty texts and ties are those of ``find``. Of rows alike in ``doc_id`` and text one
+    stays, the first in order of their other columns (of maps, in order of their JSON); a map task
+    sends only its own first, so repeated rows are not gathered anywhere. An empty table gives no
+    rows. A row is carried as one value, so further columns may have any name and type.
+    """
+    order = [F.col(f"row.`{f.name}`") if _orderable(f.dataType) else F.to_json(F.struct(F.col(f"row.`{f.name}`"))) for f in docs.schema]
+    # a null doc_id is a key as well, so that all steps are dealt out by the same plain columns
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("key")
+    stay = find(docs.select("doc_id", "text"), salts).filter("kept").select(key, "digest")
+    rows = docs.select(
+        F.struct("*").alias("row"),
+        key,
+        F.length(texts.text_or_empty()).alias("chars"),
+        sha256(texts.without_spaces(texts.text_or_empty())).alias("digest"),
     )
+    alike = Window.partitionBy("key", "digest").orderBy(F.col("chars").desc(), *order)
     return (
-        docs.withColumns({"_own": F.col("doc_id"), "_text_digest": digest})
-        .join(
-            stay.select(*keys),
-            F.col("_own").eqNullSafe(F.col("_of")) & (F.col("_text_digest") == F.col("_digest")),
-        )
-        .withColumn("_number", F.row_number().over(alike))
-        .filter("_number = 1")
-        .select(*names)
+        rows.withColumn("place", F.row_number().over(alike))
+        .filter("place = 1")
+        .join(stay.hint("merge"), ["key", "digest"], "left_semi")
+        .select("row.*")
     )

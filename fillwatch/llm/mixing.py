@@ -159,7 +159,8 @@ def mix(docs: DataFrame, seed: int = 0, most: int = MOST) -> DataFrame:
     below = (F.col("place") < F.col("threshold")) | (
         (F.col("place") == F.col("threshold")) & F.col("edge_too")
     )
-    times = F.col("passes") + F.coalesce(below, F.lit(False)).cast("long")
+    # rows without words may lie below the threshold of a source that is at its limit
+    times = F.least(F.col("passes") + F.coalesce(below, F.lit(False)).cast("long"), F.lit(most))
     return (
         _on_source(rows.withColumn("bucket", prefix(STEP)), known, F.col("bucket") == F.col("prefix"))
         .select("doc_id", "a.source", "place", "size", "source_size", "target", times.alias("times"))
@@ -168,15 +169,17 @@ def mix(docs: DataFrame, seed: int = 0, most: int = MOST) -> DataFrame:
 
 
 def apply(docs: DataFrame, seed: int = 0, most: int = MOST) -> DataFrame:
-    """The mix itself: each row of ``docs``, with all its columns, as often as ``mix`` takes it."""
+    """The mix itself: each row of ``docs``, with all its columns, as often as ``mix`` takes it.
+
+    Nulls, empty texts and repeated rows are those of ``mix``. An empty table gives no rows. A row is
+    carried as one value, so further columns may have any name and type.
+    """
     often = mix(docs.select("doc_id", "text", "source"), seed, most)
     often = often.filter("times > 0").select("source", "place", "times").distinct()
-    placed = docs.withColumns({"_source": F.col("source"), "_place": _place(seed)})
-    on = F.col("_source").eqNullSafe(F.col("o.source")) & (F.col("_place") == F.col("o.place"))
-    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("o.times"))).alias("_time")
+    rows = docs.select(F.struct("*").alias("row"), "source", _place(seed).alias("place"))
+    repeated = F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))
     return (
-        placed.alias("d")
-        .join(often.hint("merge").alias("o"), on)
-        .select(*[F.col(f"d.`{c}`") for c in docs.columns], repeated)
-        .drop("_time")
+        _on_source(rows, often.hint("merge"), F.col("a.place") == F.col("b.place"))
+        .select("row", repeated.alias("time"))
+        .select("row.*")
     )

@@ -246,7 +246,14 @@ def find(
 
 
 def drop_near_copies(docs: DataFrame, width: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that name their component by ``find``."""
+    """The rows of ``docs``, with all their columns, that name their component by ``find``.
+
+    Null and empty texts are linked with nothing and stay, and so do rows with a null ``doc_id``.
+    Rows that share the ``doc_id`` that stays all stay. An empty table gives no rows. A row is carried
+    as one value, so further columns may have any name and type.
+    """
+    key = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")).alias("key")
     kept = find(docs.select("doc_id", "text"), width, part, whole).filter("kept")
-    kept = kept.select(F.col("doc_id").alias("_kept")).distinct().hint("merge")
-    return docs.alias("d").join(kept, F.col("d.doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    kept = kept.select(key).distinct().hint("merge")
+    rows = docs.select(F.struct("*").alias("row"), key)
+    return rows.join(kept, "key", "left_semi").select("row.*")
