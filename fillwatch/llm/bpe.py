@@ -16,7 +16,6 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-import struct
 import unicodedata
 import uuid
 from collections.abc import Callable, Iterator, Sequence
@@ -30,7 +29,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fillwatch.llm import texts
-from fillwatch.llm.near import complete_runs
 from fillwatch.session import shared_dir
 
 #: The pattern that ``pre_tokens`` follows. Fixed value.
@@ -164,7 +162,7 @@ _BLOCKS = (
     " parts array<struct<p: int, words: binary, lengths: binary, slots: binary>>"
 )
 _ENCODED = "block long, slots binary, counts binary, ids binary"
-_IDS = "doc_id long, ids array<int>, packed binary"
+_IDS = "doc_id long, ids array<int>"
 
 
 def blocks(docs: DataFrame, parts: int) -> DataFrame:
@@ -239,6 +237,12 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, _BLOCKS)
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch of large rows, only one of them at a time as Python objects."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _grouped(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     order = np.argsort(keys, kind="stable")
     cut = np.flatnonzero(np.diff(keys[order])) + 1
@@ -305,7 +309,11 @@ def _gather(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 
 def encode(
-    docs: DataFrame, coder: Callable[[], WordCoder], parts: int | None = None, width: int = 4
+    docs: DataFrame,
+    coder: Callable[[], WordCoder],
+    parts: int | None = None,
+    width: int = 4,
+    packed: bool = True,
 ) -> DataFrame:
     """Token ids of each row's whole text.
 
@@ -316,7 +324,7 @@ def encode(
     rows. Only ``doc_id`` and ``text`` are read.
 
     Columns: ``doc_id``, ``ids``, ``packed`` (the ids as little-endian unsigned integers of
-    ``width`` bytes, 2 or 4; an id that does not fit is an error).
+    ``width`` bytes, 2 or 4; an id that does not fit is an error). Without ``packed`` it is left out.
     """
     kind = {2: "<u2", 4: "<u4"}[width]
     spark = docs.sparkSession
@@ -330,7 +338,7 @@ def encode(
         unpress = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 if row["p"] != part:
                     known, part = {}, row["p"]
                 flat, words, at = unpress(row["words"]), [], 0
@@ -363,7 +371,7 @@ def encode(
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 coded = row["coded"] or []
                 slot = [_unpressed_rising(c["slots"]) for c in coded]
                 size = [_unpressed(c["counts"]) for c in coded]
@@ -383,28 +391,58 @@ def encode(
                     each = count[own]
                     ids = flat[_gather(begin[own], each)]
                     at = np.append(0, np.cumsum(each))[word[low : high + 1] - word[low]]
-                    yield pa.record_batch(
-                        {
-                            "doc_id": pa.array(row["doc_ids"][low:high], pa.int64()),
-                            "ids": pa.ListArray.from_arrays(
-                                pa.array(at, pa.int32()), pa.array(ids.astype(np.int32))
-                            ),
-                            "packed": pa.Array.from_buffers(
-                                pa.binary(), high - low, [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(ids)]
-                            ),
-                        }
-                    )
+                    out = {
+                        "doc_id": pa.array(row["doc_ids"][low:high], pa.int64()),
+                        "ids": pa.ListArray.from_arrays(
+                            pa.array(at, pa.int32()), pa.array(ids.astype(np.int32))
+                        ),
+                    }
+                    if packed:
+                        out["packed"] = pa.Array.from_buffers(
+                            pa.binary(), high - low, [None, pa.py_buffer((at * width).astype(np.int32)), pa.py_buffer(ids)]
+                        )
+                    yield pa.record_batch(out)
 
     return (
         held.drop("parts")
         .join(coded, "block", "left")
         .select("doc_ids", "counts", "slots", "coded")
-        .mapInArrow(assemble, _IDS)
+        .mapInArrow(assemble, _IDS + (", packed binary" if packed else ""))
     )
 
 
-#: Words that a task remembers with their ids before it forgets them all.
-REMEMBERED = 500_000
+#: Words that a Python worker remembers with their ids, in each of two generations.
+REMEMBERED = 250_000
+
+
+class Memory:
+    """Words and their ids as bytes; those not met for a generation are forgotten."""
+
+    def __init__(self, most: int):
+        self.most = most
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def coded(self, words: list[str], code: Callable[[list[str]], list[bytes]]) -> list[bytes]:
+        """The ids of each word; ``code`` gives those of words not remembered."""
+        if len(self.young) >= self.most:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        new = []
+        for word in words:
+            if word not in young:
+                ids = old.get(word)
+                if ids is None:
+                    new.append(word)
+                else:
+                    young[word] = ids
+        new = list(dict.fromkeys(new))
+        young.update(zip(new, code(new)))
+        return [young[w] for w in words]
+
+
+#: What this worker's tasks have met, by the name of the coder and the width of its ids.
+_MEMORIES: dict[tuple[str, int], Memory] = {}
 
 
 def added_spans(own: list[str], begin: np.ndarray, added: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -421,21 +459,38 @@ def added_spans(own: list[str], begin: np.ndarray, added: Sequence[str]) -> tupl
 
 
 def encode_in_place(
-    docs: DataFrame, coder: Callable[[], WordCoder], width: int = 4, added: Sequence[str] = ()
+    docs: DataFrame,
+    coder: Callable[[], WordCoder],
+    width: int = 4,
+    added: Sequence[str] = (),
+    name: str = "",
 ) -> DataFrame:
     """``doc_id`` and ``packed`` as ``encode`` gives them, row by row in the order of ``docs``.
 
     Each place where a string of ``added`` stands is one word for the coder, and the text before
     and after it is cut into words as a text of its own.
 
-    Nothing is shuffled: each task encodes the words that it has not met before. For texts that
-    must stay where they are, such as sorted ones; ``encode`` encodes a word once in all.
+    Nothing is shuffled: each task encodes the words that it has not met before, and with a
+    ``name``, which must tell the coder from all others, that its Python worker has not met. For
+    texts that must stay where they are, such as sorted ones; ``encode`` encodes a word once in all.
     """
-    kind, letter = {2: ("<u2", "H"), 4: ("<u4", "I")}[width]
+    kind = {2: "<u2", 4: "<u4"}[width]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids = coder()
-        known: dict[str, bytes] = {}
+        memory = _MEMORIES.setdefault((name, width), Memory(REMEMBERED)) if name else Memory(REMEMBERED)
+
+        def coded_bytes(words: list[str]) -> list[bytes]:
+            ids = to_ids([w.encode() for w in words])
+            flat = np.array([i for own in ids for i in own], np.int64)
+            if len(flat) and int(flat.max()) >= 1 << (8 * width):
+                raise ValueError(f"an id of {int(flat.max())} does not fit into {width} bytes")
+            data, out, at = flat.astype(kind).tobytes(), [], 0
+            for own in ids:
+                out.append(data[at : at + width * len(own)])
+                at += width * len(own)
+            return out
+
         for batch in batches:
             for low, high, own in texts.pieces(batch.column("text"), 2 * SLICE):
                 code, begin = texts.code_points(own)
@@ -445,14 +500,7 @@ def encode_in_place(
                     span = np.searchsorted(opens, start, "right") - 1
                     start = start[(span < 0) | (start == opens[span]) | (start >= closes[span])]
                 words, of = _distinct(code, "".join(own), start) if len(start) else ([], start)
-                if len(known) > REMEMBERED:
-                    known.clear()
-                new = list(dict.fromkeys(w for w in words if w not in known))
-                for word, ids in zip(new, to_ids([w.encode() for w in new])):
-                    if ids and max(ids) >= 1 << (8 * width):
-                        raise ValueError(f"an id of {max(ids)} does not fit into {width} bytes")
-                    known[word] = struct.pack(f"<{len(ids)}{letter}", *ids)
-                coded = [known[w] for w in words]
+                coded = memory.coded(words, coded_bytes)
                 count = np.fromiter(map(len, coded), np.int64, len(coded)) // width
                 flat = np.frombuffer(b"".join(coded), kind)
                 each = count[of]
@@ -500,10 +548,10 @@ def decode(encoded: DataFrame, tokens: DataFrame, keep: list[str] | None = None)
         for batch in batches:
             ids = batch.column("ids")
             at = np.append(0, np.cumsum(np.nan_to_num(ids.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int64)
-            every = ids.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            every = ids.flatten().to_numpy(zero_copy_only=False)
             for low, high in texts.slices(at, SLICE):
-                own = every[at[low] : at[high]]
-                own = np.where((own < 0) | (own >= top), top, own)
+                own = every[at[low] : at[high]].astype(np.int64)
+                own[(own < 0) | (own >= top)] = top
                 each = np.maximum(size[own], 0)
                 data = flat[_gather(begin[own], each)].tobytes()
                 cut = np.append(0, np.cumsum(each))[at[low : high + 1] - at[low]].tolist()

@@ -110,7 +110,8 @@ def op7_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -
     path = path or vocabulary("byte_bpe_50k.json")
     coder, added = tokens.library_coder(spark, path), tokens.added_tokens(path)
     folder = shared_dir(spark, "token-files")
-    runs = tokens.write(docs, folder, lambda d: bpe.encode_in_place(d, coder, 2, added), end=2, width=2)
+    name = tokens.name_of(path)
+    runs = tokens.write(docs, folder, lambda d: bpe.encode_in_place(d, coder, 2, added, name), end=2, width=2)
     buckets = tokens.buckets_of(runs)
     index = settled(tokens.index(runs, buckets), "token-index")
     files = settled(tokens.files_of(runs), "token-files")

@@ -14,6 +14,7 @@ records. A look-up takes the same few steps whatever the number of keys.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import struct
 from collections.abc import Callable, Iterator
@@ -61,6 +62,12 @@ def library_coder(spark: SparkSession, path: str) -> Callable[[], bpe.WordCoder]
     return coder
 
 
+def name_of(path: str) -> str:
+    """A name for the coder of a tokenizer file: two files have one only if they are alike."""
+    with open(path, "rb") as file:
+        return hashlib.sha256(file.read()).hexdigest()
+
+
 def added_tokens(path: str) -> list[str]:
     """The strings of a tokenizer file that have an id of their own wherever they stand in a text."""
     with open(path, encoding="utf-8") as file:

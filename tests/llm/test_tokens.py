@@ -62,7 +62,6 @@ def test_empty_table(spark):
 
 def test_query_on_the_whole_table(spark, small):
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
     docs = spark.read.parquet(f"{small}/documents.parquet").orderBy("doc_id").collect()
     got = {r.doc_id: r for r in QUERIES["op7_token_files"](spark, small).collect()}
     start = 0
@@ -94,3 +93,28 @@ def test_added_tokens_have_their_one_id(spark, tmp_path):
         assert (r.start, r.n_tokens) == (start, len(ids))
         assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
         start += len(ids)
+
+
+def test_words_are_remembered_for_two_generations():
+    memory, asked = bpe.Memory(3), []
+
+    def code(words):
+        asked.append(words)
+        return [w.encode() for w in words]
+
+    assert memory.coded(["a", "b", "a"], code) == [b"a", b"b", b"a"]
+    assert memory.coded(["c", "d", "b"], code) == [b"c", b"d", b"b"]
+    assert memory.coded(["a", "e"], code) == [b"a", b"e"]
+    assert memory.coded(["f", "g"], code) == [b"f", b"g"]
+    assert memory.coded(["a"], code) == [b"a"] and memory.coded(["b"], code) == [b"b"]
+    assert asked == [["a", "b"], ["c", "d"], ["e"], ["f", "g"], [], ["b"]]
+
+
+def test_tasks_of_a_worker_share_what_they_remember_by_name(spark):
+    docs = spark.createDataFrame([(i, f"one two {i}") for i in range(200)], "doc_id long, text string").repartition(20)
+    first = lambda: lambda words: [[len(w), 1] for w in words]
+    other = lambda: lambda words: [[len(w), 2] for w in words]
+    for coder, name, last in ((first, "first", 1), (other, "other", 2), (other, "", 2), (first, "first", 1)):
+        for r in bpe.encode_in_place(docs, coder, 2, name=name).collect():
+            ids = struct.unpack(f"<{len(r.packed) // 2}H", r.packed)
+            assert ids == (3, last, 4, last, len(str(r.doc_id)) + 1, last)
