@@ -40,8 +40,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row's text, and what they decode to as a check."""
     ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(docs, bpe.rank_coder(spark, ranks))
-    return bpe.decode(encoded, bpe.token_table(spark, ranks)).select(
+    encoded = bpe.encode(docs, bpe.rank_coder(spark, ranks), packed=False)
+    return bpe.decode(encoded, bpe.token_table(spark, ranks), keep=["doc_id", "ids"]).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
