@@ -153,7 +153,7 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "archives")
-    files = warc.write(warc.transactions(spark.read.parquet(f"{sf_dir}/pages.parquet")), folder)
+    files = warc.archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), folder)
     noted = F.regexp_extract(F.element_at("metadata.payload", 1).cast("string"), "page-id: (-?[0-9]+)", 1)
     kept = ["type", "record_id", "concurrent_to", "refers_to", "payload_digest", "payload_bytes", "payload_sha1", "payload"]
     records = warc.read(files, folder, kept)

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
 
 from fillwatch.llm.tokens import _place
-from fillwatch.session import settled
+from fillwatch.session import remove, settled, shared_dir
 
 VERSION = "WARC/1.1"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -84,8 +84,25 @@ def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts]).cast("binary")
 
 
+def numbered(pages: DataFrame) -> DataFrame:
+    """``pages`` with payload, digests and a number for each row, to be written before use.
+
+    Numbers hang on how the table is dealt out; they tell rows apart and make identifiers.
+    """
+    payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
+    return pages.select(
+        F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")
+    ).select(
+        "*",
+        F.monotonically_increasing_id().alias("number"),
+        F.octet_length("payload").cast("long").alias("bytes"),
+        F.sha2("payload", 256).alias("content"),
+        F.concat(F.lit("sha1:"), base32(F.sha1("payload"))).alias("digest"),
+    )
+
+
 def transactions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """The records of each row of ``pages`` (``page_id``, ``url``, ``html``), for ``write``.
+    """The records of each row of ``numbered`` pages that have been written, for ``write``.
 
     Of rows with equal payloads (the html in UTF-8; null is empty) of ``least_bytes`` or more, the
     one with the largest ``page_id`` is a response, null being the smallest; of several such rows
@@ -93,20 +110,8 @@ def transactions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     refer to it. Rows with smaller payloads are all responses. The group of equal payloads is
     merged by salt first, so however large it is, no task gets all of it.
     """
-    payload = F.coalesce(F.col("html").cast("binary"), F.lit(b""))
-    rows = settled(
-        pages.select(
-            F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")
-        ).select(
-            "*",
-            # written before it is used, so every later pass sees the same number
-            F.monotonically_increasing_id().alias("number"),
-            F.octet_length("payload").cast("long").alias("bytes"),
-            F.sha2("payload", 256).alias("content"),
-            F.concat(F.lit("sha1:"), base32(F.sha1("payload"))).alias("digest"),
-        ),
-        "pages",
-    ).withColumn("salt", F.pmod(F.xxhash64("number"), F.lit(SALTS)).cast("int"))
+    salt = F.pmod(F.xxhash64("number"), F.lit(SALTS)).cast("int")
+    rows = pages.withColumn("salt", salt)
     best = F.struct("page_id", "url", "number")
     by_salt = rows.filter(F.col("bytes") >= least_bytes).groupBy("content", "salt").agg(F.max(best).alias("best"))
     of_all = F.max("best").over(Window.partitionBy("content"))
@@ -204,6 +209,20 @@ def write(records: DataFrame, path: str, most_bytes: int = FILE, level: int = 1)
     return settled(records.select("head", "block").mapInArrow(work, _FILES), "archives")
 
 
+def archive(pages: DataFrame, path: str, least_bytes: int = 0) -> DataFrame:
+    """Writes ``pages`` (``page_id``, ``url``, ``html``) as captures below ``path``; returns the files.
+
+    See ``transactions`` and ``write``. Null and empty html is an empty payload, every row a capture of
+    its own, an empty table no file; other columns are not read.
+    """
+    spark = pages.sparkSession
+    copy = shared_dir(spark, "pages")
+    numbered(pages).write.option("compression", "zstd").parquet(copy)
+    files = write(transactions(spark.read.parquet(copy), least_bytes), path)
+    remove(spark, copy)
+    return files
+
+
 def _pairs(lines: list[bytes]) -> list[dict]:
     """Named fields; a line that begins with a blank goes on with the one before."""
     out: list[dict] = []

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fillwatch.llm import queries, warc
-from fillwatch.session import shared_dir
+from fillwatch.session import settled, shared_dir
 
 SCHEMA = "page_id long, url string, html string, head string, number int, salt string, content binary"
 PAGES = [
@@ -64,8 +64,12 @@ def test_query_of_no_pages(spark, tmp_path):
     assert run(spark, tmp_path, []) == []
 
 
+def written(table, least=0):
+    return warc.transactions(settled(warc.numbered(table), "pages"), least)
+
+
 def types(spark, rows, least):
-    found = warc.transactions(pages(spark, rows), least)
+    found = written(pages(spark, rows), least)
     return sorted(h.split("\r\n")[1][11:] for h, in found.select("head").collect())
 
 
@@ -77,7 +81,7 @@ def test_small_payloads_are_all_responses(spark):
 
 def test_files_are_plain_warc(spark, folder):
     """Read by hand: every member is one record, its lengths and digests hold."""
-    files = warc.write(warc.transactions(pages(spark)), folder, most_bytes=1500).collect()
+    files = warc.write(written(pages(spark)), folder, most_bytes=1500).collect()
     assert len(files) > 3 and sum(f.records for f in files) == 3 * len(PAGES)
     ids, bodies = [], []
     for f in files:
@@ -101,7 +105,7 @@ def test_files_are_plain_warc(spark, folder):
 
 
 def test_captures_are_nested(spark, folder):
-    files = warc.write(warc.transactions(pages(spark)), folder)
+    files = warc.archive(pages(spark), folder)
     got = warc.captures(warc.read(files, folder)).collect()
     assert len(got) == len(PAGES)
     for r in got:
