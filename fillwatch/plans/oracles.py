@@ -275,6 +275,23 @@ FROM (SELECT *, unnest(range(1, 4 + o_orderkey % 10)) AS i FROM orders)""",
   || '- Location: https://maps.google.com/?q=' || coalesce(CAST(location_lat AS VARCHAR), '') || ','
   || coalesce(CAST(location_lng AS VARCHAR), '') || chr(10) || chr(10) || 'Please take immediate action.' || chr(10) AS body
 FROM alarms a LEFT JOIN bins b USING (bin_id)""",
+    ),
+    "alert_outbox_stream": using(
+        "derived bins",
+        """SELECT alarm_id, a.bin_id, 'URGENT: ' || alarm_type || ' - ' || a.bin_id AS subject,
+  chr(10) || 'Alert Details:' || chr(10) || '- Bin ID: ' || a.bin_id || chr(10) || '- Alert Type: ' || alarm_type
+  || chr(10) || '- Severity: ' || coalesce(severity, 'high') || chr(10)
+  || '- Timestamp: ' || strftime(triggered_at, '%Y-%m-%d %H:%M:%S.%f') || chr(10)
+  || '- Location: https://maps.google.com/?q=' || coalesce(CAST(location_lat AS VARCHAR), '') || ','
+  || coalesce(CAST(location_lng AS VARCHAR), '') || chr(10) || chr(10) || 'Please take immediate action.' || chr(10) AS body
+FROM derived a LEFT JOIN bins b USING (bin_id)""",
+    ),
+    "alarm_counts_stream": using(
+        "derived",
+        """SELECT CAST(triggered_at AS DATE) AS date, alarm_type, severity, count(DISTINCT alarm_id) AS alarms
+FROM derived
+WHERE date_trunc('day', triggered_at) + INTERVAL 1 DAY <= (SELECT max(triggered_at) - INTERVAL 2 DAY FROM derived)
+GROUP BY ALL""",
     ),
     "latest_by_key": using(
         "sensor_data",

@@ -27,7 +27,7 @@ from fillwatch.operators import (
 from fillwatch.session import settled, shared_dir
 from fillwatch.sources import adapters as ad
 from fillwatch.sources import wire
-from fillwatch.streaming import jobs, store
+from fillwatch.streaming import alerts, jobs, store
 
 A = ad.AS_OF
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,6 +278,31 @@ def sensor_alarms_stream(spark, sf_dir):
     return store.current(spark, f"{folder}/tables", schemas.ALARMS)
 
 
+@query
+def alarm_counts_stream(spark, sf_dir):
+    """Alarms of a stream of readings by day, for the days that the watermark has passed."""
+    folder = shared_dir(spark, "alarm-counts")
+    source = messages(ad.as_sensor_data(ad.table_stream(spark, sf_dir, "events")))
+    raised = alarms.detect(parse.read(source, schemas.SENSOR_DATA))
+    stream = alerts.start_counts(raised, f"{folder}/tables", f"{folder}/checkpoints", available_now=True)
+    stream.awaitTermination()
+    counted = spark.read.schema(alerts.counts(raised).schema).parquet(f"{folder}/tables/alarm_counts")
+    return counted.select(F.to_date("window_start").alias("date"), "alarm_type", "severity", "alarms")
+
+
+@query
+def alert_outbox_stream(spark, sf_dir):
+    """The outbox job on the alarms that the readings' job has written, and written again."""
+    folder = shared_dir(spark, "alert-outbox")
+    root = f"{folder}/tables"
+    store.append(ad.bins(spark, sf_dir), root, schemas.BINS, "bins", 0)
+    raised = alarms.detect(ad.sensor_data(spark, sf_dir))
+    for run in ("first", "again"):
+        store.append(raised, root, schemas.ALARMS, "sensor_alarms", 0, run)
+        alerts.start_outbox(spark, root, f"{folder}/checkpoints", available_now=True).awaitTermination()
+    return spark.read.parquet(f"{root}/alert_outbox").select("alarm_id", "bin_id", "subject", "body")
+
+
 @query
 def all_alarms(spark, sf_dir):
     derived = alarms.detect(ad.sensor_data(spark, sf_dir))

@@ -1,4 +1,4 @@
-"""The eight running jobs: one per topic, and alarms derived from readings."""
+"""The running jobs: one per topic, alarms derived from readings, and the alert outbox."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from fillwatch import schemas
 from fillwatch.operators import alarms, parse
 from fillwatch.schemas import Table
 from fillwatch.sources import streams as sources
-from fillwatch.streaming import store
+from fillwatch.streaming import alerts, store
 
 logger = logging.getLogger(__name__)
 
@@ -46,14 +46,10 @@ JOBS = (
 )
 
 
-#: A table's own job compacts it after so many batches.
-COMPACT_EVERY = 500
-
-
 def process_batch(
     batch: DataFrame, batch_id: int, job: Job, root: str, sample: int = 0, run: str = "0"
 ) -> None:
-    """Parse one micro-batch and write its rows, rejects and alert messages.
+    """Parse one micro-batch and write its rows and rejects.
 
     The parsed batch is kept for its several writes. Any error is raised: the batch is
     then not committed and comes again, and every write replaces its own earlier try.
@@ -76,13 +72,6 @@ def process_batch(
         counted = rows.observe(written, F.count(F.lit(1)).alias("rows"))
         store.append(counted, root, job.table, job.name, batch_id, run)
         logger.info("%s: batch %d wrote %d rows to %s", job.name, batch_id, written.get["rows"], job.table.name)
-        if job.table is schemas.ALARMS:
-            bins = store.current(batch.sparkSession, root, schemas.BINS)
-            alarms.outbox(rows, bins).write.mode("overwrite").parquet(
-                f"{root}/alert_outbox/source={job.name}/run={run}/batch_id={batch_id}"
-            )
-        if job.name == job.table.name and batch_id % COMPACT_EVERY == COMPACT_EVERY - 1:
-            store.compact(batch.sparkSession, root, job.table)
     finally:
         parsed.unpersist()
 
@@ -125,11 +114,17 @@ def start_all(
     jobs: tuple[Job, ...] = JOBS,
     available_now: bool = False,
 ) -> list[StreamingQuery]:
-    """Start every job on the messages of its topic; a later wait is for these, not for earlier ones."""
+    """Start every job on the messages of its topic, and the outbox if there are alarms among them.
+
+    A later wait is for these, not for earlier ones.
+    """
     spark.streams.resetTerminated()
-    return [
+    started = [
         start(messages(spark, job.topic.name), job, root, checkpoints, available_now) for job in jobs
     ]
+    if any(job.table is schemas.ALARMS for job in jobs):
+        started.append(alerts.start_outbox(spark, root, checkpoints, available_now))
+    return started
 
 
 def status(spark: SparkSession) -> list[dict]:

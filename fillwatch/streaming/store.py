@@ -1,36 +1,41 @@
-"""Keyed tables on plain Parquet: a log of writes, folded to current rows on read.
+"""Keyed tables on plain Parquet: writes are appended, and folded to current rows on read.
 
-A table's log has a folder for each micro-batch, ``source=<stream>/run=<run>/batch_id=<n>``. A run
-is one checkpoint of a stream, so a stream that starts again under a new checkpoint writes beside
-its earlier batches and not over them; writing a batch of the same run again replaces its folder,
-so a replay changes nothing. A folder counts once Spark has finished it (``_SUCCESS``).
-
-``compact`` folds finished batches into one more batch of the log, which names the batches it
-stands for; these are then no longer read, and the next compaction removes them.
+A table's log has a folder for each micro-batch, ``source=<stream>/run=<run>/batch_id=<n>``, which
+Spark reads as partitions of one table. A run is one checkpoint of a stream, so a stream that starts
+again under a new checkpoint writes beside its earlier batches and not over them; writing a
+batch of the same run again replaces its folder, so a replay changes nothing. Folding is the same
+in any grouping, so a log may be folded into a fresh root at any time (``compact``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fillwatch.operators import tables
 from fillwatch.schemas import INT, LONG, TABLES, TEXT, TIME, Table, struct
-from fillwatch.session import remove
 from fillwatch.sources.streams import ARRIVAL
 
 ARRIVAL_TYPES = struct(written_at=TIME, arrived_at=TIME, arrived_partition=INT, arrived_offset=LONG)
 _PLACE = struct(source=TEXT, run=TEXT, batch_id=LONG)
-FOLDED, COVERS = "folded", "_covers"
+FOLDED = "folded"
+
+
+def log_path(root: str, table: Table) -> str:
+    return f"{root}/{table.name}/log"
+
+
+def batch_path(root: str, table: Table, source: str, run: str, batch_id: int) -> str:
+    return f"{log_path(root, table)}/source={source}/run={run}/batch_id={batch_id}"
 
 
-def batch_path(root: str, table: str, source: str, run: str, batch_id: int) -> str:
-    return f"{root}/{table}/log/source={source}/run={run}/batch_id={batch_id}"
+def log_schema(table: Table) -> T.StructType:
+    return T.StructType([*table.stored, *ARRIVAL_TYPES, *_PLACE])
 
 
 def append(
@@ -44,57 +49,34 @@ def append(
         for f in ARRIVAL_TYPES
     ]
     rows.select(*table.stored.fieldNames(), *arrival).write.mode("overwrite").parquet(
-        batch_path(root, table.name, source, run, batch_id)
+        batch_path(root, table, source, run, batch_id)
     )
 
 
-def _hadoop(spark: SparkSession, path: str) -> tuple:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
-
-
-def finished(spark: SparkSession, root: str, table: Table) -> list[str]:
-    """The folders of all finished batches: one listing, as long as the log since two compactions."""
-    files, marks = _hadoop(spark, batch_path(root, table.name, "*", "*", "*") + "/_SUCCESS")
-    return sorted(str(s.getPath().getParent()) for s in files.globStatus(marks) or [])
-
-
-def _name(path: str) -> str:
-    """A batch by its last three folders, whatever the root is called by."""
-    return "/".join(path.split("/")[-3:])
+def create(spark: SparkSession, root: str, table: Table) -> None:
+    """An empty batch, so that the log is there for streams to read."""
+    append(spark.createDataFrame([], table.stored), root, table, "none", 0)
 
 
-def _covered(spark: SparkSession, path: str) -> set[str]:
-    """The batches that a folded batch stands for."""
-    files, where = _hadoop(spark, f"{path}/{COVERS}")
-    if not files.exists(where):
-        return set()
-    stream = files.open(where)
+def log(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """All writes to a table, with ``source``, ``run`` and ``batch_id``; none where there is no log."""
+    schema = log_schema(table)
     try:
-        return set(json.loads(bytes(stream.readAllBytes()).decode()))
-    finally:
-        stream.close()
-
-
-def _split(spark: SparkSession, batches: list[str]) -> tuple[list[str], list[str]]:
-    """Batches that count, and those that a folded batch stands for."""
-    gone: set[str] = set()
-    for path in batches:
-        if f"/source={FOLDED}/" in path:
-            gone |= _covered(spark, path)
-    return [b for b in batches if _name(b) not in gone], [b for b in batches if _name(b) in gone]
-
-
-def _read(spark: SparkSession, root: str, table: Table, batches: list[str]) -> DataFrame:
-    schema = T.StructType([*table.stored, *ARRIVAL_TYPES, *_PLACE])
-    if not batches:
+        return spark.read.schema(schema).parquet(log_path(root, table))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", f"{root}/{table.name}/log").parquet(*batches)
 
 
-def log(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """All writes to a table that count, with ``source``, ``run`` and ``batch_id``."""
-    return _read(spark, root, table, _split(spark, finished(spark, root, table))[0])
+def written(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """A stream of what is written to a table from here on and what is there; no folded rows.
+
+    Spark's file source keeps the files it has seen in the checkpoint, and forgets those older than
+    its ``maxFileAge``.
+    """
+    rows = spark.readStream.schema(log_schema(table)).parquet(log_path(root, table))
+    return rows.filter(F.col("source") != FOLDED)
 
 
 def _fold(writes: DataFrame, table: Table, ignore_nulls: bool = True, also: tuple[str, ...] = ()) -> DataFrame:
@@ -109,24 +91,15 @@ def current(spark: SparkSession, root: str, table: Table | str, ignore_nulls: bo
     return _fold(log(spark, root, table), table, ignore_nulls)
 
 
-def compact(spark: SparkSession, root: str, table: Table | str) -> int:
-    """Fold the finished batches into one; returns how many it now stands for.
+def compact(spark: SparkSession, root: str, table: Table | str, into: str) -> None:
+    """Fold a table into the log of the same table under the root ``into``.
 
-    The log is listed once and just those folders are read, so a batch that lands meanwhile, or is
-    half written, stays a batch of its own. The names are added after the rows are complete; until
-    then, and if it ends in between, both are read, which gives the same rows. Batches that an
-    earlier compaction stands for are removed, so readers that began before it must have ended.
+    Nothing under ``root`` is changed. Readers and jobs go over to ``into`` with their checkpoints
+    once all tables are folded; a batch that was written meanwhile is folded by a second call, and
+    rows that are folded twice count once. The old root can be deleted then.
     """
     table = TABLES[table] if isinstance(table, str) else table
-    batches, covered = _split(spark, finished(spark, root, table))
-    if len(batches) > 1:
-        target = batch_path(root, table.name, FOLDED, uuid.uuid4().hex, 0)
-        rows = _fold(_read(spark, root, table, batches), table, also=tuple(ARRIVAL_TYPES.fieldNames()))
-        rows.write.parquet(target)
-        files, where = _hadoop(spark, f"{target}/{COVERS}")
-        stream = files.create(where)
-        stream.write(bytearray(json.dumps([_name(b) for b in batches]).encode()))
-        stream.close()
-    for path in covered:
-        remove(spark, path)
-    return len(batches) if len(batches) > 1 else 0
+    if into.rstrip("/") == root.rstrip("/"):
+        raise ValueError("a table is folded into another root than its own")
+    rows = _fold(log(spark, root, table), table, also=tuple(ARRIVAL_TYPES.fieldNames()))
+    rows.write.parquet(batch_path(into, table, FOLDED, uuid.uuid4().hex, 0))

@@ -7,7 +7,7 @@ from fillwatch import schemas
 from fillwatch.operators import alarms, parse
 from fillwatch.sources import adapters as ad
 from fillwatch.sources import streams, wire
-from fillwatch.streaming import jobs, store
+from fillwatch.streaming import alerts, jobs, store
 
 JOBS = {j.name: j for j in jobs.JOBS}
 
@@ -71,6 +71,7 @@ def test_two_jobs_feed_the_alarms_and_the_outbox(spark, places):
          "triggered_at": "2025-01-01T00:00:00Z", "resolved_at": "", "severity": None, "status": "active"},
     )
     work_off(spark, topics, root, checkpoints, "bins", "alarms", "sensor_alarms")
+    alerts.start_outbox(spark, str(root), str(checkpoints), available_now=True).awaitTermination()
     assert {r.alarm_type for r in rows(spark, root, "alarms")} == {"co2_high", "overflow"}
     outbox = spark.read.parquet(str(root / "alert_outbox")).collect()
     assert len(outbox) == 2
@@ -99,19 +100,18 @@ def test_later_writes_win_and_nulls_keep_old_values(spark, places):
     (row,) = rows(spark, root, "bins")
     assert (row.capacity, row.status) == (60.0, "offline")
 
-    assert store.compact(spark, str(root), "bins") == 2
-    (folded,) = rows(spark, root, "bins")
-    assert folded == row
+    into = root.parent / "folded"
+    store.compact(spark, str(root), "bins", str(into))
+    (folded,) = rows(spark, into, "bins")
+    assert folded == row == rows(spark, root, "bins")[0]
     send(topics / "bins", "3.json", {"bin_id": "b", "type": "street"}, {"bin_id": "c", "type": "street"})
-    work_off(spark, topics, root, checkpoints, "bins")
-    assert [(r.bin_id, r.capacity, r.type) for r in rows(spark, root, "bins")] == [
+    # the job goes on in the new root with its checkpoint
+    work_off(spark, topics, into, checkpoints, "bins")
+    assert [(r.bin_id, r.capacity, r.type) for r in rows(spark, into, "bins")] == [
         ("b", 60.0, "street"), ("c", None, "street"),
     ]
-    assert len(store.finished(spark, str(root), schemas.BINS)) == 4
-    assert store.compact(spark, str(root), "bins") == 2
-    assert len(rows(spark, root, "bins")) == 2
-    # what the first compaction stood for is gone; what the second stands for goes with the third
-    assert len(store.finished(spark, str(root), schemas.BINS)) == 3
+    with pytest.raises(ValueError):
+        store.compact(spark, str(into), "bins", f"{into}/")
 
 
 def bin_of(spark, bin_id, **more):
@@ -127,53 +127,35 @@ def test_a_new_checkpoint_with_other_messages_keeps_both(spark, places, tmp_path
     send(topics / "bins", "2.json", {"bin_id": "b"})
     work_off(spark, topics, root, checkpoints, "bins")
     if compacted:
-        assert store.compact(spark, str(root), "bins") == 2
+        store.compact(spark, str(root), "bins", str(tmp_path / "folded"))
+        root = tmp_path / "folded"
     send(tmp_path / "other" / "bins", "1.json", {"bin_id": "z"})
     work_off(spark, tmp_path / "other", root, tmp_path / "again", "bins")
     assert [r.bin_id for r in rows(spark, root, "bins")] == ["a", "b", "z"]
 
 
-def test_a_batch_that_lands_during_a_compaction_survives(spark, places, monkeypatch):
-    _, root, _ = places
-    for n, name in enumerate("ab"):
-        store.append(bin_of(spark, name, capacity=1.0), str(root), schemas.BINS, "bins", n)
-    real = store._read
-
-    def read(*args):
-        found = real(*args)
-        store.append(bin_of(spark, "late", capacity=2.0), str(root), schemas.BINS, "bins", 2)
-        store.append(bin_of(spark, "a", status="moved"), str(root), schemas.BINS, "bins", 3)
-        return found
-
-    monkeypatch.setattr(store, "_read", read)
-    assert store.compact(spark, str(root), "bins") == 2
-    monkeypatch.setattr(store, "_read", real)
-    for _ in range(3):
-        got = {r.bin_id: (r.capacity, r.status) for r in rows(spark, root, "bins")}
-        assert got == {"a": (1.0, "moved"), "b": (1.0, None), "late": (2.0, None)}
-        store.compact(spark, str(root), "bins")
-
-
-def test_a_half_written_batch_is_not_folded(spark, places):
-    _, root, _ = places
-    for n, name in enumerate("abc"):
-        store.append(bin_of(spark, name), str(root), schemas.BINS, "bins", n)
-    (root / "bins/log/source=bins/run=0/batch_id=2/_SUCCESS").unlink()
-    assert store.compact(spark, str(root), "bins") == 2
-    assert [r.bin_id for r in rows(spark, root, "bins")] == ["a", "b"]
-    store.append(bin_of(spark, "c"), str(root), schemas.BINS, "bins", 2)
-    assert [r.bin_id for r in rows(spark, root, "bins")] == ["a", "b", "c"]
-
-
-def test_a_compaction_without_its_names_changes_nothing(spark, places):
+def test_folding_twice_takes_in_what_came_meanwhile(spark, places, tmp_path):
     _, root, _ = places
+    into = str(tmp_path / "folded")
     store.append(bin_of(spark, "a", capacity=1.0), str(root), schemas.BINS, "bins", 0)
     store.append(bin_of(spark, "a", status="s"), str(root), schemas.BINS, "bins", 1)
+    store.compact(spark, str(root), "bins", into)
+    store.append(bin_of(spark, "late", capacity=2.0), str(root), schemas.BINS, "bins", 2)
+    store.append(bin_of(spark, "a", status="moved"), str(root), schemas.BINS, "bins", 3)
     before = rows(spark, root, "bins")
-    store.compact(spark, str(root), "bins")
-    for path in root.glob("bins/log/source=folded/run=*/batch_id=0/*covers"):
-        path.unlink()
-    assert rows(spark, root, "bins") == before
+    for _ in range(2):
+        store.compact(spark, str(root), "bins", into)
+        assert rows(spark, into, "bins") == before == rows(spark, root, "bins")
+    assert [(r.capacity, r.status) for r in before] == [(1.0, "moved"), (2.0, None)]
+
+
+def test_a_batch_in_writing_is_not_read(spark, places):
+    _, root, _ = places
+    store.append(bin_of(spark, "a"), str(root), schemas.BINS, "bins", 0)
+    half = root / "bins/log/source=bins/run=0/batch_id=1/_temporary/0/task"
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_bytes(b"half a file")
+    assert [r.bin_id for r in rows(spark, root, "bins")] == ["a"]
 
 
 def test_messages_of_one_key_in_one_file_are_never_mixed(spark, places):
@@ -200,6 +182,7 @@ def test_options_and_zone_reach_the_jobs(spark, monkeypatch, caplog):
     seen = []
     monkeypatch.setattr(jobs, "start", lambda messages, job, *rest: seen.append((messages, job.name)))
     monkeypatch.setattr(jobs, "await_any", lambda s: None)
+    monkeypatch.setattr(jobs.alerts, "start_outbox", lambda *rest: None)
     monkeypatch.setattr(jobs.sources, "kafka_json", lambda s, topic, **o: (topic, streams.kafka_options(topic, **o)))
     root, checkpoints, options = jobs.arguments(["t", "c", "maxOffsetsPerTrigger=7", "kafka.security.protocol=SSL"])
     jobs.run(spark, root, checkpoints, **options)
@@ -238,7 +221,6 @@ def test_empty_batches_write_nothing(spark, places):
     work_off(spark, topics, root, checkpoints, "sensor_alarms")
     assert not (root / "alarms").exists()
     assert rows(spark, root, "alarms") == []
-    assert store.compact(spark, str(root), "alarms") == 0
 
 
 def test_start_status_and_stop(spark, places):
@@ -252,10 +234,11 @@ def test_start_status_and_stop(spark, places):
 
     started = jobs.start_all(spark, str(root), str(checkpoints), source)
     try:
-        assert {line["name"] for line in jobs.status(spark)} == set(JOBS)
+        assert {line["name"] for line in jobs.status(spark)} == {*JOBS, "alert_outbox"}
         for q in started:
             q.processAllAvailable()
         assert len(rows(spark, root, "alarms")) == 1
+        assert spark.read.parquet(str(root / "alert_outbox")).count() == 1
     finally:
         jobs.stop_all(spark)
     assert jobs.status(spark) == []
@@ -290,3 +273,95 @@ def test_all_topics_from_the_test_tables(spark, small, places):
     assert dt.datetime(2024, 1, 31) in {
         r.last_maintenance_date for r in store.current(spark, str(root), "bins").collect()
     }
+
+
+def alarm(n, day, hour=0, kind="overflow", severity="high", **more):
+    return {
+        "alarm_id": f"a{n}", "bin_id": "b1", "alarm_type": kind, "severity": severity, "status": "active",
+        "triggered_at": f"2025-01-{day:02d}T{hour:02d}:00:00Z" if day else "", **more,
+    }
+
+
+def count_off(spark, topics, root, checkpoints):
+    stream = parse.read(streams.file_json(spark, str(topics / "alarms"), 1), schemas.ALARMS)
+    alerts.start_counts(stream, str(root), str(checkpoints), available_now=True).awaitTermination()
+    schema = alerts.counts(stream).schema
+    return sorted(
+        (r.window_start.day, r.alarm_type, r.severity, r.alarms)
+        for r in spark.read.schema(schema).parquet(f"{root}/alarm_counts").collect()
+    )
+
+
+def test_alarms_are_counted_by_event_time(spark, places):
+    topics, root, checkpoints = places
+    send(topics / "alarms", "1.json", alarm(1, 7), alarm(2, 7, 5), alarm(3, 7, kind="co2_high"), alarm(4, 10, 12), alarm(5, 0))
+    closed = [(7, "co2_high", "high", 1), (7, "overflow", "high", 2)]
+    # the watermark is at day 8, noon: only day 7 is closed
+    assert count_off(spark, topics, root, checkpoints) == closed
+    send(
+        topics / "alarms", "2.json",
+        alarm(6, 7, 23),  # its window is closed
+        alarm(7, 8, 12),  # not after the watermark
+        alarm(8, 8, 14), alarm(9, 8, 13), alarm(10, 9),  # late, but not too late
+        alarm(9, 8, 13), alarm(4, 10, 12),  # sent again
+    )
+    assert count_off(spark, topics, root, checkpoints) == closed
+    send(topics / "alarms", "3.json", alarm(11, 20))
+    assert count_off(spark, topics, root, checkpoints) == [
+        *closed, (8, "overflow", "high", 2), (9, "overflow", "high", 1), (10, "overflow", "high", 1),
+    ]
+    # all together, as a batch: nothing is late, and no day is held back
+    text = spark.read.text(str(topics / "alarms")).withColumnRenamed("value", "json_str")
+    batch = {
+        (r.window_start.day, r.alarm_type): r.alarms for r in alerts.counts(parse.read(text, schemas.ALARMS)).collect()
+    }
+    assert batch == {(7, "co2_high"): 1, (7, "overflow"): 3, (8, "overflow"): 3, (9, "overflow"): 1, (10, "overflow"): 1, (20, "overflow"): 1}
+
+
+def send_alerts(spark, root, checkpoints, **options):
+    alerts.start_outbox(spark, str(root), str(checkpoints), available_now=True, **options).awaitTermination()
+    try:
+        return sorted(r.alarm_id for r in spark.read.parquet(f"{root}/alert_outbox").collect())
+    except Exception:
+        return []
+
+
+def test_one_alert_for_an_alarm_of_two_writers_and_of_a_replay(spark, places, tmp_path):
+    topics, root, checkpoints = places
+    assert send_alerts(spark, root, checkpoints) == []
+    send(topics / "sensor_data", "1.json", reading(1, fill=99.0), reading(2, fill=99.0))
+    work_off(spark, topics, root, checkpoints, "sensor_alarms")
+    ids = [r.alarm_id for r in rows(spark, root, "alarms")]
+    assert send_alerts(spark, root, checkpoints) == sorted(ids)
+    # the same alarm by the other writer, and the readings again under a new checkpoint
+    send(topics / "alarms", "1.json", alarm(0, 1) | {"alarm_id": ids[0]}, alarm(7, 1))
+    work_off(spark, topics, root, checkpoints, "alarms")
+    work_off(spark, topics, root, tmp_path / "again", "sensor_alarms")
+    assert store.log(spark, str(root), schemas.ALARMS).count() == 6
+    assert send_alerts(spark, root, checkpoints) == sorted([*ids, "a7"])
+
+
+def test_batches_of_alarms_read_a_snapshot_of_the_bins(spark, places, monkeypatch):
+    _, root, _ = places
+    folds = []
+    real = store.current
+    monkeypatch.setattr(store, "current", lambda *args: folds.append(args[2].name) or real(*args))
+    store.append(bin_of(spark, "b0", location_lat=1.5, location_lng=2.5), str(root), schemas.BINS, "bins", 0)
+    of_now = alerts.places(spark, str(root), 3600)
+    assert [of_now().count() for _ in range(5)] == [1] * 5 and folds == ["bins"]
+    store.append(bin_of(spark, "b1"), str(root), schemas.BINS, "bins", 1)
+    assert of_now().count() == 1 and folds == ["bins"]
+    of_now = alerts.places(spark, str(root), 0)
+    assert [of_now().count() for _ in range(2)] == [2, 2] and folds == ["bins"] * 3
+    plan = of_now()._jdf.queryExecution().executedPlan().toString()
+    assert "bins-snapshot" in plan and "/log" not in plan
+
+
+def test_folded_alarms_send_no_alerts(spark, places, tmp_path):
+    topics, root, checkpoints = places
+    send(topics / "sensor_data", "1.json", reading(1, fill=99.0))
+    work_off(spark, topics, root, checkpoints, "sensor_alarms")
+    into = tmp_path / "folded"
+    store.compact(spark, str(root), "alarms", str(into))
+    assert send_alerts(spark, into, tmp_path / "new") == []
+    assert len(rows(spark, into, "alarms")) == 1
