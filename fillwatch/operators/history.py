@@ -10,6 +10,7 @@ blocks of positions, each with a margin copied from the blocks beside it.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,24 +68,36 @@ def _slotted(readings: DataFrame) -> DataFrame:
 _CARRIED = ("bin_id", "sensor_id", "timestamp", *_MEASURES, "position", "total")
 
 
-def _finish(rows: DataFrame, slots: DataFrame, sums: dict[str, str]) -> DataFrame:
+Facts = Callable[[DataFrame], DataFrame]
+"""Adds to a table of (bin, hour) slots what is known of the bin, in columns of ``_FACTS``."""
+
+_FACTS = ("days_since_maintenance", "bin_day")
+
+
+def _finish(rows: DataFrame, slots: DataFrame, sums: dict[str, str], facts: Facts) -> DataFrame:
     """Joins what the slots before contribute, and derives place, rates and weekly mean.
 
+    What is known of a bin rides on its slots: readings are never joined by their bin alone, which
+    would put all those of one bin into one task.
+
     Sums, slopes and rates are three projections: in one, each rate would repeat the
     text of the sums below it, and the compiled method would outgrow what the JVM
     optimises.
     """
-    slots = slots.withColumnsRenamed({"bin_id": "_bin_id", "slot": "_slot"})
+    slots = facts(slots).withColumnsRenamed({"bin_id": "_bin_id", "slot": "_slot"})
+    known = [c for c in _FACTS if c in slots.columns]
     same = (rows["bin_id"] == slots["_bin_id"]) & (rows["slot"] == slots["_slot"])
     summed = rows.join(slots, same).selectExpr(
         *_CARRIED[:-2],
         "before + rank - 1 AS position",
         "total",
         "same",
+        *known,
         *[f"{v} AS {k}" for k, v in sums.items()],
     )
     sloped = summed.selectExpr(
         *_CARRIED,
+        *known,
         f"coalesce(y_{WEEK_HOURS} / nullif(n_{WEEK_HOURS}, 0D), 0D) AS avg_fill_last_week",
         *[f"n_{h}" for h in RATE_HOURS],
         *[f"{_SLOPE.format(h=h)} AS slope_{h}" for h in SLOPE_HOURS],
@@ -92,6 +105,7 @@ def _finish(rows: DataFrame, slots: DataFrame, sums: dict[str, str]) -> DataFram
     wide = F.col(f"slope_{WIDE_HOURS}")
     return sloped.select(
         *_CARRIED,
+        *known,
         "avg_fill_last_week",
         *[
             features.rate_of(F.col(f"n_{h}"), F.col(f"slope_{h}"), wide).alias(f"fill_rate_{h}h")
@@ -100,7 +114,7 @@ def _finish(rows: DataFrame, slots: DataFrame, sums: dict[str, str]) -> DataFram
     )
 
 
-def _literal_windows(rows: DataFrame, as_of: dt.datetime) -> DataFrame:
+def _literal_windows(rows: DataFrame, as_of: dt.datetime, facts: Facts) -> DataFrame:
     """Windows that end at each reading and begin at ``as_of`` minus the hours."""
     age = (F.col("at") - times.micros_of(as_of)) / times.MICROS_PER_HOUR
     rows = rows.withColumns({"x": age, "y": F.col("fill_level")})
@@ -125,7 +139,7 @@ def _literal_windows(rows: DataFrame, as_of: dt.datetime) -> DataFrame:
         f"{_EARLIER} AS earlier",
         *[f"{v} OVER ({so_far}) AS {k}" for k, v in parts.items()],
     ).withColumn("same", F.expr("rank - earlier"))
-    return _finish(rows, slots, {k: f"before_{k} + {k}" for k in parts})
+    return _finish(rows, slots, {k: f"before_{k} + {k}" for k in parts}, facts)
 
 
 def _between(h: int) -> str:
@@ -145,7 +159,7 @@ def _between(h: int) -> str:
             'xx', a.xx + r.s.xx + 2 * r.m * r.s.x + r.m * r.m * r.s.n))"""
 
 
-def _row_windows(rows: DataFrame) -> DataFrame:
+def _row_windows(rows: DataFrame, facts: Facts) -> DataFrame:
     """Windows that end at each reading and begin the hours before it.
 
     A window of ``h`` hours over hour slots is: the head of the reading's own slot, the
@@ -220,7 +234,7 @@ def _row_windows(rows: DataFrame) -> DataFrame:
         sums |= {f"{k}_{h}": f"head_{k} + mid_{h}.{k} + tail_{k}_{h}" for k in MOMENTS}
     h = WEEK_HOURS
     return _finish(
-        own, slots, sums | {f"{k}_{h}": f"head_{k} + week_{k} + tail_{k}_{h}" for k in "ny"}
+        own, slots, sums | {f"{k}_{h}": f"head_{k} + week_{k} + tail_{k}_{h}" for k in "ny"}, facts
     )
 
 
@@ -274,7 +288,12 @@ def prefix(
     if mode not in ("literal", "row"):
         raise ValueError(f"mode is 'literal' or 'row', not {mode!r}")
     rows = _slotted(features.with_defaults(readings))
-    rows = _literal_windows(rows, as_of) if mode == "literal" else _row_windows(rows)
+    if mode == "literal":
+        rows = _literal_windows(
+            rows, as_of, lambda slots: features.days_since_maintenance(slots, as_of, maintenance, bins)
+        )
+    else:
+        rows = _row_windows(rows, lambda slots: slots if bins is None else _with_bin_day(slots, bins))
     if min_readings:
         rows = rows.filter(F.col("total") >= min_readings)
     kept = [
@@ -286,13 +305,13 @@ def prefix(
         *_MEASURES,
         *[f"fill_rate_{h}h" for h in RATE_HOURS],
         "avg_fill_last_week",
+        *[c for c in _FACTS if c in rows.columns],
     ]
     rows = _neighbours(rows.select(*kept), ahead, block_rows)
     if mode == "literal":
-        rows = features.days_since_maintenance(rows, as_of, maintenance, bins)
         moment = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")
     else:
-        rows = _days_since_at_row(rows, readings, maintenance, bins)
+        rows = _days_since_at_row(rows, readings, maintenance)
         moment = F.col("timestamp")
     rows = rows.withColumns(features.calendar_columns(moment))
     return rows.withColumnRenamed("fill_level", "current_fill_level").select(
@@ -306,9 +325,26 @@ def prefix(
     )
 
 
-def _days_since_at_row(
-    rows: DataFrame, readings: DataFrame, maintenance: DataFrame | None, bins: DataFrame | None
-) -> DataFrame:
+def _with_bin_day(slots: DataFrame, bins: DataFrame) -> DataFrame:
+    dates = bins.select("bin_id", F.to_date("last_maintenance_date").alias("bin_day"))
+    return slots.join(dates, "bin_id", "left")
+
+
+def positions(readings: DataFrame) -> DataFrame:
+    """Key, time, ``position`` and ``total`` of every reading, as ``prefix`` gives them."""
+    rows = readings.filter(F.col("timestamp").isNotNull()).select(
+        "bin_id", "sensor_id", "timestamp", times.micros(readings, "timestamp").alias("at")
+    )
+    rows = rows.withColumn("slot", F.floor(F.col("at") / times.MICROS_PER_HOUR))
+    slots = rows.groupBy(*_SLOT).agg(F.count("*").alias("size")).selectExpr(*_SLOT, *_PLACES)
+    return (
+        rows.selectExpr("*", _RANK)
+        .join(slots, list(_SLOT))
+        .selectExpr("bin_id", "sensor_id", "timestamp", "before + rank - 1 AS position", "total")
+    )
+
+
+def _days_since_at_row(rows: DataFrame, readings: DataFrame, maintenance: DataFrame | None) -> DataFrame:
     known: list[Column] = []
     if maintenance is not None:
         events = maintenance.select(
@@ -325,11 +361,9 @@ def _days_since_at_row(
             times_of=readings,
         )
         known.append(F.col("_event_day"))
-    if bins is not None:
-        dates = bins.select("bin_id", F.to_date("last_maintenance_date").alias("_bin_day"))
-        rows = rows.join(dates, "bin_id", "left")
-        known.append(F.when(F.col("_bin_day") <= F.to_date("timestamp"), F.col("_bin_day")))
+    if "bin_day" in rows.columns:
+        known.append(F.when(F.col("bin_day") <= F.to_date("timestamp"), F.col("bin_day")))
     days = F.datediff(F.to_date("timestamp"), F.coalesce(*known)) if known else F.lit(None).cast("int")
     return rows.withColumn(
         "days_since_maintenance", F.coalesce(days, F.lit(features.UNKNOWN_DAYS))
-    ).drop("_event_day", "_bin_day")
+    ).drop("_event_day", "bin_day")

@@ -65,25 +65,44 @@ def examples(
         )
         spread = known.select("*", F.inline(pairs))
     else:
-        due = F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon")
-        at = (F.col("timestamp") + F.make_dt_interval(hours=F.col("horizon"))).alias("_due")
-        later = features.with_defaults(readings).select(
-            "bin_id", F.col("timestamp").alias("_at"), F.col("fill_level").alias("label")
-        )
-        spread = asof.attach(
-            known.select("*", due).select("*", at),
-            later,
-            "bin_id",
-            "_due",
-            "_at",
-            ["label"],
-            direction="forward",
-            slot_hours=1,
-            times_of=readings.select("bin_id", "timestamp", due).select("bin_id", at),
-        ).filter(F.col("label").isNotNull())
+        spread = _labelled(known, readings, horizons)
     return spread.select(*EXAMPLE_KEY, *FEATURES, "label")
 
 
+def _labelled(known: DataFrame, readings: DataFrame, horizons: tuple[int, ...]) -> DataFrame:
+    """``known`` by ``horizon``, with the fill of the first reading at or after so many hours."""
+    due = F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon")
+    at = (F.col("timestamp") + F.make_dt_interval(hours=F.col("horizon"))).alias("_due")
+    later = features.with_defaults(readings).select(
+        "bin_id", F.col("timestamp").alias("_at"), F.col("fill_level").alias("label")
+    )
+    return asof.attach(
+        known.select("*", due).select("*", at),
+        later,
+        "bin_id",
+        "_due",
+        "_at",
+        ["label"],
+        direction="forward",
+        slot_hours=1,
+        times_of=readings.select("bin_id", "timestamp", due).select("bin_id", at),
+    ).filter(F.col("label").isNotNull())
+
+
+def labels(
+    readings: DataFrame,
+    horizons: tuple[int, ...] = HORIZONS,
+    min_readings: int = MIN_READINGS,
+    warmup: int = WARMUP,
+) -> DataFrame:
+    """The labels of ``examples`` with ``horizon_unit="hours"``, from key, time and fill alone."""
+    known = history.positions(readings).filter(
+        (F.col("total") >= min_readings) & (F.col("position") >= warmup)
+    )
+    spread = _labelled(known.select(*EXAMPLE_KEY), readings, horizons)
+    return spread.select(*EXAMPLE_KEY, "horizon", "label")
+
+
 def profile(rows: DataFrame, columns: tuple[str, ...] = FEATURES) -> DataFrame:
     """How many examples, and the population deviation of each feature."""
     return rows.agg(

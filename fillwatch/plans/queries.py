@@ -560,8 +560,7 @@ def training_examples_row_clock(spark, sf_dir):
 
 @query
 def training_labels_by_hours(spark, sf_dir):
-    rows = _examples(spark, sf_dir, "literal", "hours")
-    return rows.select("bin_id", "sensor_id", "horizon", "label")
+    return training.labels(ad.sensor_data(spark, sf_dir)).drop("timestamp")
 
 
 @query

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from fillwatch.operators import asof, features, history, training
+from fillwatch.sources import adapters as ad
 
 AS_OF = dt.datetime(2024, 1, 10, 5, 30)
 COLUMNS = (
@@ -204,3 +205,13 @@ def test_split_holds_under_repartitioning(spark):
     two = {r.sensor_id: r.is_train for r in training.split(df.repartition(7)).collect()}
     assert one == two
     assert 0.77 < sum(one.values()) / len(one) < 0.83
+
+
+def test_labels_are_those_of_the_examples(spark, small):
+    readings = ad.sensor_data(spark, small)
+    key = ["bin_id", "sensor_id", "timestamp", "horizon", "label"]
+    few = {"min_readings": 10, "warmup": 3}
+    want = training.examples(readings, ad.AS_OF, "literal", horizon_unit="hours", **few).select(key)
+    got = training.labels(readings, **few)
+    assert got.columns == key and got.count() == want.count() > 0
+    assert got.exceptAll(want).count() == 0

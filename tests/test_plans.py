@@ -65,3 +65,29 @@ def test_time_filters_of_shifted_tables_reach_the_scan(spark, small, name, colum
     text = plan(entry.queries()[name](spark, small))
     assert f"GreaterThanOrEqual({column}," in text
     assert text.count("FileScan parquet") == 1
+
+
+def joins(node):
+    """All joins of an optimised plan."""
+    if node.nodeName() == "Join":
+        yield node
+    children = node.children()
+    for i in range(children.size()):
+        yield from joins(children.apply(i))
+
+
+@pytest.mark.parametrize("name", ["training_examples", "training_examples_row_clock", "training_labels_by_hours"])
+def test_readings_are_never_joined_by_their_bin_alone(spark, small, name):
+    """One bin may hold a third of all readings: what is known of it rides on its hours."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = list(joins(entry.queries()[name](spark, small)._jdf.queryExecution().optimizedPlan()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert found
+    for join in found:
+        on = join.condition().get().toString()
+        output = join.left().output()
+        sides = {output.apply(i).name() for i in range(output.size())}
+        assert "sensor_id" not in sides and "probe" not in sides or " AND " in on, on

@@ -236,7 +236,8 @@ def test_start_status_and_stop(spark, places):
     try:
         assert {line["name"] for line in jobs.status(spark)} == {*JOBS, "alert_outbox"}
         for q in started:
-            q.processAllAvailable()
+            if q.name in ("sensor_alarms", "alert_outbox"):
+                q.processAllAvailable()
         assert len(rows(spark, root, "alarms")) == 1
         assert spark.read.parquet(str(root / "alert_outbox")).count() == 1
     finally:
