@@ -158,7 +158,14 @@ def op12_warc_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = ["type", "record_id", "concurrent_to", "refers_to", "payload_digest", "payload_bytes", "payload_sha1", "payload"]
     records = warc.read(files, folder, kept)
     # pages' own payloads are counted and digested where they are read, and left there
-    light = records.withColumn("payload", F.when(F.col("type") == "metadata", F.col("payload")))
+    page = F.col("type").isin(*warc.MAIN)
+    light = records.withColumns(
+        {
+            "payload": F.when(F.col("type") == "metadata", F.col("payload")),
+            "payload_bytes": F.when(page, F.col("payload_bytes")),
+            "payload_sha1": F.when(page, F.col("payload_sha1")),
+        }
+    )
     found = settled(
         warc.captures(settled(light, "records")).select(
             "capture_id", "record.*", F.nullif(noted, F.lit("")).cast("long").alias("page_id")

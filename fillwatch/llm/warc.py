@@ -363,17 +363,17 @@ def captures(records: DataFrame, attach: int = ATTACH) -> DataFrame:
     main = records.filter(F.col("type").isin(*MAIN)).select(F.col("record_id").alias("capture_id"), whole)
     beside = records.filter(F.col("type").isin(*ATTACHED))
     pairs = lambda df, a, b: df.select(F.col(a).alias("of"), F.col(b).alias("to")).dropna()
-    stated = records.filter(F.col("type").isin(*MAIN, *ATTACHED)).select(
-        "record_id", F.explode("concurrent_to").alias("other")
-    )
-    links = pairs(stated, "record_id", "other").union(pairs(stated, "other", "record_id")).distinct()
+    stated = records.select("type", "record_id", F.explode("concurrent_to").alias("other"))
+    by_main = pairs(stated.filter(F.col("type").isin(*MAIN)), "other", "record_id")
+    by_beside = stated.filter(F.col("type").isin(*ATTACHED))
     ids = main.select(F.col("capture_id").alias("to")).distinct()
-    near = links.join(ids, "to", "left_semi")
+    near = pairs(by_beside, "record_id", "other").join(ids, "to", "left_semi").select("of", "to").union(by_main)
     # by way of one record: what is linked with a record that is linked with a capture
     between = beside.select(F.col("record_id").alias("mid")).distinct()
     steps = near.select(F.col("of").alias("mid"), "to").join(between, "mid", "left_semi")
-    far = links.select("of", F.col("to").alias("mid")).join(steps, "mid").select("of", "to")
-    found = near.select("of", "to").union(far).distinct()
+    links = pairs(by_beside, "record_id", "other").union(pairs(by_beside, "other", "record_id"))
+    far = links.select("of", F.col("to").alias("mid")).join(steps, "mid").select("of", "to").filter("of <> to")
+    found = near.union(far).distinct()
     attached = beside.select("record_id", "type", whole).join(
         found, F.col("record_id") == F.col("of"), "left"
     ).select(F.coalesce("to", "record_id").alias("capture_id"), "record_id", "type", "record")
