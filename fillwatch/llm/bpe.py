@@ -165,8 +165,9 @@ _ENCODED = "block long, slots binary, counts binary, ids binary"
 _IDS = "doc_id long, ids array<int>"
 
 
-def blocks(docs: DataFrame, parts: int) -> DataFrame:
-    """Texts in blocks: pre-tokens as slots, and the distinct words in ``parts`` by hash."""
+def blocks(docs: DataFrame, parts: int, most: int = BLOCK) -> DataFrame:
+    """Texts in blocks of about ``most`` code points: pre-tokens as slots, and the distinct words in
+    ``parts`` by hash."""
 
     def row(block: int, ids: list, counts: list, found: list, slots: dict[str, int]) -> dict:
         use = np.concatenate(found) if found else np.zeros(0, np.int32)
@@ -227,7 +228,7 @@ def blocks(docs: DataFrame, parts: int) -> DataFrame:
                 if len(start):
                     found.append(distinct_words(code, "".join(own), start, slots))
                 size += len(code)
-                if size >= BLOCK:
+                if size >= most:
                     yield pa.RecordBatch.from_pylist([row(block, ids, counts, found, slots)], schema)
                     ids, counts, found, slots, size = [], [], [], {}, 0
                     block += 1
@@ -314,12 +315,14 @@ def encode(
     parts: int | None = None,
     width: int = 4,
     packed: bool = True,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Token ids of each row's whole text.
 
     ``coder()`` runs in a task and gives the function that encodes words, see ``rank_coder``.
     ``parts`` is the number of partitions of the distinct words, Spark's number of shuffle
-    partitions unless given; one of them holds its words in memory. Null and empty texts have no
+    partitions unless given; one of them holds its words in memory. A task holds a block of ``block`` code points
+    at a time; smaller ones take less memory and send words more often. Null and empty texts have no
     ids; rows alike or with a null ``doc_id`` are encoded each for itself; an empty table gives no
     rows. Only ``doc_id`` and ``text`` are read.
 
@@ -329,7 +332,7 @@ def encode(
     kind = {2: "<u2", 4: "<u4"}[width]
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    held = _bucketed(blocks(docs, parts), "block", parts)
+    held = _bucketed(blocks(docs, parts, block), "block", parts)
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         to_ids = coder()
