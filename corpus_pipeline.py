@@ -15,6 +15,9 @@ from fillwatch.llm.queries import vocabulary
 from fillwatch.llm.texts import documents
 from fillwatch.session import settled
 
+#: Code points in a block of the tokenizing stage, which follows four others in its executors.
+BLOCK = 1 << 22
+
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled ones of ``docs`` and leaves out what it finds toxic."""
@@ -40,8 +43,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row's text, and what they decode to as a check."""
     ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(docs, bpe.rank_coder(spark, ranks), packed=False)
-    return bpe.decode(encoded, bpe.token_table(spark, ranks), keep=["doc_id", "ids"]).select(
+    # written before it is decoded: a task has one Python worker at a time, not two in a row
+    encoded = settled(bpe.encode(docs, bpe.rank_coder(spark, ranks), packed=False, block=BLOCK), "ids")
+    return bpe.decode(encoded, bpe.token_table(spark, ranks)).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
