@@ -15,6 +15,7 @@ import base64
 import gzip
 import hashlib
 import io
+import uuid
 import zlib
 from collections.abc import Iterator, Sequence
 from typing import BinaryIO
@@ -40,6 +41,7 @@ FILE, BATCH = 1 << 30, 1 << 23
 ATTACH = 1 << 12
 SALTS = 64
 
+_KINDS = ("main", "request", "metadata")
 _FILES = "file string, records long, bytes long"
 _PAIRS = "array<struct<name: string, value: string>>"
 _RECORDS = (
@@ -60,10 +62,11 @@ def base32(hexadecimal: Column) -> Column:
     )
 
 
-def _uuid(*parts: Column) -> Column:
-    name = F.md5(F.concat_ws("|", *parts))
-    cut = [F.substring(name, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
-    return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
+def _names(numbers: Column, kind: int, drawn: str) -> Column:
+    """Identifiers (UUIDs of version 8) from 60 bits ``drawn`` for the archive, a kind, and a number."""
+    digits = F.lower(F.lpad(F.hex(numbers), 14, "0"))
+    head = f"<urn:uuid:{drawn[:8]}-{drawn[8:12]}-8{drawn[12:15]}-8{kind:x}"
+    return F.concat(F.lit(head), F.substring(digits, 1, 2), F.lit("-"), F.substring(digits, 3, 12), F.lit(">"))
 
 
 def _line(value: Column) -> Column:
@@ -96,7 +99,7 @@ def numbered(pages: DataFrame) -> DataFrame:
         "*",
         F.monotonically_increasing_id().alias("number"),
         F.octet_length("payload").cast("long").alias("bytes"),
-        F.sha2("payload", 256).alias("content"),
+        F.unhex(F.sha2("payload", 256)).alias("content"),
         F.concat(F.lit("sha1:"), base32(F.sha1("payload"))).alias("digest"),
     )
 
@@ -115,12 +118,13 @@ def transactions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     best = F.struct("page_id", "url", "number")
     by_salt = rows.filter(F.col("bytes") >= least_bytes).groupBy("content", "salt").agg(F.max(best).alias("best"))
     of_all = F.max("best").over(Window.partitionBy("content"))
-    chosen = by_salt.select("content", "salt", of_all.alias("best"))
-    name = lambda number, kind: _uuid(F.lit(kind), number.cast("string"))
+    chosen = by_salt.select("content", "salt", of_all["number"].alias("best"))
+    drawn = uuid.uuid4().hex
+    name = lambda number, kind: _names(number, _KINDS.index(kind), drawn)
     known = (
         rows.join(chosen, ["content", "salt"], "left")
-        .withColumn("stays", F.coalesce(F.col("best.number") == F.col("number"), F.lit(True)))
-        .withColumns({"id": name(F.col("number"), "main"), "of": name(F.col("best.number"), "main")})
+        .withColumn("stays", F.coalesce(F.col("best") == F.col("number"), F.lit(True)))
+        .withColumns({"id": name(F.col("number"), "main"), "of": name(F.col("best"), "main")})
     )
     stays, uri = F.col("stays"), F.col("url")
     head = _text(
