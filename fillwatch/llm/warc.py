@@ -170,7 +170,7 @@ def transactions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     return known.select(F.inline(each))
 
 
-def write(records: DataFrame, path: str, most_bytes: int = FILE, level: int = 1) -> DataFrame:
+def write(records: DataFrame, path: str, most_bytes: int = FILE, level: int = 6) -> DataFrame:
     """Writes rows of ``head`` and ``block`` (see ``record``) as WARC files below ``path``.
 
     A task writes a file, and another one whenever it has passed ``most_bytes``. No rows give no
