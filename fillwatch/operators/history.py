@@ -1,10 +1,12 @@
 """Features of every reading: what was known of its bin when it arrived.
 
 One bin may hold a large part of all readings, so nothing here puts a bin's whole
-history into one task. Readings are spread over (bin, hour) slots: running sums inside
-a slot, plus the sums of the slots before, give every prefix and every trailing window
-exactly. Row-wise neighbours (the last ten, the next 24) then come from fixed-size
-blocks of positions, each with a margin copied from the blocks beside it.
+history, or one hour of it, into one task. Readings are spread over the parts of (bin, hour)
+slots: running sums inside a part, plus the sums of the parts before in its slot and of the
+slots before, give every prefix and every trailing window exactly. What is carried between
+parts is a table of one row per part, at most so many a slot. Row-wise neighbours (the last
+ten, the next 24) then come from fixed-size blocks of positions, each with a margin copied
+from the blocks beside it.
 """
 
 from __future__ import annotations
@@ -29,25 +31,27 @@ from fillwatch.operators.features import (
 
 SLOPE_HOURS = (*RATE_HOURS, WIDE_HOURS)
 BLOCK_ROWS = 8192
+#: Parts of equal length that an hour is cut into. More of them make a task's share of a dense
+#: hour smaller and the table of parts longer; results are the same with any number.
+PARTS = 60
 
 _SLOT = ("bin_id", "slot")
+_PART = (*_SLOT, "part")
 _MEASURES = ("fill_level", "temperature", "humidity", "weight")
 
 
 # Sums behind a least-squares slope of ``y`` on ``x``, as SQL over those two columns.
 MOMENTS = {"n": "1D", "x": "x", "y": "y", "xy": "x * y", "xx": "x * x"}
 
-_BY_SLOT = "PARTITION BY bin_id, slot"
+_BY_PART = "PARTITION BY bin_id, slot, part"
 _EARLIER_SLOTS = "PARTITION BY bin_id ORDER BY slot ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
-_PLACES = (
-    f"coalesce(sum(size) OVER ({_EARLIER_SLOTS}), 0) AS before",
-    "sum(size) OVER (PARTITION BY bin_id) AS total",
-)
+_EARLIER_PARTS = "PARTITION BY bin_id, slot ORDER BY part RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+_LATER_PARTS = _EARLIER_PARTS.replace("ORDER BY part", "ORDER BY part DESC")
 
 
-# A reading's place in its slot, and how many of the slot are at its instant up to it.
-_RANK = f"row_number() OVER ({_BY_SLOT} ORDER BY at, sensor_id) AS rank"
-_EARLIER = f"(rank() OVER ({_BY_SLOT} ORDER BY at) - 1)"
+# A reading's place in its part, and how many of the part are before its instant.
+_RANK = f"row_number() OVER ({_BY_PART} ORDER BY at, sensor_id) AS rank"
+_EARLIER = f"(rank() OVER ({_BY_PART} ORDER BY at) - 1)"
 
 _SLOPE = (
     "CASE WHEN n_{h} > same"
@@ -56,13 +60,47 @@ _SLOPE = (
 """Slope from sums; null unless the window holds more than the ``same`` instant."""
 
 
-def _slotted(readings: DataFrame) -> DataFrame:
+def _cut(rows: DataFrame, parts: int) -> DataFrame:
+    """``rows`` with the slot and part that their time ``at`` falls into, and the ``offset`` in the slot."""
+    width = times.MICROS_PER_HOUR
+    offset = F.pmod(F.col("at"), F.lit(width))
+    part = F.floor(offset * parts / width)
+    return rows.withColumns({"slot": F.floor(F.col("at") / width), "offset": offset, "part": part})
+
+
+def _slotted(readings: DataFrame, parts: int) -> DataFrame:
     at = times.micros(readings, "timestamp")
     rows = readings.filter(F.col("timestamp").isNotNull()).select(
         "bin_id", "sensor_id", "timestamp", *_MEASURES, at.alias("at")
     )
-    width = times.MICROS_PER_HOUR
-    return rows.withColumns({"slot": F.floor(F.col("at") / width), "offset": F.col("at") % width})
+    return _cut(rows, parts)
+
+
+def _same_facts(slots: DataFrame) -> DataFrame:
+    return slots
+
+
+def _before(cells: DataFrame, sums: list[str], facts: Callable[[DataFrame], DataFrame] = _same_facts) -> DataFrame:
+    """One row per part: ``before_<sum>`` over all parts before it, its bin's ``total``, and facts."""
+    slots = (
+        cells.groupBy(*_SLOT)
+        .agg(*[F.sum(k).alias(k) for k in sums])
+        .selectExpr(
+            *_SLOT,
+            "sum(size) OVER (PARTITION BY bin_id) AS total",
+            *[f"coalesce(sum({k}) OVER ({_EARLIER_SLOTS}), 0) AS slots_{k}" for k in sums],
+        )
+    )
+    inside = cells.selectExpr(
+        *_PART, *[f"coalesce(sum({k}) OVER ({_EARLIER_PARTS}), 0) AS parts_{k}" for k in sums]
+    )
+    known = facts(slots)
+    return inside.join(known, list(_SLOT)).selectExpr(
+        *_PART,
+        "total",
+        *[c for c in _FACTS if c in known.columns],
+        *[f"slots_{k} + parts_{k} AS before_{k}" for k in sums],
+    )
 
 
 _CARRIED = ("bin_id", "sensor_id", "timestamp", *_MEASURES, "position", "total")
@@ -74,8 +112,8 @@ Facts = Callable[[DataFrame], DataFrame]
 _FACTS = ("days_since_maintenance", "bin_day")
 
 
-def _finish(rows: DataFrame, slots: DataFrame, sums: dict[str, str], facts: Facts) -> DataFrame:
-    """Joins what the slots before contribute, and derives place, rates and weekly mean.
+def _finish(rows: DataFrame, carried: DataFrame, sums: dict[str, str]) -> DataFrame:
+    """Joins what other parts contribute, and derives place, rates and weekly mean.
 
     What is known of a bin rides on its slots: readings are never joined by their bin alone, which
     would put all those of one bin into one task.
@@ -84,12 +122,10 @@ def _finish(rows: DataFrame, slots: DataFrame, sums: dict[str, str], facts: Fact
     text of the sums below it, and the compiled method would outgrow what the JVM
     optimises.
     """
-    slots = facts(slots).withColumnsRenamed({"bin_id": "_bin_id", "slot": "_slot"})
-    known = [c for c in _FACTS if c in slots.columns]
-    same = (rows["bin_id"] == slots["_bin_id"]) & (rows["slot"] == slots["_slot"])
-    summed = rows.join(slots, same).selectExpr(
+    known = [c for c in _FACTS if c in carried.columns]
+    summed = rows.join(carried, list(_PART)).selectExpr(
         *_CARRIED[:-2],
-        "before + rank - 1 AS position",
+        "before_size + rank - 1 AS position",
         "total",
         "same",
         *known,
@@ -124,22 +160,19 @@ def _literal_windows(rows: DataFrame, as_of: dt.datetime, facts: Facts) -> DataF
     parts[f"n_{WEEK_HOURS}"] = f"sum(IF(x >= -{WEEK_HOURS}, 1D, 0D))"
     parts[f"y_{WEEK_HOURS}"] = f"sum(IF(x >= -{WEEK_HOURS}, y, 0D))"
 
-    slots = rows.groupBy(*_SLOT).agg(
+    cells = rows.groupBy(*_PART).agg(
         F.count("*").alias("size"), *[F.expr(v).alias(k) for k, v in parts.items()]
     )
-    slots = slots.selectExpr(
-        *_SLOT,
-        *_PLACES,
-        *[f"coalesce(sum({k}) OVER ({_EARLIER_SLOTS}), 0D) AS before_{k}" for k in parts],
-    )
-    so_far = f"{_BY_SLOT} ORDER BY at, sensor_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    so_far = f"{_BY_PART} ORDER BY at, sensor_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     rows = rows.selectExpr(
         "*",
         _RANK,
         f"{_EARLIER} AS earlier",
         *[f"{v} OVER ({so_far}) AS {k}" for k, v in parts.items()],
     ).withColumn("same", F.expr("rank - earlier"))
-    return _finish(rows, slots, {k: f"before_{k} + {k}" for k in parts}, facts)
+    return _finish(
+        rows, _before(cells, ["size", *parts], facts), {k: f"before_{k} + {k}" for k in parts}
+    )
 
 
 def _between(h: int) -> str:
@@ -165,37 +198,18 @@ def _row_windows(rows: DataFrame, facts: Facts) -> DataFrame:
     A window of ``h`` hours over hour slots is: the head of the reading's own slot, the
     whole slots between, and the tail of the slot ``h`` slots ago from the same offset
     on. Every reading therefore also goes, as an edge, to the slots it will be the tail
-    of; that is five narrow copies instead of a frame rescanned for every reading.
+    of; that is five narrow copies instead of a frame rescanned for every reading. Heads
+    and tails are summed inside the reading's part of the slot; the parts before and after
+    it, whose sums go to later slots as well, add theirs.
     """
     rows = rows.withColumns(
         {"x": F.col("offset") / float(times.MICROS_PER_HOUR), "y": F.col("fill_level")}
     )
-    back = "PARTITION BY bin_id ORDER BY slot RANGE BETWEEN {} PRECEDING AND 1 PRECEDING"
-    wide, week = back.format(WIDE_HOURS - 1), back.format(WEEK_HOURS - 1)
-    slots = (
-        rows.groupBy(*_SLOT)
-        .agg(
-            F.count("*").alias("size"),
-            *[F.expr(f"sum({v})").alias(k) for k, v in MOMENTS.items()],
-        )
-        .selectExpr(
-            *_SLOT,
-            *_PLACES,
-            f"collect_list(struct(slot, n, x, y, xy, xx)) OVER ({wide}) AS recent",
-            f"coalesce(sum(n) OVER ({week}), 0D) AS week_n",
-            f"coalesce(sum(y) OVER ({week}), 0D) AS week_y",
-        )
-        .selectExpr(
-            *_SLOT,
-            "before",
-            "total",
-            "week_n",
-            "week_y",
-            *[f"{_between(h)} AS mid_{h}" for h in SLOPE_HOURS],
-        )
+    lags = ", ".join(str(h) for h in (0, *SLOPE_HOURS, WEEK_HOURS))
+    cells = rows.groupBy(*_PART).agg(
+        F.count("*").alias("size"), *[F.expr(f"sum({v})").alias(k) for k, v in MOMENTS.items()]
     )
-
-    head = f"{_BY_SLOT} ORDER BY at"
+    head = f"{_BY_PART} ORDER BY at"
     own = rows.selectExpr(
         "*",
         _RANK,
@@ -203,38 +217,97 @@ def _row_windows(rows: DataFrame, facts: Facts) -> DataFrame:
         *[f"sum({v}) OVER ({head}) AS head_{k}" for k, v in MOMENTS.items()],
     ).withColumn("same", F.expr("head_n - earlier"))
 
-    lags = ", ".join(str(h) for h in (0, *SLOPE_HOURS, WEEK_HOURS))
     heads = [f"head_{k}" for k in MOMENTS]
     kept = ("sensor_id", "timestamp", *_MEASURES, "rank", "same", *heads)
     spread = own.selectExpr("*", f"explode(array({lags})) AS lag").selectExpr(
         "bin_id",
         "slot + lag AS slot",
+        "part",
         "lag",
         "offset",
         "x - lag AS x",
         "y",
         *[f"IF(lag = 0, {c}, NULL) AS {c}" for c in kept],
     )
-    # Edges that fall into a slot without readings are looked at by no one. The slots are
-    # far fewer than the rows, and both sides meet in the partitioning the windows need.
-    taken = rows.select(*_SLOT).distinct().hint("shuffle_hash")
-    spread = spread.join(taken, list(_SLOT), "left_semi")
-    tail = f"{_BY_SLOT} ORDER BY offset DESC"
+    # Edges that fall into a part without readings are looked at by no one. The parts are
+    # no more than the rows, and both sides meet in the partitioning the windows need.
+    taken = rows.select(*_PART).distinct().hint("shuffle_hash")
+    spread = spread.join(taken, list(_PART), "left_semi")
+    tails = {h: list(MOMENTS) for h in SLOPE_HOURS} | {WEEK_HOURS: ["n", "y"]}
     columns = [
-        f"sum(IF(lag = {h}, {v}, 0D)) OVER ({tail}) AS tail_{k}_{h}"
-        for h in SLOPE_HOURS
-        for k, v in MOMENTS.items()
-    ] + [
-        f"sum(IF(lag = {WEEK_HOURS}, {MOMENTS[k]}, 0D)) OVER ({tail}) AS tail_{k}_{WEEK_HOURS}"
-        for k in "ny"
+        f"sum(IF(lag = {h}, {MOMENTS[k]}, 0D)) OVER ({_BY_PART} ORDER BY offset DESC) AS tail_{k}_{h}"
+        for h, names in tails.items()
+        for k in names
     ]
     own = spread.selectExpr("*", *columns).filter("lag = 0")
-    sums: dict[str, str] = {}
-    for h in SLOPE_HOURS:
-        sums |= {f"{k}_{h}": f"head_{k} + mid_{h}.{k} + tail_{k}_{h}" for k in MOMENTS}
-    h = WEEK_HOURS
-    return _finish(
-        own, slots, sums | {f"{k}_{h}": f"head_{k} + week_{k} + tail_{k}_{h}" for k in "ny"}, facts
+    sums = {
+        f"{k}_{h}": f"head_{k} + before_{k}_{h} + tail_{k}_{h}"
+        for h, names in tails.items()
+        for k in names
+    }
+    return _finish(own, _around(cells, lags, tails, facts), sums)
+
+
+def _around(cells: DataFrame, lags: str, tails: dict[int, list[str]], facts: Facts) -> DataFrame:
+    """One row per part: for each window, ``before_<sum>_<hours>`` over all that lies in it outside
+    the part itself and its like ``hours`` slots ago; ``before_size`` and ``total`` of its bin."""
+    back = "PARTITION BY bin_id ORDER BY slot RANGE BETWEEN {} PRECEDING AND 1 PRECEDING"
+    wide, week = back.format(WIDE_HOURS - 1), back.format(WEEK_HOURS - 1)
+    slots = (
+        cells.groupBy(*_SLOT)
+        .agg(*[F.sum(k).alias(k) for k in ("size", *MOMENTS)])
+        .selectExpr(
+            *_SLOT,
+            f"coalesce(sum(size) OVER ({_EARLIER_SLOTS}), 0) AS slots_size",
+            "sum(size) OVER (PARTITION BY bin_id) AS total",
+            f"collect_list(struct(slot, n, x, y, xy, xx)) OVER ({wide}) AS recent",
+            f"coalesce(sum(n) OVER ({week}), 0D) AS week_n",
+            f"coalesce(sum(y) OVER ({week}), 0D) AS week_y",
+        )
+        .selectExpr(
+            *_SLOT,
+            "slots_size",
+            "total",
+            f"named_struct('n', week_n, 'y', week_y) AS mid_{WEEK_HOURS}",
+            *[f"{_between(h)} AS mid_{h}" for h in SLOPE_HOURS],
+        )
+    )
+    moved = cells.selectExpr("*", f"explode(array({lags})) AS lag").selectExpr(
+        "bin_id",
+        "slot + lag AS slot",
+        "part",
+        "lag",
+        "size",
+        "n",
+        "x - lag * n AS x",
+        "y",
+        "xy - lag * y AS xy",
+        "xx - 2 * lag * x + lag * lag * n AS xx",
+    )
+    inside = moved.selectExpr(
+        *_PART,
+        "lag",
+        *[
+            f"coalesce(sum(IF(lag = 0, {k}, 0)) OVER ({_EARLIER_PARTS}), 0) AS head_{k}"
+            for k in ("size", *MOMENTS)
+        ],
+        *[
+            f"coalesce(sum(IF(lag = {h}, {k}, 0D)) OVER ({_LATER_PARTS}), 0D) AS tail_{k}_{h}"
+            for h, names in tails.items()
+            for k in names
+        ],
+    ).filter("lag = 0")
+    known = facts(slots)
+    return inside.join(known, list(_SLOT)).selectExpr(
+        *_PART,
+        "slots_size + head_size AS before_size",
+        "total",
+        *[c for c in _FACTS if c in known.columns],
+        *[
+            f"head_{k} + mid_{h}.{k} + tail_{k}_{h} AS before_{k}_{h}"
+            for h, names in tails.items()
+            for k in names
+        ],
     )
 
 
@@ -277,17 +350,19 @@ def prefix(
     ahead: tuple[int, ...] = (),
     min_readings: int = 0,
     block_rows: int = BLOCK_ROWS,
+    parts: int = PARTS,
 ) -> DataFrame:
     """The first 14 features at every reading, its position, and its bin's total.
 
     ``mode="literal"`` takes ``as_of`` as the clock of every row: calendar fields are
     constant and windows begin at ``as_of`` minus their length. ``mode="row"`` takes the
     reading's own time, so a row knows nothing later than itself. ``ahead`` adds
-    ``fill_after_<h>``, the fill ``h`` readings later.
+    ``fill_after_<h>``, the fill ``h`` readings later. A task holds a bin's readings of one
+    of the ``parts`` of an hour at a time, and no more.
     """
     if mode not in ("literal", "row"):
         raise ValueError(f"mode is 'literal' or 'row', not {mode!r}")
-    rows = _slotted(features.with_defaults(readings))
+    rows = _slotted(features.with_defaults(readings), parts)
     if mode == "literal":
         rows = _literal_windows(
             rows, as_of, lambda slots: features.days_since_maintenance(slots, as_of, maintenance, bins)
@@ -330,17 +405,17 @@ def _with_bin_day(slots: DataFrame, bins: DataFrame) -> DataFrame:
     return slots.join(dates, "bin_id", "left")
 
 
-def positions(readings: DataFrame) -> DataFrame:
+def positions(readings: DataFrame, parts: int = PARTS) -> DataFrame:
     """Key, time, ``position`` and ``total`` of every reading, as ``prefix`` gives them."""
     rows = readings.filter(F.col("timestamp").isNotNull()).select(
         "bin_id", "sensor_id", "timestamp", times.micros(readings, "timestamp").alias("at")
     )
-    rows = rows.withColumn("slot", F.floor(F.col("at") / times.MICROS_PER_HOUR))
-    slots = rows.groupBy(*_SLOT).agg(F.count("*").alias("size")).selectExpr(*_SLOT, *_PLACES)
+    rows = _cut(rows, parts)
+    carried = _before(rows.groupBy(*_PART).agg(F.count("*").alias("size")), ["size"])
     return (
         rows.selectExpr("*", _RANK)
-        .join(slots, list(_SLOT))
-        .selectExpr("bin_id", "sensor_id", "timestamp", "before + rank - 1 AS position", "total")
+        .join(carried, list(_PART))
+        .selectExpr("bin_id", "sensor_id", "timestamp", "before_size + rank - 1 AS position", "total")
     )
 
 

@@ -34,6 +34,7 @@ def examples(
     warmup: int = WARMUP,
     horizon_unit: str = "rows",
     block_rows: int = history.BLOCK_ROWS,
+    parts: int = history.PARTS,
 ) -> DataFrame:
     """One row per reading and horizon: 15 features and the fill to predict.
 
@@ -53,6 +54,7 @@ def examples(
         ahead=tuple(horizons) if by_rows else (),
         min_readings=min_readings,
         block_rows=block_rows,
+        parts=parts,
     )
     known = known.filter(F.col("position") >= warmup)
     if by_rows:

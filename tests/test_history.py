@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from fillwatch.operators import asof, features, history, training
 from fillwatch.sources import adapters as ad
@@ -68,13 +69,15 @@ def by_bin(rows):
 
 
 @pytest.mark.parametrize("mode", ["literal", "row"])
-@pytest.mark.parametrize("block_rows", [1, 8192])
-def test_prefix_features(spark, mode, block_rows):
+@pytest.mark.parametrize("block_rows, parts", [(1, 60), (8192, 1), (8192, 7)])
+def test_prefix_features(spark, mode, block_rows, parts):
     rows = series()
     df = spark.createDataFrame(rows, COLUMNS)
     got = {
         r.sensor_id: r
-        for r in history.prefix(df, AS_OF, mode, ahead=(1, 24), block_rows=block_rows).collect()
+        for r in history.prefix(
+            df, AS_OF, mode, ahead=(1, 24), block_rows=block_rows, parts=parts
+        ).collect()
     }
     assert len(got) == len(rows)
     for bin_rows in by_bin(rows).values():
@@ -96,6 +99,41 @@ def test_prefix_features(spark, mode, block_rows):
             assert mine.hour_of_day == clock.hour and mine.day_of_week == clock.weekday()
 
 
+def dense(spark, n=20000):
+    """Nine tenths of the readings in one bin and hour, the others over bins and days."""
+    rows = spark.range(n).selectExpr(
+        "CAST(id AS STRING) AS sensor_id",
+        "IF(id % 10 < 9, 'hot', CONCAT('bin', id % 7)) AS bin_id",
+        "CAST(timestamp_micros(CAST(1704067200000000 AS BIGINT) + IF(id % 10 < 9,"
+        " pmod(xxhash64(id), 3600000000L), pmod(xxhash64(id, 1), 10 * 86400000000L)))"
+        " AS TIMESTAMP_NTZ) AS timestamp",
+        "CAST(pmod(xxhash64(id, 2), 100) AS DOUBLE) AS fill_level",
+        "CAST(pmod(xxhash64(id, 3), 60) AS DOUBLE) AS temperature",
+        "1D AS weight",
+        "50D AS humidity",
+    )
+    return rows
+
+
+@pytest.mark.parametrize("mode", ["literal", "row"])
+def test_a_dense_hour_is_shared_among_tasks(spark, mode):
+    rows = dense(spark)
+    got = history.prefix(rows, AS_OF, mode, ahead=(1,))
+    whole = history.prefix(rows, AS_OF, mode, ahead=(1,), parts=1)
+    assert got.columns == whole.columns
+    assert got.count() == rows.count()
+    left, right = ({r.sensor_id: r for r in df.collect()} for df in (got, whole))
+    for key, r in left.items():
+        assert all(a == pytest.approx(b, abs=1e-6) for a, b in zip(r, right[key]) if isinstance(a, float))
+        assert (r.position, r.total) == (right[key].position, right[key].total)
+    # windows over readings are cut by part; those by bin or slot alone see a row for each part
+    text = got._jdf.queryExecution().executedPlan().toString()
+    ranked = [line for line in text.splitlines() if "row_number()" in line and "Window" in line]
+    assert ranked and all("part#" in line.split("windowspecdefinition", 1)[1] for line in ranked)
+    sizes = history._slotted(features.with_defaults(rows), history.PARTS).groupBy(*history._PART).count()
+    assert sizes.agg(F.max("count")).first()[0] < 3 * rows.count() * 0.9 / history.PARTS
+
+
 def test_serving_features_equal_the_last_prefix(spark):
     """At ``as_of`` the newest reading's literal prefix is the whole known history."""
     rows = [r for r in series(2) if r[2] <= AS_OF]
@@ -161,19 +199,24 @@ def test_examples_by_rows_and_by_hours(spark):
     assert {(r.sensor_id, r.horizon): r.label for r in got} == want
 
 
+@pytest.mark.parametrize("slot_hours, parts", [(24, 60), (24, 1), (1, 7)])
 @pytest.mark.parametrize("direction", ["backward", "forward"])
-def test_asof(spark, direction):
+def test_asof(spark, direction, slot_hours, parts):
     rng = random.Random(5)
     moment = lambda: dt.datetime(2024, 1, 1) + dt.timedelta(hours=rng.randrange(24 * 30))
     probes = [(f"p{i}", rng.choice("aab"), moment()) for i in range(200)]
+    probes.append(("none", "a", None))
     events = [(rng.choice("aaac"), moment(), i) for i in range(60)]
     got = asof.attach(
         spark.createDataFrame(probes, "id string, k string, t timestamp_ntz"),
         spark.createDataFrame(events, "k string, at timestamp_ntz, v int"),
-        "k", "t", "at", ["v"], direction,
+        "k", "t", "at", ["v"], direction, slot_hours, parts=parts,
     )
     assert got.count() == len(probes)
     for r in got.collect():
+        if r.t is None:
+            assert r.v is None
+            continue
         if direction == "backward":
             near = [(t, v) for k, t, v in events if k == r.k and t <= r.t]
             want = max(near)[1] if near else None
