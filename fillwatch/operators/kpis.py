@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -69,75 +71,110 @@ def reading_counts(readings: DataFrame) -> DataFrame:
     return readings.rollup("bin_id").agg(F.count("*").alias("readings"))
 
 
-FACTS = (
-    "fill",
-    "reports",
-    "resolved",
-    "response_minutes",
-    "maintenance",
-    "alarms",
-    "routes",
-)
+# What a partial row sums, by day and, for stops, by route; ``rows`` are those of other tables.
+SUMS = {
+    "rows": "long",
+    "fill_sum": "double",
+    "fill_n": "long",
+    "reports": "long",
+    "resolved": "long",
+    "response_sum": "double",
+    "response_n": "long",
+    "maintenance": "long",
+    "alarms": "long",
+    "collected": "long",
+    "missed": "long",
+}
 
 
 def _facts(df: DataFrame, when: str, **values: Column) -> DataFrame:
-    """``df`` projected to the day and the common fact columns, absent ones null."""
+    """``df`` projected to the day, the route and what is summed, absent ones null."""
     return df.select(
         F.to_date(when).alias("date"),
-        *[values.get(f, F.lit(None)).cast("double").alias(f) for f in FACTS],
-    )
+        values.get("route_id", F.lit(None)).cast("string").alias("route_id"),
+        *[values.get(f, F.lit(None)).cast(t).alias(f) for f, t in SUMS.items()],
+    ).filter(F.col("date").isNotNull())
 
 
-def daily_rollup(
-    bins: DataFrame,
-    readings: DataFrame,
-    reports: DataFrame,
-    maintenance: DataFrame,
-    alarms: DataFrame,
-    routes: DataFrame,
+def merged_partials(rows: DataFrame) -> DataFrame:
+    """One row per day and route out of several."""
+    return rows.groupBy("date", "route_id").agg(*[F.sum(f).alias(f) for f in SUMS])
+
+
+def daily_partials(
+    readings: DataFrame | None = None,
+    reports: DataFrame | None = None,
+    maintenance: DataFrame | None = None,
+    alarms: DataFrame | None = None,
+    routes: DataFrame | None = None,
 ) -> DataFrame:
-    """One row of figures per day, each table counted by its own time.
+    """What the given rows add to ``daily_figures``: a row per day, and one per day and route.
 
-    The tables are stacked and grouped once: every map task sends one partial row per
-    day, however the days are filled. A route counts as completed on a day when all
-    its stops of that day were collected.
+    Partials of disjoint sets of rows are merged by stacking them, so new rows are worked off by
+    themselves. Rows without a time are in no day. The tables are stacked and grouped once: every
+    map task sends one partial row per day, however the days are filled.
     """
-    one = F.lit(1.0)
-    waited = (
-        F.unix_micros(F.col("resolved_timestamp").cast("timestamp"))
-        - F.unix_micros(F.col("report_timestamp").cast("timestamp"))
-    ) / 60_000_000
-    route_days = (
-        routes.groupBy("route_id", F.to_date("service_date").alias("day"))
-        .agg(F.bool_and(F.col("collection_status") == "collected").alias("done"))
-        .filter("done")
-    )
-    stacked = (
-        _facts(readings, "timestamp", fill=F.col("fill_level"))
-        .unionByName(
+    one = F.lit(1)
+    parts: list[DataFrame] = []
+    if readings is not None:
+        fill = F.col("fill_level")
+        parts.append(_facts(readings, "timestamp", rows=one, fill_sum=fill, fill_n=F.when(fill.isNotNull(), 1)))
+    if reports is not None:
+        waited = (
+            F.unix_micros(F.col("resolved_timestamp").cast("timestamp"))
+            - F.unix_micros(F.col("report_timestamp").cast("timestamp"))
+        ) / 60_000_000
+        parts.append(
             _facts(
                 reports,
                 "report_timestamp",
+                rows=one,
                 reports=one,
-                resolved=F.when(F.col("resolved"), 1.0),
-                response_minutes=F.when(F.col("resolved"), waited),
+                resolved=F.when(F.col("resolved"), 1),
+                response_sum=F.when(F.col("resolved"), waited),
+                response_n=F.when(F.col("resolved") & waited.isNotNull(), 1),
             )
         )
-        .unionByName(_facts(maintenance, "event_timestamp", maintenance=one))
-        .unionByName(_facts(alarms, "triggered_at", alarms=one))
-        .unionByName(_facts(route_days, "day", routes=one))
-    )
-    number = lambda c: F.count(c).cast("int")
+    if maintenance is not None:
+        parts.append(_facts(maintenance, "event_timestamp", rows=one, maintenance=one))
+    if alarms is not None:
+        parts.append(_facts(alarms, "triggered_at", rows=one, alarms=one))
+    if routes is not None:
+        status = F.col("collection_status")
+        parts.append(
+            _facts(
+                routes,
+                "service_date",
+                route_id=F.col("route_id"),
+                collected=F.when(status == "collected", 1),
+                missed=F.when(status != "collected", 1),
+            )
+        )
+    if not parts:
+        raise ValueError("no table is given")
+    return merged_partials(reduce(DataFrame.unionByName, parts))
+
+
+def daily_figures(partials: DataFrame, bins: DataFrame) -> DataFrame:
+    """One row of figures per day out of the partials of all rows, stacked in any grouping.
+
+    A route counts as completed on a day when all its stops of that day were collected. A day that
+    has only routes that were not has no figures.
+    """
+    done = F.when((F.col("collected") > 0) & (F.coalesce("missed", F.lit(0)) == 0), 1)
+    number = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("int")
     fleet = bins.agg(F.count("*").cast("int")).scalar()
     return (
-        stacked.filter(F.col("date").isNotNull())
+        merged_partials(partials)
+        .withColumn("routes", done)
+        .filter((F.col("rows") > 0) | F.col("routes").isNotNull())
         .groupBy("date")
         .agg(
-            F.avg("fill").alias("avg_fill_level"),
+            (F.sum("fill_sum") / F.sum("fill_n")).alias("avg_fill_level"),
             number("reports").alias("total_reports"),
             number("resolved").alias("resolved_reports"),
             number("maintenance").alias("maintenance_events_count"),
-            F.avg("response_minutes").alias("avg_response_time"),
+            (F.sum("response_sum") / F.sum("response_n")).alias("avg_response_time"),
             number("alarms").alias("alarms_count"),
             number("routes").alias("routes_completed"),
         )
@@ -154,3 +191,15 @@ def daily_rollup(
             "routes_completed",
         )
     )
+
+
+def daily_rollup(
+    bins: DataFrame,
+    readings: DataFrame,
+    reports: DataFrame,
+    maintenance: DataFrame,
+    alarms: DataFrame,
+    routes: DataFrame,
+) -> DataFrame:
+    """One row of figures per day, each table counted by its own time."""
+    return daily_figures(daily_partials(readings, reports, maintenance, alarms, routes), bins)

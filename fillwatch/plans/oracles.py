@@ -394,6 +394,7 @@ FROM citizen_reports""",
 WHERE maintenance_type = 'emptied' GROUP BY 1""",
     ),
     "daily_rollup": using("rollup", PERFORMANCE),
+    "daily_rollup_kept": using("rollup", PERFORMANCE),
     "latest_reading": using(
         "tail",
         "SELECT bin_id, last_reading_at, current_fill_level, temperature, humidity, weight FROM tail",

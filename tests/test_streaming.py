@@ -2,12 +2,13 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from fillwatch import schemas
-from fillwatch.operators import alarms, parse
+from fillwatch.operators import alarms, kpis, parse
 from fillwatch.sources import adapters as ad
 from fillwatch.sources import streams, wire
-from fillwatch.streaming import alerts, jobs, store
+from fillwatch.streaming import alerts, jobs, rollup, store
 
 JOBS = {j.name: j for j in jobs.JOBS}
 
@@ -366,3 +367,57 @@ def test_folded_alarms_send_no_alerts(spark, places, tmp_path):
     store.compact(spark, str(root), "alarms", str(into))
     assert send_alerts(spark, into, tmp_path / "new") == []
     assert len(rows(spark, into, "alarms")) == 1
+
+
+def test_daily_figures_are_kept_without_reading_again(spark, places, tmp_path):
+    _, root, checkpoints = places
+    root, checkpoints = str(root), str(checkpoints)
+    at = lambda day, n: dt.datetime(2025, 1, day, n % 24, n)
+    columns = "sensor_id string, bin_id string, timestamp timestamp_ntz, fill_level double"
+
+    def readings(day, n):
+        rows = [(f"{day}-{i}", "b", at(day, i) if i else None, None if i == 3 else float(i)) for i in range(n)]
+        df = spark.createDataFrame(rows, columns)
+        known = [F.col(f.name) if f.name in df.columns else F.lit(None) for f in schemas.SENSOR_DATA.stored]
+        return df.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(known, schemas.SENSOR_DATA.stored)])
+
+    def go():
+        rollup.start(spark, root, checkpoints, schemas.SENSOR_DATA, available_now=True).awaitTermination()
+
+    bins = spark.range(3)
+    store.append(readings(1, 50), root, schemas.SENSOR_DATA, "s", 0)
+    go()
+    before = rollup.partials(spark, root).filter("rows IS NOT NULL")
+    assert [(str(r.date), r.rows) for r in before.collect()] == [("2025-01-01", 49)]
+    store.append(readings(2, 20), root, schemas.SENSOR_DATA, "s", 1)
+    go()
+    # the second go adds the new day's partial and nothing else: the first day's rows were not read
+    parts = rollup.partials(spark, root).collect()
+    assert sorted((r.batch_id, str(r.date), r.rows) for r in parts) == [
+        (0, "2025-01-01", 49), (1, "2025-01-02", 19),
+    ]
+    go()
+    assert rollup.partials(spark, root).count() == 2
+    routes = spark.createDataFrame(
+        [("r", at(2, 1), "collected"), ("r", at(2, 2), "missed"), ("q", at(2, 1), "collected"),
+         (None, at(2, 1), "collected"), ("n", at(3, 1), None), ("o", at(4, 1), "missed")],
+        "route_id string, service_date timestamp_ntz, collection_status string",
+    )
+    rollup.append(routes.filter("route_id = 'r'").limit(1), root, schemas.ROUTE_HISTORY, 0)
+    rollup.append(routes.exceptAll(routes.filter("route_id = 'r'").limit(1)), root, schemas.ROUTE_HISTORY, 1)
+    whole = readings(1, 50).unionByName(readings(2, 20))
+    want = kpis.daily_figures(kpis.daily_partials(whole, routes=routes), bins).collect()
+    got = rollup.figures(spark, root, bins).collect()
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert {str(r.date): r.routes_completed for r in got} == {"2025-01-01": 0, "2025-01-02": 2}
+    rollup.compact(spark, root, str(tmp_path / "merged"))
+    assert sorted(rollup.figures(spark, str(tmp_path / "merged"), bins).collect(), key=str) == sorted(got, key=str)
+    with pytest.raises(ValueError):
+        rollup.compact(spark, root, root)
+    with pytest.raises(ValueError):
+        kpis.daily_partials()
+
+
+def test_figures_of_no_rows(spark):
+    empty = spark.createDataFrame([], "sensor_id string, timestamp timestamp_ntz, fill_level double")
+    assert kpis.daily_figures(kpis.daily_partials(empty), spark.range(1)).count() == 0
