@@ -265,6 +265,11 @@ FROM (SELECT *, unnest(range(1, 4 + o_orderkey % 10)) AS i FROM orders)""",
     "sensor_alarms_from_json": using("derived", "SELECT * FROM derived"),
     "sensor_alarm_ids": using("derived", "SELECT alarm_id, bin_id FROM derived"),
     "sensor_alarms_stream": using("derived", "SELECT * FROM derived"),
+    "job_rows": using(
+        "sensor_data derived",
+        """SELECT 'sensor_data' AS "table", 'sensor_data' AS source, count(*) AS "rows" FROM sensor_data
+           UNION ALL SELECT 'alarms', 'sensor_alarms', count(*) FROM derived""",
+    ),
     "all_alarms": using("alarms derived", "SELECT * FROM alarms UNION ALL SELECT * FROM derived"),
     "alert_outbox": using(
         "alarms bins",

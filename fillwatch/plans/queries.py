@@ -27,7 +27,7 @@ from fillwatch.operators import (
 from fillwatch.session import settled, shared_dir
 from fillwatch.sources import adapters as ad
 from fillwatch.sources import wire
-from fillwatch.streaming import alerts, jobs, rollup, store
+from fillwatch.streaming import alerts, jobs, progress, rollup, store
 
 A = ad.AS_OF
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,6 +278,21 @@ def sensor_alarms_stream(spark, sf_dir):
     return store.current(spark, f"{folder}/tables", schemas.ALARMS)
 
 
+@query
+def job_rows(spark, sf_dir):
+    """Rows by table and job that two jobs on the same messages have written, read after they ended."""
+    folder = shared_dir(spark, "job-rows")
+    root = f"{folder}/tables"
+    for name in ("sensor_data", "sensor_alarms"):
+        job = next(j for j in jobs.JOBS if j.name == name)
+        source = messages(ad.as_sensor_data(ad.table_stream(spark, sf_dir, "events")))
+        jobs.start(source, job, root, f"{folder}/checkpoints", available_now=True).awaitTermination()
+    wrote = progress.batches(spark, root, schemas.SENSOR_DATA).unionByName(
+        progress.batches(spark, root, schemas.ALARMS)
+    )
+    return wrote.groupBy("table", "source").agg(F.sum("rows").alias("rows"))
+
+
 @query
 def alarm_counts_stream(spark, sf_dir):
     """Alarms of a stream of readings by day, for the days that the watermark has passed."""

@@ -17,7 +17,7 @@ from fillwatch import schemas
 from fillwatch.operators import alarms, parse
 from fillwatch.schemas import Table
 from fillwatch.sources import streams as sources
-from fillwatch.streaming import alerts, store
+from fillwatch.streaming import alerts, progress, store
 
 logger = logging.getLogger(__name__)
 
@@ -168,10 +168,21 @@ def session() -> SparkSession:
 def run(spark: SparkSession, root: str, checkpoints: str, **options: str) -> None:
     """All jobs on Kafka until one ends or an interrupt; ``options`` are options of the source."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    start_all(spark, root, checkpoints, lambda s, topic: sources.kafka_json(s, topic, **options))
-    for line in status(spark):
-        logger.info("%s", line)
-    await_any(spark)
+    ledger = progress.Ledger()
+    spark.streams.addListener(ledger)
+    try:
+        started = start_all(spark, root, checkpoints, lambda s, topic: sources.kafka_json(s, topic, **options))
+        for line in status(spark):
+            logger.info("%s", line)
+        try:
+            await_any(spark)
+        finally:
+            for query in started:
+                ledger.wait_until_over(query.runId)
+            for line in ledger.lines():
+                logger.info("%s", line)
+    finally:
+        spark.streams.removeListener(ledger)
 
 
 def arguments(words: list[str]) -> tuple[str, str, dict[str, str]]:

@@ -30,6 +30,7 @@ SINGLE = {
     "report_resolution",
     "training_profile",
     "daily_rollup",
+    "daily_rollup_kept",
     "performance_parse",
     "performance_recent",
     "sensor_history_sample",

@@ -8,7 +8,7 @@ from fillwatch import schemas
 from fillwatch.operators import alarms, kpis, parse
 from fillwatch.sources import adapters as ad
 from fillwatch.sources import streams, wire
-from fillwatch.streaming import alerts, jobs, rollup, store
+from fillwatch.streaming import alerts, jobs, progress, rollup, store
 
 JOBS = {j.name: j for j in jobs.JOBS}
 
@@ -421,3 +421,42 @@ def test_daily_figures_are_kept_without_reading_again(spark, places, tmp_path):
 def test_figures_of_no_rows(spark):
     empty = spark.createDataFrame([], "sensor_id string, timestamp timestamp_ntz, fill_level double")
     assert kpis.daily_figures(kpis.daily_partials(empty), spark.range(1)).count() == 0
+
+
+def test_what_jobs_did_stays_known_after_they_ended(spark, places, tmp_path):
+    topics, root, checkpoints = places
+    ledger = progress.Ledger()
+    spark.streams.addListener(ledger)
+    runs = []
+
+    def go(name, where=root):
+        job = JOBS[name]
+        messages = streams.file_json(spark, str(topics / job.topic.name))
+        query = jobs.start(messages, job, str(where), str(checkpoints), available_now=True)
+        runs.append(query.runId)
+        return query
+
+    try:
+        send(topics / "sensor_data", "1.json", *[reading(n, fill=n * 5.0) for n in range(20)], "broken")
+        go("sensor_data").awaitTermination()
+        send(topics / "sensor_data", "2.json", *[reading(n) for n in range(20, 25)])
+        go("sensor_data").awaitTermination()
+        go("sensor_alarms").awaitTermination()
+        blocked = tmp_path / "blocked"
+        blocked.write_text("a file where tables should be")
+        send(topics / "bins", "1.json", {"bin_id": "b", "capacity": 60.0})
+        with pytest.raises(Exception):
+            go("bins", blocked).awaitTermination()
+        assert all(ledger.wait_until_over(run) for run in runs)
+    finally:
+        spark.streams.removeListener(ledger)
+    assert not spark.streams.active
+    lines = [line for line in ledger.lines() if line["name"] in ("sensor_data", "sensor_alarms", "bins")]
+    assert [(x["name"], x["state"], x["messages"]) for x in lines] == [
+        ("sensor_data", "ended", 21), ("sensor_data", "ended", 5), ("sensor_alarms", "ended", 26), ("bins", "failed", 0),
+    ]
+    assert lines[-1]["error"] and [x["batches"] for x in lines[:3]] == [1, 1, 1]
+    wrote = progress.batches(spark, str(root), "sensor_data").collect()
+    assert sorted((r.source, r.batch_id, r.rows) for r in wrote) == [("sensor_data", 0, 20), ("sensor_data", 1, 5)]
+    assert [r.rows for r in progress.batches(spark, str(root), "alarms").collect()] == [2]
+    assert progress.batches(spark, str(root), "bins").count() == 0
