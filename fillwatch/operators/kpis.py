@@ -72,9 +72,10 @@ def reading_counts(readings: DataFrame) -> DataFrame:
 
 
 # What a partial row sums, by day and, for stops, by route; ``rows`` are those of other tables.
+# Fill is summed as a decimal, so that figures don't depend on how the rows were grouped.
 SUMS = {
     "rows": "long",
-    "fill_sum": "double",
+    "fill_sum": "decimal(38,10)",
     "fill_n": "long",
     "reports": "long",
     "resolved": "long",
@@ -98,7 +99,7 @@ def _facts(df: DataFrame, when: str, **values: Column) -> DataFrame:
 
 def merged_partials(rows: DataFrame) -> DataFrame:
     """One row per day and route out of several."""
-    return rows.groupBy("date", "route_id").agg(*[F.sum(f).alias(f) for f in SUMS])
+    return rows.groupBy("date", "route_id").agg(*[F.sum(f).cast(t).alias(f) for f, t in SUMS.items()])
 
 
 def daily_partials(
@@ -111,13 +112,14 @@ def daily_partials(
     """What the given rows add to ``daily_figures``: a row per day, and one per day and route.
 
     Partials of disjoint sets of rows are merged by stacking them, so new rows are worked off by
-    themselves. Rows without a time are in no day. The tables are stacked and grouped once: every
-    map task sends one partial row per day, however the days are filled.
+    themselves. Rows without a time are in no day; a fill that is no finite number counts as none.
+    The tables are stacked and grouped once: every map task sends one partial row per day, however
+    the days are filled.
     """
     one = F.lit(1)
     parts: list[DataFrame] = []
     if readings is not None:
-        fill = F.col("fill_level")
+        fill = F.col("fill_level").try_cast(SUMS["fill_sum"])
         parts.append(_facts(readings, "timestamp", rows=one, fill_sum=fill, fill_n=F.when(fill.isNotNull(), 1)))
     if reports is not None:
         waited = (
@@ -170,7 +172,7 @@ def daily_figures(partials: DataFrame, bins: DataFrame) -> DataFrame:
         .filter((F.col("rows") > 0) | F.col("routes").isNotNull())
         .groupBy("date")
         .agg(
-            (F.sum("fill_sum") / F.sum("fill_n")).alias("avg_fill_level"),
+            (F.sum("fill_sum").cast("double") / F.sum("fill_n")).alias("avg_fill_level"),
             number("reports").alias("total_reports"),
             number("resolved").alias("resolved_reports"),
             number("maintenance").alias("maintenance_events_count"),
