@@ -34,13 +34,15 @@ def lowest(rows: DataFrame, group: str, key: str, most: int) -> DataFrame:
 
     Rows whose hash is far from the lowest are dropped where they are read: twice what is wanted
     gets past that, out of however many rows, so the task that ranks a group's rows stays small.
+    Groups are few, a label or a language each, and callers hold a row of each on the driver; the
+    table of their sizes is broadcast, so the drop comes before any rows are shuffled.
     """
     order = Window.partitionBy(group).orderBy("_hash", key)
     sizes = rows.groupBy(F.col(group).alias("_group")).agg(F.count("*").alias("_size"))
     near = F.col("_hash").cast("double") / 2.0**64 + 0.5 <= 2.0 * most / F.col("_size")
     return (
         rows.withColumn("_hash", F.xxhash64(key))
-        .join(sizes, F.col(group) == F.col("_group"))
+        .join(F.broadcast(sizes), F.col(group) == F.col("_group"))
         .filter(near)
         .withColumn("_number", F.row_number().over(order))
         .filter(F.col("_number") <= most)

@@ -3,13 +3,15 @@
 P(grade > k) = logistic(x.w - c_k): one weight for each feature, shared by all ordered thresholds
 c_1 < c_2 < ... The severity of a text is its expected grade, the sum of P(grade > k) over k.
 
-Features are a text's words and their beginnings of 4 to 6 letters, in lower case, each with
-log(1 + its count). Those that documents of a grade above 0 have far more often than others are
-kept; all others have no weight.
+Features are a text's words, without the ASCII marks around them, and their beginnings of 4 to 8
+letters, in lower case, each with log(1 + its count). Those that documents of a grade above 0 have
+more often than chance allows are weighed by the regression, however few documents or languages
+they are from; all others have no weight.
 """
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,39 +23,61 @@ from pyspark.sql import functions as F
 from fillwatch.llm import texts
 from fillwatch.session import settled
 
-#: Labelled documents of each grade that are learned from, at most, and features kept, at most.
-SAMPLE, FEATURES = 6000, 4096
-#: A kept feature is in such a share of the toxic documents and so many times as frequent there as
-#: elsewhere, and follows so many different words in all and for each document that it is in.
-LEAST_SHARE, LIFT, LEAST_CONTEXTS, CONTEXTS = 0.02, 8.0, 3, 0.15
-BEGINNINGS = (4, 5, 6)
-#: The chance of a grade above 0 from which a text counts as toxic.
-LEAST = 0.5
+#: Labelled documents of each label that are learned from, at most.
+SAMPLE = 6000
+#: A kept feature has such a log-likelihood ratio against an equal share of both labels (20 is a
+#: chance of 8e-6), is so many times as frequent in toxic texts as elsewhere, and stands between so
+#: many different pairs of words there, in all and for each text that it is in.
+EVIDENCE, LIFT, LEAST_CONTEXTS, CONTEXTS = 20.0, 2.0, 3, 0.15
+BEGINNINGS = (4, 5, 6, 7, 8)
+#: The chance of a grade above 0 from which a text counts as toxic. Both labels weigh alike in the
+#: fit although toxic texts are the rarer ones, so it is above one half.
+LEAST = 0.8
 SLICE = 1 << 19
 
+_MARKS = np.zeros(0x110000, bool)
+_MARKS[[ord(c) for c in string.punctuation]] = True
 _SPACE = np.zeros(0x110000, bool)
 _SPACE[[ord(c) for c in texts.SPACES]] = True
 
 
+def _bare(code: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words without the marks at their ends; one of marks alone stays as it is."""
+    inner = np.flatnonzero(~(_SPACE[code] | _MARKS[code]))
+    if not len(inner):
+        return start, end
+    low, high = np.searchsorted(inner, start), np.searchsorted(inner, end)
+    any_inner = high > low
+    return (
+        np.where(any_inner, inner[np.minimum(low, len(inner) - 1)], start),
+        np.where(any_inner, inner[np.maximum(high, 1) - 1] + 1, end),
+    )
+
+
 def features(whole: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All features of the texts, occurrence by occurrence: their hashes, their texts, and hashes of
-    the word before (0 for a text's first)."""
+    the two words around (0 where a text begins or ends)."""
     code, at = texts.code_points([t.lower() for t in whole])
-    start, end = texts.runs(~_SPACE[code], at)
+    start, end = _bare(code, *texts.runs(~_SPACE[code], at))
     first = np.searchsorted(start, at)
     owner = np.repeat(np.arange(len(whole)), np.diff(first))
     hasher = texts.Hasher(code)
     word = hasher.spans(start, end)
-    before = np.append(np.zeros(1, texts.U), word)[: len(word)]
-    before[first[:-1][np.diff(first) > 0]] = 0
-    value, of, after = [word], [owner], [before]
+    before, after = np.zeros_like(word), np.zeros_like(word)
+    before[1:] = word[:-1]
+    after[:-1] = word[1:]
+    some = np.diff(first) > 0
+    before[first[:-1][some]] = 0
+    after[first[1:][some] - 1] = 0
+    around = texts.mix(before) + after
+    value, of, company = [word], [owner], [around]
     for length in BEGINNINGS:
         longer = end - start > length
         # a beginning is another feature than a word of the same letters
         value.append(texts.mix(hasher.spans(start[longer], start[longer] + length)))
         of.append(owner[longer])
-        after.append(before[longer])
-    return np.concatenate(value), np.concatenate(of), np.concatenate(after)
+        company.append(around[longer])
+    return np.concatenate(value), np.concatenate(of), np.concatenate(company)
 
 
 @dataclass
@@ -88,7 +112,7 @@ def counted(whole: list[str], kept: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 def fit_ordinal(
     row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, width: int,
-    decay: float = 2e-6, steps: int = 1500, rate: float = 0.1,
+    decay: float = 2e-6, steps: int = 600, rate: float = 0.1,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds by gradient steps (Adam) on the penalised likelihood.
 
@@ -131,13 +155,15 @@ def grades(toxic: np.ndarray, marked: np.ndarray) -> np.ndarray:
     return grade
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FEATURES) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Learns from up to ``sample`` labelled documents of each label, those of lowest hash.
 
     ``labels`` has ``doc_id`` and ``toxic``; of several labels the highest counts, nulls do not.
-    Features are counted on Spark, copies of a text once; to the driver come at most ``keep``
-    features and the few that each sampled text has of them. With no toxic or no other label the
-    model knows no feature and finds nothing toxic.
+    Features are counted on Spark, copies of a text once. To the driver come those that pass
+    ``EVIDENCE`` and the like, none cut off, and how often each sampled text has them: as much as
+    that many texts hold. Labelled ids without a text are left out, so are labels of no document;
+    repeated rows count once; further columns of any name are not read. With no toxic or no other
+    label, as in an empty table, the model knows no feature and finds nothing toxic.
     """
     marked = (
         labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL")
@@ -172,14 +198,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FE
                         }
                     )
 
+    share = size[1] / (size[0] + size[1])
+    total = F.col("toxic") + F.col("clean")
     lift = ((F.col("toxic") + 0.5) / (size[1] + 1)) / ((F.col("clean") + 0.5) / (size[0] + 1))
+    in_clean = F.col("clean") * F.ln(F.col("clean") / (total * (1 - share)))
+    evidence = 2 * (
+        F.col("toxic") * F.ln(F.col("toxic") / (total * share)) + F.when(F.col("clean") > 0, in_clean).otherwise(0.0)
+    )
     best = (
         rows.mapInArrow(present, "feature long, clean long, toxic long")
         .groupBy("feature")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .filter((F.col("toxic") >= LEAST_SHARE * size[1]) & (lift >= LIFT))
-        .orderBy(F.col("toxic").desc(), "feature")
-        .limit(4 * keep)
+        .filter((F.col("toxic") >= LEAST_CONTEXTS) & (lift >= LIFT) & (evidence >= EVIDENCE))
         .select("feature", "toxic")
     )
     best = settled(best, "features")
@@ -190,24 +220,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, keep: int = FE
             whole = batch.column("text").to_pylist()
             at = np.append(0, np.cumsum([len(t) for t in whole]))
             for low, high in texts.slices(at, SLICE):
-                hashed, _, before = features(whole[low:high])
+                hashed, _, around = features(whole[low:high])
                 hit = _among(rough, hashed)[1]
-                pair = np.unique(np.stack([hashed[hit], before[hit]]), axis=1).view(np.int64)
-                yield pa.record_batch({"feature": pa.array(pair[0]), "before": pa.array(pair[1])})
+                pair = np.unique(np.stack([hashed[hit], around[hit]]), axis=1).view(np.int64)
+                yield pa.record_batch({"feature": pa.array(pair[0]), "around": pa.array(pair[1])})
 
     # words of a text that was copied and edited keep their company; what marks toxic texts doesn't
     company = (
         rows.filter("toxic = 1")
         .select("text")
-        .mapInArrow(contexts, "feature long, before long")
+        .mapInArrow(contexts, "feature long, around long")
         .groupBy("feature")
-        .agg(F.countDistinct("before").alias("contexts"))
+        .agg(F.countDistinct("around").alias("contexts"))
     )
     final = (
         best.join(company, "feature")
         .filter((F.col("contexts") >= LEAST_CONTEXTS) & (F.col("contexts") >= CONTEXTS * F.col("toxic")))
-        .orderBy(F.col("contexts").desc(), "feature")
-        .limit(keep)
         .select("feature")
         .toArrow()
     )
@@ -259,8 +287,11 @@ def score(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
     """The severity of each row's whole text.
 
     ``severity`` is the expected grade, ``grade`` the likeliest, and ``toxic`` says whether a grade
-    above 0 has a chance of ``least`` or more. Null and empty texts have no features and get what
-    the thresholds alone say. An empty table gives no rows; only ``doc_id`` and ``text`` are read.
+    above 0 has a chance of ``least`` or more. Where the labels only say toxic or not, grade 2 is a
+    toxic text with more of the model's own features than the median toxic one (``grades``): an
+    amount of marked words, not what a reader said of it. Null and empty texts have no features and get what
+    the thresholds alone say. An empty table gives no rows, a repeated row comes out as often as it
+    is there; only ``doc_id`` and ``text`` are read.
 
     Columns: ``doc_id``, ``severity``, ``grade``, ``toxic``.
     """
@@ -285,7 +316,11 @@ def score(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
 
 
 def reject(docs: DataFrame, model: Model, least: float = LEAST) -> DataFrame:
-    """The rows of ``docs`` that ``score`` does not call toxic, with all their columns."""
+    """The rows of ``docs`` that ``score`` does not call toxic, with all their columns.
+
+    Null and empty texts stay (the thresholds alone speak for them), repeated rows stay or go alike,
+    an empty table stays empty, and further columns of any name come through as they are.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

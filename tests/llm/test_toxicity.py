@@ -1,11 +1,13 @@
 """Ordinal regression on made grades, and held-out labels of the tables."""
 
+import math
 import random
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from fillwatch.llm import toxicity
+from fillwatch.llm import texts, toxicity
 
 DOCS = "doc_id long, text string, toxic string, severity int"
 LABELS = "doc_id long, toxic int, quality int"
@@ -78,13 +80,74 @@ def test_copies_of_a_toxic_text_lend_their_words_no_weight(spark):
     assert not got.toxic
 
 
-def test_labels_of_the_table(spark):
+def test_a_small_share_of_toxic_texts_lends_its_words_weight(spark):
+    docs, labels = made(4, 2000)
+    # a lexicon of its own, in under one in forty of the toxic texts
+    rare = [(5000 + i, f"x{i} gruesom* y{i} z{i}", "x", 1) for i in range(8)]
+    marks = spark.createDataFrame(labels + [(i, 1, 1) for i, *_ in rare], LABELS)
+    unseen = [(6000, "one two GRUESOM three four", "x", 1), (6001, "one two three four", "x", 1)]
+    table = spark.createDataFrame(docs + rare + unseen, DOCS)
+    got = toxicity.score(table, toxicity.fit(table, marks)).filter("doc_id >= 6000").collect()
+    assert {r.doc_id: r.toxic for r in got} == {6000: True, 6001: False}
+
+
+def test_words_lose_the_marks_around_them():
+    bare = toxicity.features(["ab,cd efg", "ab,cd efg"])[0]
+    marked = toxicity.features(["(ab,cd!! *efg*.", '"ab,cd" efg###'])[0]
+    assert sorted(bare.tolist()) == sorted(marked.tolist())
+    alone = toxicity.features(["!!", "", "???"])
+    assert alone[1].tolist() == [0, 2] and len(set(alone[0].tolist())) == 2
+
+
+def test_scores_by_plain_python(spark):
+    docs, labels = made(5, 300)
+    docs += [(900, None, "x", 1), (901, "", "x", 1), (902, "vilest!! Rotten, " * 3000, "x", 1)]
+    table = spark.createDataFrame(docs, DOCS)
+    model = toxicity.fit(table, spark.createDataFrame(labels, LABELS))
+    weight = dict(zip(model.features.tolist(), model.weights.tolist()))
+    hashes = {}  # of a word alone, by the operator; everything else is worked out here
+
+    def of(word):
+        if word not in hashes:
+            hashes[word] = toxicity.features([word])[0].tolist()
+        return hashes[word]
+
+    for r in toxicity.score(table, model).collect():
+        text = next(t for i, t, *_ in docs if i == r.doc_id) or ""
+        n = Counter(f for word in text.lower().split() for f in of(word))
+        total = sum(weight[f] * math.log1p(k) for f, k in n.items() if f in weight)
+        above = [1 / (1 + math.exp(-min(40, max(-40, total - c)))) for c in model.thresholds]
+        assert math.isclose(r.severity, sum(above), rel_tol=1e-9)
+        assert r.toxic == (above[0] >= toxicity.LEAST)
+
+
+def test_held_out_labels_of_the_table_by_language(spark):
     sf = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
-    held = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
-    model = toxicity.fit(docs, labels.filter(~held))
-    right = labels.filter(held).select("doc_id", (F.col("toxic") > 0).alias("wanted"))
-    got = toxicity.score(docs, model).join(right, "doc_id").groupBy("wanted", "toxic").count().collect()
-    n = {(r.wanted, r.toxic): r["count"] for r in got}
-    assert n.get((True, True), 0) > 0.9 * sum(v for k, v in n.items() if k[0])
-    assert n.get((False, True), 0) < 0.01 * sum(v for k, v in n.items() if not k[0])
+    held = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(2)) == 0
+    n = Counter()
+    for unseen in (held, ~held):
+        model = toxicity.fit(docs, labels.filter(~unseen))
+        right = labels.filter(unseen).select("doc_id", (F.col("toxic") > 0).alias("wanted"))
+        scored = toxicity.score(docs, model).join(right, "doc_id").join(docs.select("doc_id", "lang"), "doc_id")
+        for r in scored.filter("lang IS NOT NULL").groupBy("lang", "wanted", "toxic").count().collect():
+            n[r.lang, r.wanted, r.toxic] += r["count"]
+    assert {lang for lang, *_ in n} == {"de", "en", "es", "fr"}
+    for lang in ("de", "en", "es", "fr"):
+        hits, missed = n[lang, True, True], n[lang, True, False]
+        wrong, right = n[lang, False, True], n[lang, False, False]
+        print(lang, hits, hits + missed, wrong, wrong + right)
+        assert hits >= 0.9 * (hits + missed), n
+        assert wrong <= 0.02 * (wrong + right) + 1, n
+
+
+def test_rows_far_from_the_lowest_hash_go_before_the_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(1000).selectExpr("id AS doc_id", "id % 2 AS toxic")
+        chosen = texts.lowest(rows, "toxic", "doc_id", 10)
+        plan = chosen._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        assert chosen.groupBy("toxic").count().collect() and chosen.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
