@@ -31,6 +31,7 @@ FEATURES = (
 )
 RATE_HOURS = (1, 6, 24)
 FORECAST_RATE_HOURS = 12
+BUILD_HOURS = (*RATE_HOURS, FORECAST_RATE_HOURS)
 WIDE_HOURS = 48
 WEEK_HOURS = 7 * 24
 RATE_MIN, RATE_MAX = -1.0, 5.0
@@ -200,6 +201,17 @@ def build(
     nothing more.
     """
     known = with_defaults(_known(readings, as_of, upper_bound))
+    return assemble(known, _recent_aggregates(known, as_of, BUILD_HOURS), as_of, maintenance, bins)
+
+
+def assemble(
+    known: DataFrame,
+    recent: DataFrame,
+    as_of: dt.datetime,
+    maintenance: DataFrame | None = None,
+    bins: DataFrame | None = None,
+) -> DataFrame:
+    """The feature rows out of readings that hold each bin's last ones, and the bins' rates and means."""
     tail = (
         last_readings(known, TREND_READINGS)
         .groupBy("bin_id")
@@ -211,9 +223,7 @@ def build(
             _trend(),
         )
     )
-    hours = (*RATE_HOURS, FORECAST_RATE_HOURS)
-    recent = _recent_aggregates(known, as_of, hours)
-    filled = [f"fill_rate_{h}h" for h in hours] + ["avg_fill_last_week"]
+    filled = [f"fill_rate_{h}h" for h in BUILD_HOURS] + ["avg_fill_last_week"]
     joined = tail.join(recent, "bin_id", "left").fillna(0.0, filled)
     joined = days_since_maintenance(joined, as_of, maintenance, bins)
     moment = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz")

@@ -420,6 +420,9 @@ WHERE maintenance_type = 'emptied' GROUP BY 1""",
     "feature_table": using(
         "features", f"SELECT {FEATURES}, {_round('fill_rate_12h', 6)} FROM features", readings="gaps"
     ),
+    "feature_table_kept": using(
+        "features", f"SELECT {FEATURES}, {_round('fill_rate_12h', 6)} FROM features", readings="gaps"
+    ),
     "forecast_inputs": using(
         "horizons",
         """SELECT bin_id, round(least(100.0, current_fill_level + fill_rate_12h * horizon), 6) AS current_fill_level,
