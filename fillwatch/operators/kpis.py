@@ -88,39 +88,65 @@ SUMS = {
 }
 
 
-def _facts(df: DataFrame, when: str, **values: Column) -> DataFrame:
-    """``df`` projected to the day, the route and what is summed, absent ones null."""
+#: What stops add; every other sum is of a day.
+STOP_SUMS = ("collected", "missed")
+DAY_SUMS = tuple(f for f in SUMS if f not in STOP_SUMS)
+
+
+def _facts(df: DataFrame, when: str, sums: tuple[str, ...] = DAY_SUMS, **values: Column) -> DataFrame:
+    """``df`` projected to the day and what is summed, absent ones null."""
+    keys = [c.alias(k) for k, c in values.items() if k not in SUMS]
     return df.select(
         F.to_date(when).alias("date"),
-        values.get("route_id", F.lit(None)).cast("string").alias("route_id"),
-        *[values.get(f, F.lit(None)).cast(t).alias(f) for f, t in SUMS.items()],
+        *keys,
+        *[values.get(f, F.lit(None)).cast(SUMS[f]).alias(f) for f in sums],
     ).filter(F.col("date").isNotNull())
 
 
-def merged_partials(rows: DataFrame) -> DataFrame:
-    """One row per day and route out of several."""
-    return rows.groupBy("date", "route_id").agg(*[F.sum(f).cast(t).alias(f) for f, t in SUMS.items()])
+def _summed(rows: DataFrame, sums: tuple[str, ...], *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(*[F.sum(f).cast(SUMS[f]).alias(f) for f in sums])
 
 
-def daily_partials(
-    readings: DataFrame | None = None,
-    reports: DataFrame | None = None,
-    maintenance: DataFrame | None = None,
-    alarms: DataFrame | None = None,
-    routes: DataFrame | None = None,
-) -> DataFrame:
-    """What the given rows add to ``daily_figures``: a row per day, and one per day and route.
+def _merged_days(rows: DataFrame) -> DataFrame:
+    """One row of ``DAY_SUMS`` per day with rows of tables other than stops."""
+    return _summed(rows.filter(F.col("rows") > 0), DAY_SUMS, "date")
 
-    Partials of disjoint sets of rows are merged by stacking them, so new rows are worked off by
-    themselves. Rows without a time are in no day; a fill that is no finite number counts as none.
-    The tables are stacked and grouped once: every map task sends one partial row per day, however
-    the days are filled.
+
+def _merged_stops(rows: DataFrame) -> DataFrame:
+    """One row of ``STOP_SUMS`` per day and route.
+
+    Almost every stop of a day is of another route, so a task's table of groups is nearly as long
+    as its rows: they carry no other sums.
     """
+    known = F.coalesce(*STOP_SUMS).isNotNull()
+    return _summed(rows.filter(known), STOP_SUMS, "date", "route_id")
+
+
+def _stacked(days: DataFrame | None, stops: DataFrame | None) -> DataFrame:
+    """Both kinds of partial rows in the columns of the stored ones."""
+    parts = [df for df in (days, stops) if df is not None]
+    kinds = {"date": "date", "route_id": "string", **SUMS}
+    return reduce(
+        DataFrame.unionByName,
+        [df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in kinds.items()]) for df in parts],
+    )
+
+
+def merged_partials(rows: DataFrame) -> DataFrame:
+    """One row per day, and one per day and route, out of several."""
+    return _stacked(_merged_days(rows), _merged_stops(rows))
+
+
+def _day_partials(
+    readings: DataFrame | None, reports: DataFrame | None, maintenance: DataFrame | None, alarms: DataFrame | None
+) -> DataFrame | None:
     one = F.lit(1)
     parts: list[DataFrame] = []
     if readings is not None:
         fill = F.col("fill_level").try_cast(SUMS["fill_sum"])
-        parts.append(_facts(readings, "timestamp", rows=one, fill_sum=fill, fill_n=F.when(fill.isNotNull(), 1)))
+        parts.append(
+            _facts(readings, "timestamp", rows=one, fill_sum=fill, fill_n=F.when(fill.isNotNull(), 1))
+        )
     if reports is not None:
         waited = (
             F.unix_micros(F.col("resolved_timestamp").cast("timestamp"))
@@ -141,35 +167,51 @@ def daily_partials(
         parts.append(_facts(maintenance, "event_timestamp", rows=one, maintenance=one))
     if alarms is not None:
         parts.append(_facts(alarms, "triggered_at", rows=one, alarms=one))
-    if routes is not None:
-        status = F.col("collection_status")
-        parts.append(
-            _facts(
-                routes,
-                "service_date",
-                route_id=F.col("route_id"),
-                collected=F.when(status == "collected", 1),
-                missed=F.when(status != "collected", 1),
-            )
+    return _summed(reduce(DataFrame.unionByName, parts), DAY_SUMS, "date") if parts else None
+
+
+def _stop_partials(routes: DataFrame) -> DataFrame:
+    status = F.col("collection_status")
+    return _merged_stops(
+        _facts(
+            routes,
+            "service_date",
+            STOP_SUMS,
+            route_id=F.col("route_id").cast("string"),
+            collected=F.when(status == "collected", 1),
+            missed=F.when(status != "collected", 1),
         )
-    if not parts:
-        raise ValueError("no table is given")
-    return merged_partials(reduce(DataFrame.unionByName, parts))
+    )
 
 
-def daily_figures(partials: DataFrame, bins: DataFrame) -> DataFrame:
-    """One row of figures per day out of the partials of all rows, stacked in any grouping.
+def daily_partials(
+    readings: DataFrame | None = None,
+    reports: DataFrame | None = None,
+    maintenance: DataFrame | None = None,
+    alarms: DataFrame | None = None,
+    routes: DataFrame | None = None,
+) -> DataFrame:
+    """What the given rows add to ``daily_figures``: a row per day, and one per day and route.
 
-    A route counts as completed on a day when all its stops of that day were collected. A day that
-    has only routes that were not has no figures.
+    Partials of disjoint sets of rows are merged by stacking them, so new rows are worked off by
+    themselves. Rows without a time are in no day, stops without a status in no row; a fill that is
+    no finite number counts as none. The tables but stops are stacked and grouped once: every map
+    task sends one partial row per day, however the days are filled.
     """
-    done = F.when((F.col("collected") > 0) & (F.coalesce("missed", F.lit(0)) == 0), 1)
+    days = _day_partials(readings, reports, maintenance, alarms)
+    if days is None and routes is None:
+        raise ValueError("no table is given")
+    return _stacked(days, None if routes is None else _stop_partials(routes))
+
+
+def _figures(days: DataFrame, stops: DataFrame, bins: DataFrame) -> DataFrame:
+    """The figures out of one row per day and one per day and route."""
+    done = stops.filter((F.col("collected") > 0) & (F.coalesce("missed", F.lit(0)) == 0))
+    completed = done.groupBy("date").agg(F.count("*").alias("routes"))
     number = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("int")
     fleet = bins.agg(F.count("*").cast("int")).scalar()
     return (
-        merged_partials(partials)
-        .withColumn("routes", done)
-        .filter((F.col("rows") > 0) | F.col("routes").isNotNull())
+        days.unionByName(completed, allowMissingColumns=True)
         .groupBy("date")
         .agg(
             (F.sum("fill_sum").cast("double") / F.sum("fill_n")).alias("avg_fill_level"),
@@ -195,6 +237,15 @@ def daily_figures(partials: DataFrame, bins: DataFrame) -> DataFrame:
     )
 
 
+def daily_figures(partials: DataFrame, bins: DataFrame) -> DataFrame:
+    """One row of figures per day out of the partials of all rows, stacked in any grouping.
+
+    A route counts as completed on a day when all its stops of that day were collected. A day that
+    has only routes that were not has no figures.
+    """
+    return _figures(_merged_days(partials), _merged_stops(partials), bins)
+
+
 def daily_rollup(
     bins: DataFrame,
     readings: DataFrame,
@@ -204,4 +255,4 @@ def daily_rollup(
     routes: DataFrame,
 ) -> DataFrame:
     """One row of figures per day, each table counted by its own time."""
-    return daily_figures(daily_partials(readings, reports, maintenance, alarms, routes), bins)
+    return _figures(_day_partials(readings, reports, maintenance, alarms), _stop_partials(routes), bins)

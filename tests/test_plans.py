@@ -1,5 +1,7 @@
 """The shape of physical plans: what must hold at any scale."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -92,3 +94,12 @@ def test_readings_are_never_joined_by_their_bin_alone(spark, small, name):
         output = join.left().output()
         sides = {output.apply(i).name() for i in range(output.size())}
         assert "sensor_id" not in sides and "probe" not in sides or " AND " in on, on
+
+
+@pytest.mark.parametrize("name", ["daily_rollup", "performance_parse"])
+def test_stops_are_grouped_once_and_carry_their_own_sums_only(spark, small, name):
+    """Nearly every stop is a group of its own: what a task holds is groups times their sums."""
+    text = plan(entry.queries()[name](spark, small))
+    by_route = [line for line in text.splitlines() if re.search(r"Aggregate\(keys=\[[^\]]*route_id#", line)]
+    assert len(by_route) == 2  # before and after the shuffle
+    assert all("fill_sum" not in line and "response_sum" not in line for line in by_route)
