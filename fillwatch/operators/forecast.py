@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
@@ -12,7 +13,7 @@ from pyspark.sql.window import Window
 
 from fillwatch.functions import levels
 from fillwatch.operators.features import FEATURES, FORECAST_RATE_HOURS
-from fillwatch.operators.training import HORIZONS
+from fillwatch.operators.training import HORIZONS, forests
 from fillwatch.session import shared_dir
 
 TEMPERATURE_NOISE, HUMIDITY_NOISE = 0.5, 2.0
@@ -55,14 +56,18 @@ def horizon_features(
 def leaf_values(spark: SparkSession, model: PipelineModel, path: str | None = None) -> DataFrame:
     """One row, ``leaf_values[tree][leaf]``, in the numbering of the model's leaf column.
 
-    Read back from the saved model. Its size is bounded by trees times 2^depth doubles:
+    Read back from the saved forests. Its size is bounded by trees times 2^depth doubles:
     200 trees of depth 10 stay under 2 MB.
     """
     path = path or shared_dir(spark, "forest")
-    model.stages[-1].write().overwrite().save(path)
+    nodes, first = [], 0
+    for i, forest in enumerate(forests(model)):
+        forest.write().overwrite().save(f"{path}/{i}")
+        nodes.append(spark.read.parquet(f"{path}/{i}/data").withColumn("treeID", F.col("treeID") + first))
+        first += forest.getNumTrees
     leaf = F.struct("nodeData.id", "nodeData.prediction")
     per_tree = (
-        spark.read.parquet(f"{path}/data")
+        reduce(DataFrame.unionByName, nodes)
         .filter("nodeData.leftChild < 0")
         .groupBy("treeID")
         .agg(F.transform(F.array_sort(F.collect_list(leaf)), lambda s: s["prediction"]).alias("v"))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.regression import RandomForestRegressor
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,11 @@ WARMUP = 24
 TREES, DEPTH, SEED = 200, 10, 42
 TRAIN_TENTHS = 8
 
+#: Spark's forest keeps, for each example and tree, how often it is drawn and where it is: some 16
+#: bytes. ``PAIRS`` of them are held at once; more trees than that are grown in turn. A task has no
+#: more than about ``TASK_PAIRS`` and ``TASK_ROWS`` examples.
+PAIRS, TASK_PAIRS, TASK_ROWS = 1 << 28, 1 << 23, 1 << 19
+
 EXAMPLE_KEY = ("bin_id", "sensor_id", "timestamp")
 
 
@@ -123,33 +129,79 @@ def split(rows: DataFrame, seed: int = SEED) -> DataFrame:
     return rows.withColumn("is_train", tenth < TRAIN_TENTHS)
 
 
+def _scaling() -> list:
+    return [
+        VectorAssembler(inputCols=list(FEATURES), outputCol="raw_features"),
+        StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
+    ]
+
+
+def _forest(trees: int, depth: int, seed: int) -> RandomForestRegressor:
+    return RandomForestRegressor(
+        featuresCol="features",
+        labelCol="label",
+        numTrees=trees,
+        maxDepth=depth,
+        minInstancesPerNode=2,
+        featureSubsetStrategy="sqrt",
+        seed=seed,
+        leafCol="leaves",
+        cacheNodeIds=True,
+    )
+
+
 def pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Pipeline:
     """Assemble, standardise, forest. At least two rows per leaf stands in for the
     least split of five, which Spark's trees do not know."""
-    return Pipeline(
-        stages=[
-            VectorAssembler(inputCols=list(FEATURES), outputCol="raw_features"),
-            StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
-            RandomForestRegressor(
-                featuresCol="features",
-                labelCol="label",
-                numTrees=trees,
-                maxDepth=depth,
-                minInstancesPerNode=2,
-                featureSubsetStrategy="sqrt",
-                seed=seed,
-                leafCol="leaves",
-                cacheNodeIds=True,
-            ),
-        ]
-    )
+    return Pipeline(stages=[*_scaling(), _forest(trees, depth, seed)])
 
 
 def fit(
-    train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED
+    train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED, pairs: int = PAIRS
 ) -> PipelineModel | None:
-    """The fitted pipeline; none where there is nothing to learn from."""
-    return None if train.isEmpty() else pipeline(trees, depth, seed).fit(train)
+    """The fitted pipeline; none where there is nothing to learn from.
+
+    Every tree draws from all examples. Where examples times trees are more than ``pairs``, the
+    trees are grown some at a time, each time from a seed of its own, and the pipeline holds
+    several forests whose trees count alike: what is held at once does not grow with the trees.
+    """
+    rows = train.count()
+    if not rows:
+        return None
+    turns = min(trees, -(-rows * trees // pairs))
+    if turns == 1:
+        return pipeline(trees, depth, seed).fit(train)
+    return _in_turns(train, rows, trees, depth, seed, turns)
+
+
+def _in_turns(train: DataFrame, rows: int, trees: int, depth: int, seed: int, turns: int) -> PipelineModel:
+    scaling = Pipeline(stages=_scaling()).fit(train)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    tasks = max(cores, -(-rows * trees // (turns * TASK_PAIRS)), -(-rows // TASK_ROWS))
+    key = [*EXAMPLE_KEY, "horizon"]
+    # each turn passes over the examples several times: they are scaled, dealt out and ordered once
+    scaled = (
+        scaling.transform(train.repartition(tasks, *key).sortWithinPartitions(*key))
+        .select("features", "label")
+        .persist(StorageLevel.DISK_ONLY)
+    )
+    ends = [trees * i // turns for i in range(turns + 1)]
+    sizes = [high - low for low, high in zip(ends, ends[1:])]
+    grown = [
+        _forest(size, depth, seed + i).setPredictionCol(f"prediction_{i}").setLeafCol(f"leaves_{i}").fit(scaled)
+        for i, size in enumerate(sizes)
+    ]
+    scaled.unpersist()
+    leaves = VectorAssembler(inputCols=[f"leaves_{i}" for i in range(turns)], outputCol="leaves")
+    mean = " + ".join(f"{size} * prediction_{i}" for i, size in enumerate(sizes))
+    parts = ", ".join(f"prediction_{i}, leaves_{i}" for i in range(turns))
+    joint = SQLTransformer(statement=f"SELECT * EXCEPT ({parts}), ({mean}) / {trees} AS prediction FROM __THIS__")
+    return PipelineModel([*scaling.stages, *grown, leaves, joint])
+
+
+def forests(model: PipelineModel) -> list[RandomForestRegressionModel]:
+    """The forests of a fitted pipeline, in the order of their trees in its leaf column."""
+    return [stage for stage in model.stages if isinstance(stage, RandomForestRegressionModel)]
 
 
 def evaluate(model: PipelineModel | None, test: DataFrame) -> DataFrame:
@@ -167,8 +219,12 @@ def evaluate(model: PipelineModel | None, test: DataFrame) -> DataFrame:
 
 def importances(model: PipelineModel | None, test: DataFrame) -> DataFrame:
     """One row per feature and its importance, null without a model."""
-    known = [None] * len(FEATURES) if model is None else model.stages[-1].featureImportances.toArray()
-    weights = [None if w is None else float(w) for w in known]
+    weights: list[float | None] = [None] * len(FEATURES)
+    if model is not None:
+        grown = forests(model)
+        trees = sum(forest.getNumTrees for forest in grown)
+        each = [forest.featureImportances.toArray() * (forest.getNumTrees / trees) for forest in grown]
+        weights = [float(w) for w in sum(each)]
     return test.sparkSession.createDataFrame(
         list(zip(FEATURES, weights)), "feature string, importance double"
     )

@@ -70,6 +70,28 @@ def test_forecasts_repeat_unless_shaken(spark, fitted, served):
     assert shaken.filter("humidity < 0 OR humidity > 100").count() == 0
 
 
+def test_trees_grown_in_turns_are_one_forest(spark, fitted, served):
+    """With room for a third of the trees at once, all of them count, in one order everywhere."""
+    _, test = fitted
+    train = settled(training.split(queries._examples(spark, SF, "row"))).filter("is_train")
+    model = training.fit(train, trees=5, depth=4, pairs=2 * train.count())
+    grown = training.forests(model)
+    assert [f.getNumTrees for f in grown] == [1, 2, 2]
+    trees = [t for f in grown for t in f.trees]
+    values = forecast.leaf_values(spark, model).first()["leaf_values"]
+    assert len(values) == 5
+    rows = model.transform(test).limit(50).collect()
+    for row in rows:
+        each = [t.predict(row["features"]) for t in trees]
+        assert row["prediction"] == pytest.approx(sum(each) / 5)
+        assert [v[int(leaf)] for v, leaf in zip(values, row["leaves"])] == pytest.approx(each)
+    weights = [r.importance for r in training.importances(model, test).collect()]
+    assert weights == pytest.approx(np.mean([t.featureImportances.toArray() for t in trees], axis=0), abs=1e-9)
+    assert training.evaluate(model, test).first().mae < 40
+    assert forecast.predict(model, served).filter("predicted_fill IS NULL").isEmpty()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
 def test_errors_and_importances(spark, fitted):
     model, test = fitted
     got = training.evaluate(model, test).first()
