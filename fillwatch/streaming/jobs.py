@@ -171,14 +171,14 @@ def run(spark: SparkSession, root: str, checkpoints: str, **options: str) -> Non
     ledger = progress.Ledger()
     spark.streams.addListener(ledger)
     try:
-        started = start_all(spark, root, checkpoints, lambda s, topic: sources.kafka_json(s, topic, **options))
+        start_all(spark, root, checkpoints, lambda s, topic: sources.kafka_json(s, topic, **options))
         for line in status(spark):
             logger.info("%s", line)
         try:
             await_any(spark)
         finally:
-            for query in started:
-                ledger.wait_until_over(query.runId)
+            for run_id in ledger.runs():
+                ledger.wait_until_over(run_id)
             for line in ledger.lines():
                 logger.info("%s", line)
     finally:

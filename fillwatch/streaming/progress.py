@@ -64,6 +64,11 @@ class Ledger(StreamingQueryListener):
         with self._changed:
             return [asdict(line) for line in self._lines.values()]
 
+    def runs(self) -> list[str]:
+        """The runs that started; Spark tells of a start before it returns from it."""
+        with self._changed:
+            return list(self._lines)
+
     def wait_until_over(self, run_id: str, seconds: float = 30) -> bool:
         """Whether word came within that time that this run is over."""
         with self._changed:
