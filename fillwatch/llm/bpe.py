@@ -20,6 +20,7 @@ import unicodedata
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +49,11 @@ WordCoder = Callable[[list[bytes]], list[list[int]]]
 
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
+    named = "".join(map(unicodedata.category, map(chr, range(0x110000)))).encode()  # two letters each
+    major = np.frombuffer(named, np.uint8)[::2]
     kind = np.zeros(0x110000, np.uint8)
-    for code in range(0x110000):
-        major = unicodedata.category(chr(code))[0]
-        if major == "L":
-            kind[code] = _LETTER
-        elif major == "N":
-            kind[code] = _NUMBER
+    kind[major == ord("L")] = _LETTER
+    kind[major == ord("N")] = _NUMBER
     kind[list(_SPACE)] = _WHITE
     return kind
 
@@ -431,21 +430,26 @@ class Memory:
         if len(self.young) >= self.most:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        new = []
-        for word in words:
-            if word not in young:
-                ids = old.get(word)
-                if ids is None:
-                    new.append(word)
-                else:
-                    young[word] = ids
-        new = list(dict.fromkeys(new))
+        missing = dict.fromkeys([w for w in words if w not in young])
+        again = {w: old[w] for w in missing if w in old}
+        young.update(again)
+        new = [w for w in missing if w not in again]
         young.update(zip(new, code(new)))
         return [young[w] for w in words]
 
 
-#: What this worker's tasks have met, by the name of the coder and the width of its ids.
-_MEMORIES: dict[tuple[str, int], Memory] = {}
+#: What this worker's tasks have met and its coders, by the name of the coder and the width of its ids.
+_MEMORIES: dict[tuple[str, int], tuple[Memory, WordCoder]] = {}
+
+
+def _remembered(coder: Callable[[], WordCoder], name: str, width: int) -> tuple[Memory, WordCoder]:
+    """The memory and the coder of this worker. Tasks reach them by a function of this module: what
+    a task's own function names is sent along with it, a fresh copy for each task."""
+    if not name:
+        return Memory(REMEMBERED), coder()
+    if (name, width) not in _MEMORIES:
+        _MEMORIES[name, width] = Memory(REMEMBERED), coder()
+    return _MEMORIES[name, width]
 
 
 def added_spans(own: list[str], begin: np.ndarray, added: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -461,38 +465,32 @@ def added_spans(own: list[str], begin: np.ndarray, added: Sequence[str]) -> tupl
     return both[:, 0], both[:, 1]
 
 
-def encode_in_place(
-    docs: DataFrame,
+Batches = Iterator[pa.RecordBatch]
+
+
+def encoder_in_place(
     coder: Callable[[], WordCoder],
     width: int = 4,
     added: Sequence[str] = (),
     name: str = "",
-) -> DataFrame:
-    """``doc_id`` and ``packed`` as ``encode`` gives them, row by row in the order of ``docs``.
+) -> Callable[[Batches], Batches]:
+    """What ``encode_in_place`` does in a task: batches of ``doc_id`` and ``text`` in, ``doc_id`` and ``packed`` out.
 
-    Each place where a string of ``added`` stands is one word for the coder, and the text before
-    and after it is cut into words as a text of its own.
-
-    Nothing is shuffled: each task encodes the words that it has not met before, and with a
-    ``name``, which must tell the coder from all others, that its Python worker has not met. For
-    texts that must stay where they are, such as sorted ones; ``encode`` encodes a word once in all.
+    For tasks that go on with the ids themselves, so that no second worker has to get them.
     """
     kind = {2: "<u2", 4: "<u4"}[width]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        to_ids = coder()
-        memory = _MEMORIES.setdefault((name, width), Memory(REMEMBERED)) if name else Memory(REMEMBERED)
+    def work(batches: Batches) -> Batches:
+        memory, to_ids = _remembered(coder, name, width)
 
         def coded_bytes(words: list[str]) -> list[bytes]:
             ids = to_ids([w.encode() for w in words])
-            flat = np.array([i for own in ids for i in own], np.int64)
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
             if len(flat) and int(flat.max()) >= 1 << (8 * width):
                 raise ValueError(f"an id of {int(flat.max())} does not fit into {width} bytes")
-            data, out, at = flat.astype(kind).tobytes(), [], 0
-            for own in ids:
-                out.append(data[at : at + width * len(own)])
-                at += width * len(own)
-            return out
+            data = flat.astype(kind).tobytes()
+            end = (np.cumsum([len(own) for own in ids], dtype=np.int64) * width).tolist()
+            return [data[a:b] for a, b in zip([0, *end], end)]
 
         for batch in batches:
             for low, high, own in texts.pieces(batch.column("text"), 2 * SLICE):
@@ -518,6 +516,26 @@ def encode_in_place(
                     }
                 )
 
+    return work
+
+
+def encode_in_place(
+    docs: DataFrame,
+    coder: Callable[[], WordCoder],
+    width: int = 4,
+    added: Sequence[str] = (),
+    name: str = "",
+) -> DataFrame:
+    """``doc_id`` and ``packed`` as ``encode`` gives them, row by row in the order of ``docs``.
+
+    Each place where a string of ``added`` stands is one word for the coder, and the text before
+    and after it is cut into words as a text of its own.
+
+    Nothing is shuffled: each task encodes the words that it has not met before, and with a
+    ``name``, which must tell the coder from all others, that its Python worker has not met. For
+    texts that must stay where they are, such as sorted ones; ``encode`` encodes a word once in all.
+    """
+    work = encoder_in_place(coder, width, added, name)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, "doc_id long, packed binary")
 
 

@@ -111,7 +111,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str, path: str | None = None) -
     coder, added = tokens.library_coder(spark, path), tokens.added_tokens(path)
     folder = shared_dir(spark, "token-files")
     name = tokens.name_of(path)
-    runs = tokens.write(docs, folder, lambda d: bpe.encode_in_place(d, coder, 2, added, name), end=2, width=2)
+    runs = tokens.write(docs, folder, end=2, width=2, encoder=bpe.encoder_in_place(coder, 2, added, name))
     buckets = tokens.buckets_of(runs)
     index = settled(tokens.index(runs, buckets), "token-index")
     files = settled(tokens.files_of(runs), "token-files")

@@ -38,14 +38,45 @@ FOOTER, MAGIC = "<8sIIQQ", b"FWTOKENS"
 BUCKET_KEYS = 1 << 16
 #: Bit field places for each key of a level, and bytes of ids read at once.
 SPARSE, READ = 2, 1 << 23
+#: Up to this character, Python and the library know the same letters, numbers and blanks. Fixed value.
+SURE = 0x7FF
 
 _RUNS = "doc_id long, file string, shard int, record long, records long, tokens long"
 
 
+def _byte_letters() -> np.ndarray:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    letters = np.zeros(256, "<u2")
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = np.setdiff1d(np.arange(256), own)
+    letters[own], letters[rest] = own, 256 + np.arange(len(rest))
+    return letters
+
+
+def _is_byte_level(file: dict) -> bool:
+    """Whether the library does nothing to a word of ``bpe.PATTERN`` but write its bytes as letters and merge."""
+    before = file.get("pre_tokenizer") or {}
+    return (
+        file.get("normalizer") is None
+        and file["model"].get("type") == "BPE"
+        and before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not before.get("add_prefix_space", True)
+    )
+
+
 def library_coder(spark: SparkSession, path: str) -> Callable[[], bpe.WordCoder]:
-    """A coder of words by a tokenizer file of the tokenizers library, for ``bpe.encode``."""
+    """A coder of words by a tokenizer file of the tokenizers library, for ``bpe.encode``.
+
+    Where the file is plain byte-level BPE, words go to the library's model as they are: cutting a
+    word that is cut already and making an encoding of each took more time than the merges. Words of
+    characters above ``SURE``, or that hold an added token, take the library's whole way.
+    """
     with open(path, encoding="utf-8") as file:
-        shared = spark.sparkContext.broadcast(file.read())
+        text = file.read()
+    shared = spark.sparkContext.broadcast(text)
+    plain = _is_byte_level(json.loads(text))
+    added = [token["content"].encode() for token in json.loads(text).get("added_tokens") or []]
 
     def coder() -> bpe.WordCoder:
         import os
@@ -54,10 +85,30 @@ def library_coder(spark: SparkSession, path: str) -> Callable[[], bpe.WordCoder]
         from tokenizers import Tokenizer
 
         known = Tokenizer.from_str(shared.value)
-        return lambda words: [
-            e.ids
-            for e in known.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
-        ]
+
+        def whole(words: list[bytes]) -> list[list[int]]:
+            shown = [w.decode() for w in words]
+            return [e.ids for e in known.encode_batch_fast(shown, add_special_tokens=False)]
+
+        letters, tokenize, sure = _byte_letters(), known.model.tokenize, chr(SURE).encode()[0]
+
+        def merged(words: list[bytes]) -> list[list[int]]:
+            data = b"".join(words)
+            raw = np.frombuffer(data, np.uint8)
+            end = np.cumsum([len(w) for w in words], dtype=np.int64)
+            odd = set(np.searchsorted(end, np.flatnonzero(raw > sure), "right").tolist())
+            if any(a in data for a in added):
+                odd.update(i for i, w in enumerate(words) if any(a in w for a in added))
+            shown = letters[raw].tobytes().decode("utf-16-le")
+            cut = end.tolist()
+            ids = [[t.id for t in tokenize(shown[a:b])] for a, b in zip([0, *cut], cut)]
+            if odd:
+                at = sorted(odd)
+                for i, own in zip(at, whole([words[i] for i in at])):
+                    ids[i] = own
+            return ids
+
+        return merged if plain else whole
 
     return coder
 
@@ -87,14 +138,17 @@ def _place(path: str) -> tuple[fs.FileSystem, str]:
 def write(
     docs: DataFrame,
     path: str,
-    encode: Callable[[DataFrame], DataFrame],
+    encode: Callable[[DataFrame], DataFrame] | None = None,
     end: int | None = None,
     width: int = 4,
+    encoder: Callable[[bpe.Batches], bpe.Batches] | None = None,
 ) -> DataFrame:
     """Writes the ids of each row's text to files under ``path`` and returns what is where.
 
     ``docs`` has ``doc_id`` and ``text``; ``encode`` gives ``doc_id`` and ``packed``, ids of
-    ``width`` bytes each, for rows in their order (``bpe.encode_in_place``). Records are in
+    ``width`` bytes each, for rows in their order (``bpe.encode_in_place``); an ``encoder`` in its place
+    does so in the tasks that write (``bpe.encoder_in_place``), with one Python worker each and not two.
+    Records are in
     ascending ``doc_id``, null last; rows of one ``doc_id`` are records of their own. ``end`` is
     appended to each. A file is named after its task's attempt, so a repeated task leaves an unused
     file and never a broken one.
@@ -104,13 +158,19 @@ def write(
     """
     kind = {2: "<u2", 4: "<u4"}[width]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: bpe.Batches) -> bpe.Batches:
+        for batch in batches:
+            key = batch.column("doc_id")
+            columns = [key, batch.column("packed"), key.fill_null(0), key.is_null().cast(pa.int8())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "packed", "shown", "missing"])
+
+    def work(batches: bpe.Batches) -> bpe.Batches:
         task = TaskContext.get()
         shard = task.partitionId()
         store, folder = _place(path)
         name = f"shard-{shard:06d}-{task.taskAttemptId()}.ids"
         starts, done, first_record, out = [], 0, 0, None
-        for table, cut in complete_runs(batches, ["shown", "missing"]):
+        for table, cut in complete_runs(keyed(encoder(batches) if encoder else batches), ["shown", "missing"]):
             if out is None:
                 store.create_dir(folder, recursive=True)
                 out = store.open_output_stream(f"{folder}/{name}")
@@ -145,17 +205,8 @@ def write(
         .repartitionByRange(*order)
         .sortWithinPartitions(*order)
     )
-    return settled(
-        encode(ordered)
-        .select(
-            "doc_id",
-            "packed",
-            F.coalesce("doc_id", F.lit(0)).alias("shown"),
-            F.col("doc_id").isNull().cast("int").alias("missing"),
-        )
-        .mapInArrow(work, _RUNS),
-        "tokens",
-    )
+    rows = ordered if encoder else encode(ordered).select("doc_id", "packed")
+    return settled(rows.mapInArrow(work, _RUNS), "tokens")
 
 
 def _hash(keys: np.ndarray, seed: int) -> np.ndarray:

@@ -118,3 +118,54 @@ def test_tasks_of_a_worker_share_what_they_remember_by_name(spark):
         for r in bpe.encode_in_place(docs, coder, 2, name=name).collect():
             ids = struct.unpack(f"<{len(r.packed) // 2}H", r.packed)
             assert ids == (3, last, 4, last, len(str(r.doc_id)) + 1, last)
+
+
+def test_tasks_of_a_worker_keep_words_and_coder(spark, tmp_path):
+    """As many calls as tasks, and a word in common is met anew once by a worker at most."""
+    docs = spark.createDataFrame([(i, f"common{i % 2}") for i in range(64)], "doc_id long, text string").repartition(32)
+
+    def coder():
+        import os
+
+        def code(words):
+            with open(f"{tmp_path}/{os.getpid()}", "a") as said:
+                said.write("".join(f"{w.decode()}\n" for w in words))
+            return [[1] for _ in words]
+
+        with open(f"{tmp_path}/{os.getpid()}-made", "a") as said:
+            said.write("x")
+        return code
+
+    assert bpe.encode_in_place(docs, coder, 2, name=f"{tmp_path}").count() == 64
+    made = list(tmp_path.glob("*-made"))
+    assert made and all(m.read_text() == "x" for m in made)
+    for said in tmp_path.iterdir():
+        words = said.read_text().split()
+        assert len(words) == len(set(words))
+
+
+def test_words_of_any_bytes_are_as_the_library_has_them(spark):
+    """The coder goes to the library's model for most words; its ids are those of the whole library."""
+    path = P.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    odd = ["Ᲊa", "a\U000105c0", "中文", "\U0001f600!", "<|endoftext|>", "a<|endoftext|>b", "߿", "ࠀ"]
+    words = [*map(chr, range(0x900)), " café", "привет", " αβ", "'ll", "\n\n", "x" * 3000, *odd]
+    want = [e.ids for e in library.encode_batch(words, add_special_tokens=False)]
+    code = tokens.library_coder(spark, path)()
+    assert code([w.encode() for w in words]) == want and code([]) == []
+
+
+def test_ids_are_written_where_they_are_made(spark, small, tmp_path):
+    """With an encoder, texts go through one Python step a task; the files are the same."""
+    docs = spark.createDataFrame([(i % 7 or None, f"w{i} a b" * (i % 3)) for i in range(60)], "doc_id long, text string")
+    coder = tokens.library_coder(spark, P.path("byte_bpe_50k.json"))
+    a, b = shared_dir(spark, "test"), shared_dir(spark, "test")
+    one = tokens.write(docs, a, end=2, width=2, encoder=bpe.encoder_in_place(coder, 2))
+    two = tokens.write(docs, b, lambda d: bpe.encode_in_place(d, coder, 2), end=2, width=2)
+    assert sorted(map(str, one.drop("file").collect())) == sorted(map(str, two.drop("file").collect()))
+
+    def ids(runs, folder):
+        asked = tokens.read(runs.select("doc_id", "shard", "record", "records"), runs.select("shard", "file").distinct(), folder)
+        return sorted(map(str, asked.collect()))
+
+    assert ids(one, a) == ids(two, b)
