@@ -17,10 +17,11 @@ import hashlib
 import io
 import uuid
 import zlib
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from typing import BinaryIO
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,8 @@ MAIN, ATTACHED = ("response", "revisit", "resource"), ("request", "metadata")
 FILE, BATCH = 1 << 30, 1 << 23
 #: Records attached to one row of a capture; those of a larger capture go on in further rows.
 ATTACH = 1 << 12
+#: Payloads held at once of those that are read beside their records.
+ROWS = 32
 SALTS = 64
 
 _KINDS = ("main", "request", "metadata")
@@ -74,10 +77,15 @@ def _line(value: Column) -> Column:
     return F.replace(F.replace(value, F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
 
 
-def record(fields: dict[str, Column], block: Column) -> Column:
-    """A record for ``write``: named fields, null ones left out, and its block."""
+def record(fields: dict[str, Column], block: Column, more: Column | None = None) -> Column:
+    """A record for ``write``: named fields, null ones left out, and its block.
+
+    ``more`` is the bytes of a payload that ``write`` adds to the block, null for none.
+    """
     named = [F.concat(F.lit(f"{name}: "), _line(value)) for name, value in fields.items()]
-    size = F.concat(F.lit("Content-Length: "), F.octet_length(block).cast("string"))
+    own = F.octet_length(block)
+    bytes_ = own if more is None else own + F.coalesce(more, F.lit(0))
+    size = F.concat(F.lit("Content-Length: "), bytes_.cast("string"))
     return F.struct(
         F.concat_ws("\r\n", F.lit(VERSION), *named, size).alias("head"), block.alias("block")
     )
@@ -104,9 +112,14 @@ def numbered(pages: DataFrame) -> DataFrame:
     )
 
 
-def transactions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
+def transactions(pages: DataFrame, least_bytes: int = 0, apart: int | None = None) -> DataFrame:
     """The records of each row of ``numbered`` pages that have been written, for ``write``.
 
+    With ``apart``, payloads stay in the files that ``pages`` was read from (``source`` names a row's
+    file, the column ``payload`` is not read) and no shuffle carries them: records come in that many
+    partitions, those of a file together and in its order, with ``source``, and the ``number`` of the
+    row whose payload ends the block, for ``write`` to add.
+
     Of rows with equal payloads (the html in UTF-8; null is empty) of ``least_bytes`` or more, the
     one with the largest ``page_id`` is a response, null being the smallest; of several such rows
     the one with the largest url, of rows alike in both any one. The others are revisits that
@@ -126,6 +139,9 @@ def transactions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         .withColumn("stays", F.coalesce(F.col("best") == F.col("number"), F.lit(True)))
         .withColumns({"id": name(F.col("number"), "main"), "of": name(F.col("best"), "main")})
     )
+    if apart:
+        # the upper bits of a number are the task that wrote the row's file
+        known = known.repartitionById(apart, F.shiftright("number", 33).cast("int")).sortWithinPartitions("source", "number")
     stays, uri = F.col("stays"), F.col("url")
     head = _text(
         "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: ",
@@ -148,7 +164,8 @@ def transactions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
             "WARC-Refers-To": F.when(~stays, F.col("of")),
             "Content-Type": F.lit("application/http; msgtype=response"),
         },
-        F.when(stays, F.concat(head, "payload")).otherwise(head),
+        head if apart else F.when(stays, F.concat(head, "payload")).otherwise(head),
+        F.when(stays, F.col("bytes")) if apart else None,
     )
 
     def beside(kind: str, content: str, block: Column) -> Column:
@@ -162,17 +179,49 @@ def transactions(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         return record(fields, block)
 
     notes = F.coalesce(_text("page-id: ", F.col("page_id").cast("string"), "\r\n"), F.lit(b""))
-    each = F.array(
+    each = [
         beside("request", "application/http; msgtype=request", asked),
         main,
         beside("metadata", "application/warc-fields", notes),
-    )
-    return known.select(F.inline(each))
-
-
-def write(records: DataFrame, path: str, most_bytes: int = FILE, level: int = 6) -> DataFrame:
+    ]
+    if not apart:
+        return known.select(F.inline(F.array(*each)))
+    payload_of = F.when(stays, F.col("number"))
+    each = [r.withField("number", payload_of if r is main else F.lit(None).cast("long")) for r in each]
+    return known.select("source", F.inline(F.array(*each)))
+
+
+def _payloads(copy: str) -> Callable[[str, int], bytes]:
+    """Payloads of rows of a ``numbered`` table at ``copy``, by file and number, asked for in the files' order."""
+    store, folder = _place(copy)
+    now, rows = None, iter(())
+
+    def held(file: str) -> Iterator[tuple[pa.Scalar, pa.Scalar]]:
+        with store.open_input_file(f"{folder}/{file}") as raw:
+            table = pq.ParquetFile(raw, buffer_size=1 << 20)
+            for batch in table.iter_batches(ROWS, columns=["number", "payload"]):
+                yield from zip(batch.column("number").to_pylist(), batch.column("payload"))
+
+    def payload(file: str, number: int) -> bytes:
+        nonlocal now, rows
+        if file != now:
+            now, rows = file, held(file)
+        for own, value in rows:
+            if own == number:
+                return value.as_py()
+        raise LookupError(f"row {number} is not in {file}, or not in order")
+
+    return payload
+
+
+def write(
+    records: DataFrame, path: str, most_bytes: int = FILE, level: int = 6, copy: str | None = None
+) -> DataFrame:
     """Writes rows of ``head`` and ``block`` (see ``record``) as WARC files below ``path``.
 
+    With ``copy``, the folder of a ``numbered`` table, ``records`` are those of ``transactions`` with
+    payloads apart, and each task reads these from the files that its records are of.
+
     A task writes a file, and another one whenever it has passed ``most_bytes``. No rows give no
     file. A repeated task leaves files that no row names, and never a broken one that is named.
 
@@ -190,18 +239,22 @@ def write(records: DataFrame, path: str, most_bytes: int = FILE, level: int = 6)
         store, folder = _place(path)
         store.create_dir(folder, recursive=True)
         out, name, n, size, files = None, "", 0, 0, 0
+        payload = _payloads(copy) if copy else None
 
         def done() -> pa.RecordBatch:
             out.close()
             return pa.record_batch({"file": [name], "records": [n], "bytes": [size]})
 
         for batch in batches:
-            for head, block in zip(batch.column("head"), batch.column("block")):
+            for row in zip(*batch.columns):
+                head, block, *of = (value.as_py() for value in row)
+                if of and of[1] is not None:
+                    block += payload(*of)
                 if out is None:
                     name = f"{task.partitionId():06d}-{task.taskAttemptId()}-{files}.warc.gz"
                     out, n, size, files = store.open_output_stream(f"{folder}/{name}", compression=None), 0, 0, files + 1
                     out.write(member(first.encode() + b"\r\n\r\n\r\n\r\n"))
-                data = member(b"".join((head.as_py().encode(), b"\r\n\r\n", block.as_py(), b"\r\n\r\n")))
+                data = member(b"".join((head.encode(), b"\r\n\r\n", block, b"\r\n\r\n")))
                 out.write(data)
                 n, size = n + 1, size + len(data)
                 if size >= most_bytes:
@@ -210,7 +263,8 @@ def write(records: DataFrame, path: str, most_bytes: int = FILE, level: int = 6)
         if out is not None:
             yield done()
 
-    return settled(records.select("head", "block").mapInArrow(work, _FILES), "archives")
+    names = ["head", "block", *(["source", "number"] if copy else [])]
+    return settled(records.select(*names).mapInArrow(work, _FILES), "archives")
 
 
 def archive(pages: DataFrame, path: str, least_bytes: int = 0) -> DataFrame:
@@ -221,10 +275,12 @@ def archive(pages: DataFrame, path: str, least_bytes: int = 0) -> DataFrame:
     """
     spark = pages.sparkSession
     copy = shared_dir(spark, "pages")
-    # the copy and the shuffle of its payloads are what takes disk: it is packed more tightly
+    # the copy is what takes disk beside the archives: it is packed more tightly
     packed = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9"}
     numbered(pages).write.options(**packed).parquet(copy)
-    files = write(transactions(spark.read.parquet(copy), least_bytes), path)
+    held = spark.read.parquet(copy)
+    rows = held.drop("payload").withColumn("source", F.col("_metadata.file_name"))
+    files = write(transactions(rows, least_bytes, max(1, len(held.inputFiles()))), path, copy=copy)
     remove(spark, copy)
     return files
 

@@ -178,3 +178,25 @@ def test_a_capture_with_very_many_records_goes_on_in_further_rows(spark):
     got = shape(warc.captures(records, attach=50))
     assert len(got) == 6 and {g[:3] for g in got} == {("a", p, "response") for p in range(6)}
     assert sorted(m for g in got for m in g[4]) == [f"m{i:03}" for i in range(300)]
+
+
+def test_payloads_are_not_shuffled(spark, folder, monkeypatch):
+    """Payloads go from the copy into the archives: no shuffle on the way has them."""
+    plans = []
+    real = warc.write
+
+    def seen(records, *rest, **named):
+        plans.append(records._jdf.queryExecution().executedPlan().toString())
+        return real(records, *rest, **named)
+
+    monkeypatch.setattr(warc, "write", seen)
+    rows = [(i % 90, f"http://h/{i}", f"p{i % 60}" * (i % 5)) for i in range(400)]
+    files = warc.archive(pages(spark, rows).repartition(7), folder)
+    assert len(plans) == 1 and "payload#" not in plans[0]
+    got = warc.captures(settled(warc.read(files, folder), "records")).collect()
+    assert not [r for r in got if r.record.problem] and len(got) == 400
+    found = sorted(r.record.payload.decode() for r in got if r.record.type == "response")
+    assert found == sorted({h for _, _, h in rows})
+    for r in got:
+        if r.record.type == "response":
+            assert r.record.payload_digest == f"sha1:{digest(r.record.payload.decode())}"
