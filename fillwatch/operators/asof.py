@@ -64,7 +64,10 @@ def attach(
     if times_of is None:
         times_of = probes
     visited = times_of.select(key, times.micros(times_of, probe_time).alias("at"), no_event)
-    seen = happened.unionByName(visited).filter(F.col("at").isNotNull()).withColumns(cut)
+    # named here, as the join below asks for it of one of the two tables made of ``seen``, which then
+    # would be worked out twice
+    whole = F.col("at").isNotNull() & F.col("slot").isNotNull() & F.col("part").isNotNull()
+    seen = happened.unionByName(visited).withColumns(cut).filter(whole)
 
     nearest = F.max if back else F.min
     turn = (lambda c: F.col(c).asc()) if back else (lambda c: F.col(c).desc())

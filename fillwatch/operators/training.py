@@ -7,12 +7,14 @@ import datetime as dt
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fillwatch.operators import asof, features, history
+from fillwatch.operators import asof, features, grower, history
 from fillwatch.operators.features import FEATURES
+from fillwatch.session import settled
 
 # Horizons and the rows that may become examples.
 HORIZONS = (1, 6, 12, 24)
@@ -22,9 +24,11 @@ TREES, DEPTH, SEED = 200, 10, 42
 TRAIN_TENTHS = 8
 
 #: Spark's forest keeps, for each example and tree, how often it is drawn and where it is: some 16
-#: bytes. ``PAIRS`` of them are held at once; more trees than that are grown in turn. A task has no
-#: more than about ``TASK_PAIRS`` and ``TASK_ROWS`` examples.
-PAIRS, TASK_PAIRS, TASK_ROWS = 1 << 28, 1 << 23, 1 << 19
+#: bytes. Up to ``PAIRS`` of them it is used; beyond that trees are grown over binned examples (``grower``),
+#: ``TURN_PAIRS`` at a time.
+PAIRS, TURN_PAIRS = 1 << 28, 1 << 32
+#: Bins of a feature, as many as Spark takes.
+BINS = 32
 
 EXAMPLE_KEY = ("bin_id", "sensor_id", "timestamp")
 
@@ -157,41 +161,55 @@ def pipeline(trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> Pipeli
 
 
 def fit(
-    train: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED, pairs: int = PAIRS
+    train: DataFrame,
+    trees: int = TREES,
+    depth: int = DEPTH,
+    seed: int = SEED,
+    pairs: int = PAIRS,
+    turn_pairs: int | None = None,
 ) -> PipelineModel | None:
     """The fitted pipeline; none where there is nothing to learn from.
 
-    Every tree draws from all examples. Where examples times trees are more than ``pairs``, the
-    trees are grown some at a time, each time from a seed of its own, and the pipeline holds
-    several forests whose trees count alike: what is held at once does not grow with the trees.
+    Every tree draws from all examples. Up to ``pairs`` examples times trees Spark's own forest is
+    fitted; beyond that ``grower`` takes its place, which holds nothing for an example and tree.
+    Where they are more than ``turn_pairs`` (by default ``TURN_PAIRS``, or ``pairs`` if given less), the
+    trees are grown some at a time, each time from a seed of its own, and the pipeline holds several
+    forests whose trees count alike: what a pass sends does not grow with the trees.
     """
     rows = train.count()
     if not rows:
         return None
-    turns = min(trees, -(-rows * trees // pairs))
-    if turns == 1:
+    if rows * trees <= pairs:
         return pipeline(trees, depth, seed).fit(train)
-    return _in_turns(train, rows, trees, depth, seed, turns)
+    turn_pairs = turn_pairs or (TURN_PAIRS if pairs >= PAIRS else pairs)
+    return _in_turns(train, rows, trees, depth, seed, min(trees, -(-rows * trees // turn_pairs)))
 
 
 def _in_turns(train: DataFrame, rows: int, trees: int, depth: int, seed: int, turns: int) -> PipelineModel:
+    """As many forests as ``turns``, over blocks of binned examples."""
     scaling = Pipeline(stages=_scaling()).fit(train)
     cores = train.sparkSession.sparkContext.defaultParallelism
-    tasks = max(cores, -(-rows * trees // (turns * TASK_PAIRS)), -(-rows // TASK_ROWS))
-    key = [*EXAMPLE_KEY, "horizon"]
-    # each turn passes over the examples several times: they are scaled, dealt out and ordered once
-    scaled = (
-        scaling.transform(train.repartition(tasks, *key).sortWithinPartitions(*key))
-        .select("features", "label")
-        .persist(StorageLevel.DISK_ONLY)
-    )
+    low, high = train.agg(F.min("label"), F.max("label")).first()
+    few = settled(scaling.transform(train.sample(min(1.0, grower.SPLIT_ROWS / rows), seed)).select("features", "label"))
+    values = few.select(vector_to_array("features").alias("v")).toArrow().column("v").combine_chunks()
+    cuts = [grower.thresholds(v, BINS) for v in values.flatten().to_numpy().reshape(-1, len(FEATURES)).T]
+    # scaled and binned once, for each level of each turn to pass over; only the blocks are dealt out
+    tasks = cores * -(-rows // (cores * grower.TASK_ROWS))
+    held = grower.blocks(scaling.transform(train), cuts).repartition(tasks).persist(StorageLevel.DISK_ONLY)
     ends = [trees * i // turns for i in range(turns + 1)]
     sizes = [high - low for low, high in zip(ends, ends[1:])]
     grown = [
-        _forest(size, depth, seed + i).setPredictionCol(f"prediction_{i}").setLeafCol(f"leaves_{i}").fit(scaled)
+        grower.fit(
+            held,
+            few.limit(8),
+            _forest(size, depth, seed + i).setPredictionCol(f"prediction_{i}").setLeafCol(f"leaves_{i}"),
+            cuts,
+            low,
+            high,
+        )
         for i, size in enumerate(sizes)
     ]
-    scaled.unpersist()
+    held.unpersist()
     leaves = VectorAssembler(inputCols=[f"leaves_{i}" for i in range(turns)], outputCol="leaves")
     mean = " + ".join(f"{size} * prediction_{i}" for i, size in enumerate(sizes))
     parts = ", ".join(f"prediction_{i}, leaves_{i}" for i in range(turns))
