@@ -3,7 +3,7 @@ import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
-from fillwatch.operators import grower, training
+from fillwatch.operators import asof, grower, training
 from fillwatch.operators.features import FEATURES
 from fillwatch.session import settled
 
@@ -109,3 +109,17 @@ def test_labels_alike_make_leaves_only(spark):
     model = training.fit(train, trees=3, depth=4, pairs=500)
     assert [t.numNodes for f in training.forests(model) for t in f.trees] == [1, 1, 1]
     assert training.evaluate(model, train).first().mae == pytest.approx(0)
+
+
+def test_the_table_of_events_is_made_once(spark):
+    """The as-of join makes two tables of events and times by part; the second is to reuse the first's shuffle."""
+    stamp = F.timestamp_seconds(F.col("id") * 977).cast("timestamp_ntz")
+    rows = settled(spark.range(400).select((F.col("id") % 7).cast("string").alias("k"), stamp.alias("at"), "id"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        found = asof.attach(rows.withColumnRenamed("id", "n"), rows.withColumnRenamed("at", "then"), "k", "at", "then", ["id"])
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "ReusedExchange" in plan
+    assert found.filter(F.col("id") == F.col("n")).count() == 400
